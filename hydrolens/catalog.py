@@ -22,6 +22,9 @@ from hydrolens.plans.martset import MartSet
 from hydrolens.session import configure
 from hydrolens.sources import derived, dimensions
 from hydrolens.sources.folders import RunFolder
+from hydrolens.sources.streams import json_file_stream
+from hydrolens.sources.warehouse import Warehouse
+from hydrolens.streaming import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,6 +255,31 @@ def _dq_keys(t: Telemetry) -> DataFrame:
     return t.day.quality_daily.select(keys).union(t.day.health_daily.select(keys)).distinct()
 
 
+def _streamed(t: Telemetry) -> Warehouse:
+    """Sends the readings, some of them twice, through the streaming path in one batch."""
+    events = derived.as_event_json(derived.readings_with_duplicates(t.spark, t.sf_dir))
+    events.write.text(f"{t.run.path}/events")
+    warehouse = Warehouse(t.spark, f"{t.run.path}/warehouse", t.stations)
+    telemetry.start(
+        json_file_stream(t.spark, f"{t.run.path}/events"),
+        warehouse,
+        f"{t.run.path}/checkpoint",
+        trigger={"availableNow": True},
+        refresh_every=None,
+    ).awaitTermination()
+    return warehouse
+
+
+def _streamed_readings(t: Telemetry) -> DataFrame:
+    """Which copy of a repeated reading survives is open, so its id is left out."""
+    facts = _streamed(t).table("fact_sensor_reading")
+    return facts.drop("reading_id", "ingestion_time", "processing_time", "batch", "event_date")
+
+
+def _streamed_alerts(t: Telemetry) -> DataFrame:
+    return _streamed(t).alerts().drop("event_date")
+
+
 def _clock_columns() -> list[str]:
     return ["reading_id", "event_timestamp", "event_date_key", "event_time_key"]
 
@@ -473,7 +501,9 @@ def all_queries() -> dict[str, Query]:
         "dim_parameter": _query(_dim_parameter),
         "dim_threshold_rule": _query(_dim_threshold_rule),
         "kpi_dictionary": _query(_kpi_dictionary),
-        # --- de-duplication
+        # --- de-duplication and streaming
+        "streamed_readings": _query(_streamed_readings),
+        "streamed_alerts": _query(_streamed_alerts),
         "dedup_readings": _query(
             lambda t: ingest.dedup_readings(
                 derived.readings_with_duplicates(t.spark, t.sf_dir)

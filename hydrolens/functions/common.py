@@ -97,10 +97,9 @@ def minutes_between(start: str, end: str) -> str:
     return f"timestampdiff(minute, date_trunc('minute', {start}), date_trunc('minute', {end}))"
 
 
-def week_of_year_sunday(day: Column) -> Column:
+def week_of_year_sunday(day: str) -> str:
     """Week number with weeks starting on Sunday; week 1 holds 1 January."""
-    first_weekday = F.dayofweek(F.trunc(day, "year"))
-    return F.ceil((F.dayofyear(day) + first_weekday - 1) / 7).cast("int")
+    return f"cast(ceil((dayofyear({day}) + dayofweek(trunc({day}, 'year')) - 1) / 7) as int)"
 
 
 def moment(value: dt.datetime | str) -> str:

@@ -9,6 +9,7 @@ by grouping on the counted key first; averages keep exact decimal sums.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +46,13 @@ def recent(fact: DataFrame, as_of: dt.datetime | str, hours: int) -> DataFrame:
 
 
 # --- station grain, current state ---------------------------------------------
-def latest_wqi(wqi: DataFrame) -> DataFrame:
+def latest_wqi(wqi: DataFrame, keys: Sequence[str] = ("station_id",)) -> DataFrame:
+    """Newest index row per key. With the date in the key, the result can be reduced further
+    by the same function."""
     newest = [F.col("event_timestamp").desc(), F.col("reading_id").asc()]
     return first_per_key(
         wqi.select(
-            "station_id",
+            *keys,
             "event_timestamp",
             "reading_id",
             "wqi_score",
@@ -57,19 +60,25 @@ def latest_wqi(wqi: DataFrame) -> DataFrame:
             "contamination_risk_score",
             "bacterial_regrowth_risk_score",
         ),
-        ["station_id"],
+        keys,
         newest,
     )
 
 
-def latest_reading(readings: DataFrame) -> DataFrame:
+def latest_reading(readings: DataFrame, keys: Sequence[str] = ("station_id",)) -> DataFrame:
     ts = F.col("event_timestamp")
-    return readings.groupBy("station_id").agg(
+    return readings.groupBy(*keys).agg(
         F.max(ts).alias("latest_reading_timestamp"),
         F.max(F.when(_is("quality_flag", "valid"), ts)).alias("latest_valid_reading_timestamp"),
     )
 
 
+def combined_latest_reading(latest_daily: DataFrame) -> DataFrame:
+    """Station-day maxima → station maxima."""
+    names = ["latest_reading_timestamp", "latest_valid_reading_timestamp"]
+    return latest_daily.groupBy("station_id").agg(*[F.max(name).alias(name) for name in names])
+
+
 def recent_quality(readings: DataFrame, as_of: dt.datetime | str, hours: int) -> DataFrame:
     return (
         recent(readings, as_of, hours)

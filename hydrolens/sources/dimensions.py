@@ -66,35 +66,32 @@ def reload_dimension(df: DataFrame, path: str) -> DataFrame:
 CALENDAR_START, CALENDAR_END = dt.date(2025, 1, 1), dt.date(2027, 12, 31)
 
 
-def calendar_columns(day: Column) -> list[Column]:
-    day_name = F.date_format(day, "EEEE")
-    return [
-        date_key(day).alias("date_key"),
-        day.alias("full_date"),
-        F.dayofmonth(day).alias("day_number"),
-        F.month(day).alias("month_number"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.quarter(day).alias("quarter_number"),
-        F.year(day).alias("year_number"),
-        week_of_year_sunday(day).alias("week_of_year"),
-        day_name.alias("day_name"),
-        day_name.isin("Friday", "Saturday").cast("int").alias("is_weekend"),
-    ]
+CALENDAR_COLUMNS = (
+    f"{date_key('d')} as date_key",
+    "d as full_date",
+    "day(d) as day_number",
+    "month(d) as month_number",
+    "date_format(d, 'MMMM') as month_name",
+    "quarter(d) as quarter_number",
+    "year(d) as year_number",
+    f"{week_of_year_sunday('d')} as week_of_year",
+    "date_format(d, 'EEEE') as day_name",
+    "cast(date_format(d, 'EEEE') in ('Friday', 'Saturday') as int) as is_weekend",
+)
 
 
 def dim_date(
     spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END
 ) -> DataFrame:
     span = F.sequence(F.lit(start), F.lit(end))
-    return spark.range(1).select(F.explode(span).alias("d")).select(*calendar_columns(F.col("d")))
+    return spark.range(1).select(F.explode(span).alias("d")).selectExpr(*CALENDAR_COLUMNS)
 
 
 def dim_date_spanning(df: DataFrame, date_column: str) -> DataFrame:
     """The calendar from the first to the last date of a table."""
     bounds = df.agg(F.min(date_column).alias("a"), F.max(date_column).alias("b"))
-    return bounds.select(F.explode(F.sequence("a", "b")).alias("d")).select(
-        *calendar_columns(F.col("d"))
-    )
+    days = bounds.select(F.explode(F.sequence("a", "b")).alias("d"))
+    return days.selectExpr(*CALENDAR_COLUMNS)
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
