@@ -81,7 +81,8 @@ class Warehouse:
         return [row[0] for row in scored.select("event_date").distinct().collect()]
 
     def alerts(self) -> DataFrame:
-        return facts_plan.fact_alert(self.table("alert_log"), self.table("heartbeat_log"))
+        log = self.table("alert_log").drop("event_date")
+        return facts_plan.fact_alert(log, self.table("heartbeat_log"))
 
     def facts(self) -> facts_plan.Facts:
         reading, wqi, health = [self.table(name) for name in FACTS]
