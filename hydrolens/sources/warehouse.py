@@ -42,19 +42,20 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
     def _replace_partitions(self, df: DataFrame, name: str, by: Sequence[str]) -> None:
-        """Overwrites the partitions that occur in `df` and leaves the others alone. Rows are
-        gathered by partition first, so a date is not written as one file per task."""
+        """Overwrites the partitions that occur in `df` and leaves the others alone.
+
+        Rows are gathered by partition first, so a date is not written as one file per task.
+        The rebalance joins small partitions into one task and splits one that is larger than
+        the advisory size, such as a day that holds a third of the batch.
+        """
         (
-            df.repartition(*by, F.pmod(F.hash("station_id"), F.lit(self.files_per_partition)))
+            df.hint("rebalance", *by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by)
             .parquet(f"{self.root}/{name}")
         )
 
-    # Files per date and batch; raise it with the size of a batch.
-    files_per_partition = 4
-
     # --- one batch ------------------------------------------------------------------
     def append_batch(self, scored: DataFrame, batch_id: int) -> list[dt.date]:
         """Stores the facts and alert logs of one batch; returns the dates it touched.
