@@ -368,7 +368,9 @@ def all_queries() -> dict[str, Query]:
         ),
         "alert_resolve": _query(
             lambda t: A.describe_alerts(
-                A.alert_lifecycle(A.alert_log(t.business), A.heartbeat_log(t.business))
+                A.alert_lifecycle(
+                    A.alert_log(t.business), A.last_clears(A.heartbeat_log(t.business))
+                )
             )
             .filter("status = 'resolved'")
             .selectExpr(f"{A.ALERT_ID} as alert_id", "batch", "cleared_batch", "status")

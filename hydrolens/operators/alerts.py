@@ -13,6 +13,7 @@ one aggregate over the heartbeats.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -251,8 +252,11 @@ def merge_alerts(log: DataFrame) -> DataFrame:
     ).drop("__second")
 
 
-def last_clear(heartbeats: DataFrame) -> DataFrame:
-    """Per station and type, the last batch that reported without raising the type."""
+def last_clears(heartbeats: DataFrame) -> DataFrame:
+    """Per station and type, the last batch that reported without raising the type.
+
+    Two hash aggregates over fixed-width values: rows of a hot station are combined in the
+    map tasks, first to its batches, then to one row."""
     types = [rule.alert_type for rule in RULES]
     cleared = heartbeats.groupBy("station_id").agg(
         *[F.max(F.when(~F.col(name), F.col("batch"))).alias(name) for name in types]
@@ -262,8 +266,14 @@ def last_clear(heartbeats: DataFrame) -> DataFrame:
     )
 
 
-def alert_lifecycle(log: DataFrame, heartbeats: DataFrame) -> DataFrame:
+def newer_clears(*clears: DataFrame) -> DataFrame:
+    """The later of several frames of last clears, per station and type."""
+    together = reduce(DataFrame.unionByName, clears)
+    return together.groupBy(ALERT_KEY).agg(F.max("cleared_batch").alias("cleared_batch"))
+
+
+def alert_lifecycle(log: DataFrame, clears: DataFrame) -> DataFrame:
     """Merged alerts with their status and the batch they were last raised in."""
-    joined = merge_alerts(log).join(last_clear(heartbeats), ALERT_KEY, "left")
+    joined = merge_alerts(log).join(clears, ALERT_KEY, "left")
     status = ladder([("cleared_batch > batch", "resolved")], "open")
     return joined.withColumn("status", F.expr(status))

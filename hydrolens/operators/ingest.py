@@ -76,23 +76,26 @@ def validate(readings: DataFrame) -> DataFrame:
     )
 
 
+def with_index(readings: DataFrame) -> DataFrame:
+    """Adds the two scores and the class that the reading fact does not store."""
+    return readings.selectExpr(
+        "*",
+        f"{scoring.process_performance()} as process_performance_score",
+        f"{scoring.wqi_score()} as wqi_score",
+    ).selectExpr("*", f"{scoring.wqi_class()} as wqi_class")
+
+
 def score(validated: DataFrame) -> DataFrame:
-    return (
+    return with_index(
         validated.selectExpr(
             "*",
             f"{scoring.contamination_risk()} as contamination_risk_score",
             f"{scoring.regrowth_risk()} as bacterial_regrowth_risk_score",
-            f"{scoring.process_performance()} as process_performance_score",
-            f"{scoring.wqi_score()} as wqi_score",
             f"{quality.breach_flag()} as breach_flag",
             f"{date_key('event_timestamp')} as event_date_key",
             f"{time_key('event_timestamp')} as event_time_key",
             "to_date(event_timestamp) as event_date",
-        ).selectExpr(
-            "*",
-            f"{scoring.wqi_class()} as wqi_class",
-            f"{quality.severity_level()} as severity_level",
-        )
+        ).selectExpr("*", f"{quality.severity_level()} as severity_level")
     )
 
 

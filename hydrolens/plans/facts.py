@@ -128,9 +128,9 @@ def with_daily_batches(business: DataFrame) -> DataFrame:
     return business.withColumn("batch", F.col("event_date"))
 
 
-def fact_alert(log: DataFrame, heartbeats: DataFrame) -> DataFrame:
+def fact_alert(log: DataFrame, clears: DataFrame) -> DataFrame:
     return (
-        A.describe_alerts(A.alert_lifecycle(log, heartbeats))
+        A.describe_alerts(A.alert_lifecycle(log, clears))
         .selectExpr(
             "*",
             f"{A.ALERT_ID} as alert_id",
@@ -145,4 +145,4 @@ def fact_alert(log: DataFrame, heartbeats: DataFrame) -> DataFrame:
 def daily_fact_alert(scored: DataFrame) -> DataFrame:
     """Alert fact of a whole history, replayed in daily batches."""
     business = with_daily_batches(business_rows(scored))
-    return fact_alert(A.alert_log(business), A.heartbeat_log(business))
+    return fact_alert(A.alert_log(business), A.last_clears(A.heartbeat_log(business)))

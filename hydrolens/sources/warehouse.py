@@ -13,10 +13,13 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hydrolens.operators import alerts as A
+from hydrolens.operators import ingest
 from hydrolens.plans import facts as facts_plan
 from hydrolens.plans import marts as M
 from hydrolens.plans import rollups as R
@@ -38,8 +41,9 @@ class Warehouse:
         self.spark, self.root, self.stations = spark, root.rstrip("/"), stations
 
     # --- tables ---------------------------------------------------------------------
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+    def table(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.root}/{name}")
 
     def _replace_partitions(self, df: DataFrame, name: str, by: Sequence[str]) -> None:
         """Overwrites the partitions that occur in `df` and leaves the others alone.
@@ -56,34 +60,85 @@ class Warehouse:
             .parquet(f"{self.root}/{name}")
         )
 
+    def _newest(self, name: str) -> int | None:
+        """The newest complete version of a versioned table set."""
+        markers = T.StructType(
+            [T.StructField("done", T.LongType()), T.StructField("version", T.LongType())]
+        )
+        path = f"{self.root}/{name}_complete"
+        try:
+            return self.spark.read.schema(markers).parquet(path).agg(F.max("done")).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _complete(self, name: str, version: int) -> None:
+        marker = self.spark.range(1).select(F.lit(version).cast("bigint").alias("done"))
+        marker.write.mode("overwrite").parquet(f"{self.root}/{name}_complete/version={version}")
+
     # --- one batch ------------------------------------------------------------------
     def append_batch(self, scored: DataFrame, batch_id: int) -> list[dt.date]:
         """Stores the facts and alert logs of one batch; returns the dates it touched.
 
-        `scored` is used several times, so the caller persists it.
+        The readings are written first and everything else is derived from what was stored.
+        So the stream's plan runs once, nothing has to be held in executors, and all tables
+        agree on which copy of a repeated reading survived.
         """
-        batch = scored.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        business = facts_plan.business_rows(batch)
-        keys = ["event_date", "batch"]
+        batch = F.lit(batch_id).cast("bigint")
         now = F.current_timestamp()
-        batch_column = F.lit(batch_id).cast("bigint")
+        by = ["event_date", "batch"]
         readings = facts_plan.fact_sensor_reading(scored).withColumns(
-            {"ingestion_time": now, "processing_time": now, "batch": batch_column}
+            {"ingestion_time": now, "processing_time": now, "batch": batch}
+        )
+        self._replace_partitions(readings, "fact_sensor_reading", by)
+        stored = self.table("fact_sensor_reading", readings.schema).filter(F.col("batch") == batch)
+        # As many rows as the batch has dates; none for an empty batch.
+        dates = [row[0] for row in stored.select("event_date").distinct().collect()]
+        if dates:
+            indexed = ingest.with_index(stored)
+            wqi = facts_plan.fact_water_quality_index(indexed).withColumn("batch", batch)
+            health = facts_plan.fact_sensor_health(indexed).withColumn("batch", batch)
+            business = facts_plan.business_rows(indexed)
+            log = A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp"))
+            self._replace_partitions(wqi, "fact_water_quality_index", by)
+            self._replace_partitions(health, "fact_sensor_health", by)
+            self._replace_partitions(log, "alert_log", by)
+            self._replace_partitions(A.heartbeat_log(business), "heartbeat_log", ["batch"])
+        return dates
+
+    # --- alerts ---------------------------------------------------------------------
+    def _alert_state(self, through: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Merged alerts and last clears: the newest snapshot and the logs after it, up to
+        batch `through`. Both folds are associative, so the snapshot stands for its logs."""
+        log = self.table("alert_log").drop("event_date")
+        heartbeats = self.table("heartbeat_log")
+        snapshot = self._newest("alert_state")
+        if through is not None:
+            log, heartbeats = [df.filter(F.col("batch") <= through) for df in (log, heartbeats)]
+        if snapshot is None:
+            return A.merge_alerts(log), A.last_clears(heartbeats)
+        log, heartbeats = [df.filter(F.col("batch") > snapshot) for df in (log, heartbeats)]
+        folder = f"{self.root}/alert_state/version={snapshot}"
+        merged = self.spark.read.parquet(f"{folder}/merged")
+        clears = self.spark.read.parquet(f"{folder}/clears")
+        return (
+            A.merge_alerts(merged.unionByName(log)),
+            A.newer_clears(clears, A.last_clears(heartbeats)),
         )
-        wqi = facts_plan.fact_water_quality_index(scored).withColumn("batch", batch_column)
-        health = facts_plan.fact_sensor_health(scored).withColumn("batch", batch_column)
-        log = A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp"))
-        self._replace_partitions(readings, "fact_sensor_reading", keys)
-        self._replace_partitions(wqi, "fact_water_quality_index", keys)
-        self._replace_partitions(health, "fact_sensor_health", keys)
-        self._replace_partitions(log, "alert_log", keys)
-        self._replace_partitions(A.heartbeat_log(business), "heartbeat_log", ["batch"])
-        # As many rows as the batch has dates.
-        return [row[0] for row in scored.select("event_date").distinct().collect()]
+
+    def compact_alerts(self, through: int) -> None:
+        """Folds the logs up to batch `through` into a snapshot, so that long histories are
+        not read again. Batches up to it must not be replayed any more; their log partitions
+        may be removed."""
+        merged, clears = self._alert_state(through)
+        folder = f"{self.root}/alert_state/version={through}"
+        merged.write.mode("overwrite").parquet(f"{folder}/merged")
+        clears.write.mode("overwrite").parquet(f"{folder}/clears")
+        self._complete("alert_state", through)
 
     def alerts(self) -> DataFrame:
-        log = self.table("alert_log").drop("event_date")
-        return facts_plan.fact_alert(log, self.table("heartbeat_log"))
+        return facts_plan.fact_alert(*self._alert_state())
 
     def facts(self) -> facts_plan.Facts:
         reading, wqi, health = [self.table(name) for name in FACTS]
@@ -126,14 +181,13 @@ class Warehouse:
             facts.stations, facts.readings, facts.wqi, facts.health, stored_alerts
         )
         marts = StoredMartSet(self, stored, clock, keep).all()
-        done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("done"))
-        done.write.mode("overwrite").parquet(f"{self.root}/marts_complete/version={version}")
+        self._complete("marts", version)
         return marts
 
     def mart(self, name: str) -> DataFrame:
         """A mart of the newest complete version."""
-        complete = self.table("marts_complete").agg(F.max("done").alias("v")).first()
-        return self.spark.read.parquet(f"{self.root}/marts/version={complete['v']}/{name}")
+        version = self._newest("marts")
+        return self.spark.read.parquet(f"{self.root}/marts/version={version}/{name}")
 
 
 class StoredMartSet(MartSet):

@@ -55,13 +55,9 @@ def batch_writer(
     """
 
     def write(scored: DataFrame, batch_id: int) -> None:
-        scored.persist()  # feeds five tables
-        try:
-            if scored.isEmpty():
-                return
-            dates = warehouse.append_batch(scored, batch_id)
-        finally:
-            scored.unpersist()
+        dates = warehouse.append_batch(scored, batch_id)
+        if not dates:
+            return
         warehouse.refresh_rollups(dates)
         if refresh_every is not None and batch_id % refresh_every == 0:
             warehouse.refresh_marts(clock(), batch_id)

@@ -33,7 +33,7 @@ def replay(hits, beats):
 
 
 def closed_form(business):
-    alerts = A.alert_lifecycle(A.alert_log(business), A.heartbeat_log(business))
+    alerts = A.alert_lifecycle(A.alert_log(business), A.last_clears(A.heartbeat_log(business)))
     rows = alerts.select("station_id", "alert_type", "event_timestamp", "reading_id", "status")
     return {
         (r[0], r[1], r[2].replace(microsecond=0), r[3], r[4]) for r in rows.collect()
@@ -82,7 +82,7 @@ VERY_LOW = {"final_residual_chlorine_mg_l": "0.05D"}
 
 def states(spark, rows):
     business = frame(spark, rows)
-    found = A.alert_lifecycle(A.alert_log(business), A.heartbeat_log(business))
+    found = A.alert_lifecycle(A.alert_log(business), A.last_clears(A.heartbeat_log(business)))
     return {(r["reading_id"], r["severity_level"], r["status"]) for r in found.collect()}
 
 
