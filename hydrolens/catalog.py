@@ -136,10 +136,13 @@ class Telemetry:
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for engines whose clients return them so."""
+    """Decimals, and integers that can be null, as doubles: clients differ in how they return
+    them."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else f.name
+            F.col(f.name).cast("double").alias(f.name)
+            if isinstance(f.dataType, T.DecimalType) or f.name == "data_freshness_minutes"
+            else f.name
             for f in df.schema.fields
         ]
     )
@@ -355,7 +358,7 @@ def all_queries() -> dict[str, Query]:
                 "reading_id", "alert_type", f"{A.ALERT_ID} as alert_id"
             )
         ),
-        "alert_latest": _query(lambda t: A.alert_log(t.business)),
+        "alert_latest": _query(lambda t: A.alert_log(t.business).drop("batch")),
         "alert_domain": _query(
             lambda t: A.alert_hits(t.business)
             .groupBy("alert_type")
@@ -365,6 +368,7 @@ def all_queries() -> dict[str, Query]:
         "alert_merge": _query(
             lambda t: A.describe_alerts(A.merge_alerts(A.alert_log(t.business)))
             .selectExpr("*", f"{A.ALERT_ID} as alert_id", "'open' as status")
+            .drop("batch")
         ),
         "alert_resolve": _query(
             lambda t: A.describe_alerts(

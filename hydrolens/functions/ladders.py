@@ -16,6 +16,9 @@ NO_WQI = "latest_wqi_score is null"
 
 # Counts of stations that have no row in a joined frame are zero.
 STATUS_COUNTS = (
+    "active_alert_count",
+    "active_water_alert_count",
+    "active_process_alert_count",
     "critical_water_alert_count",
     "warning_water_alert_count",
     "critical_process_alert_count",

@@ -54,7 +54,16 @@ def station_status_base(
         F.col("alert_type").alias("latest_open_alert_type"),
         F.col("severity_level").alias("latest_open_alert_severity"),
     )
-    quality = quality.withColumnRenamed("anomaly_count", "quality_anomaly_count")
+    newest_reading = newest_reading.select("station_id", "latest_reading_timestamp")
+    quality = quality.select("station_id", "invalid_count", "suspicious_count")
+    health = health.select(
+        "station_id",
+        "critical_health_samples",
+        "degraded_health_samples",
+        "drift_risk_count",
+        "anomaly_events",
+    )
+    active = active.drop("critical_open_alert_count", "warning_open_alert_count")
     base = stations.select(
         "station_id",
         "station_name",
@@ -109,9 +118,9 @@ def station_latest_status(base: DataFrame, clock: Clock) -> DataFrame:
         "latest_wqi_class",
         "latest_contamination_risk_score",
         "latest_bacterial_regrowth_risk_score",
-        _or_zero("active_alert_count"),
-        _or_zero("active_water_alert_count"),
-        _or_zero("active_process_alert_count"),
+        "active_alert_count",
+        "active_water_alert_count",
+        "active_process_alert_count",
         "dominant_risk_parameter",
         "latest_open_alert_type",
         "latest_open_alert_severity",

@@ -205,12 +205,12 @@ STATEMENTS: dict[str, str] = {
     "alert_candidates": f"""select reading_id, station_id, sensor_id, event_timestamp, {ALERT},
         'open' as status from candidates""",
     "alert_id": "select reading_id, alert_type, alert_id from candidates",
-    "alert_latest": """select batch, reading_id, station_id, sensor_id, event_timestamp, alert_type,
+    "alert_latest": """select reading_id, station_id, sensor_id, event_timestamp, alert_type,
         severity_level, measured_value from alert_log""",
     "alert_domain": """select c.alert_type, count(*) as hits, max(m.alert_domain) as alert_domain
         from candidates c join (select distinct alert_type, alert_domain from m_alert) m
           on m.alert_type = c.alert_type group by c.alert_type""",
-    "alert_merge": f"""select alert_id, batch, reading_id, station_id, sensor_id, event_timestamp,
+    "alert_merge": f"""select alert_id, reading_id, station_id, sensor_id, event_timestamp,
         {ALERT}, 'open' as status from alert_log""",
     "alert_resolve": """select l.alert_id, l.batch, c.cleared_batch, 'resolved' as status
         from alert_log l join clears c on c.alert_id = l.alert_id""",

@@ -365,6 +365,9 @@ from (select *, row_number() over (
 
 # --- M1 ------------------------------------------------------------------------------------
 _STATUS_COUNTS = (
+    "active_alert_count",
+    "active_water_alert_count",
+    "active_process_alert_count",
     "critical_water_alert_count",
     "warning_water_alert_count",
     "critical_process_alert_count",
@@ -385,12 +388,9 @@ select s.station_id, station_name, governorate, latitude, longitude, water_sourc
   plant_capacity_m3_day, operational_status, w.wqi_score as latest_wqi_score,
   w.wqi_class as latest_wqi_class, w.contamination_risk_score as latest_contamination_risk_score,
   w.bacterial_regrowth_risk_score as latest_bacterial_regrowth_risk_score,
-  latest_reading_timestamp, latest_valid_reading_timestamp, partial_count, valid_count,
-  q.anomaly_count as quality_anomaly_count, avg_uptime, stale_signal_count, active_alert_count,
-  critical_open_alert_count, warning_open_alert_count, active_water_alert_count,
-  active_process_alert_count, t.parameter_code as dominant_risk_parameter,
+  latest_reading_timestamp, t.parameter_code as dominant_risk_parameter,
   t.alert_type as latest_open_alert_type, t.severity_level as latest_open_alert_severity, {zeros},
-  cast(date_diff('minute', latest_reading_timestamp, {AS_OF}) as int) as data_freshness_minutes
+  cast(date_diff('minute', latest_reading_timestamp, {AS_OF}) as double) as data_freshness_minutes
 from stations s
 left join newest_wqi w on w.station_id = s.station_id
 left join newest_reading r on r.station_id = s.station_id
