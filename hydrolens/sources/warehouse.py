@@ -2,7 +2,7 @@
 
 Facts and logs are partitioned by event date and batch. Writing a batch replaces its own
 partitions, so a batch that runs again changes nothing. Rollups are partitioned by date and
-recomputed for the dates a batch touched; marts are built from rollups, never from the whole
+recomputed for the dates touched since the last refresh; marts are built from rollups, never from the whole
 history of readings. A mart refresh writes a new version and marks it complete at the end;
 readers take the newest complete version, so they never see a half-written set.
 """
@@ -78,8 +78,8 @@ class Warehouse:
         marker.write.mode("overwrite").parquet(f"{self.root}/{name}_complete/version={version}")
 
     # --- one batch ------------------------------------------------------------------
-    def append_batch(self, scored: DataFrame, batch_id: int) -> list[dt.date]:
-        """Stores the facts and alert logs of one batch; returns the dates it touched.
+    def append_batch(self, scored: DataFrame, batch_id: int) -> bool:
+        """Stores the facts and alert logs of one batch; false if the batch is empty.
 
         The readings are written first and everything else is derived from what was stored.
         So the stream's plan runs once, nothing has to be held in executors, and all tables
@@ -93,19 +93,18 @@ class Warehouse:
         )
         self._replace_partitions(readings, "fact_sensor_reading", by)
         stored = self.table("fact_sensor_reading", readings.schema).filter(F.col("batch") == batch)
-        # As many rows as the batch has dates; none for an empty batch.
-        dates = [row[0] for row in stored.select("event_date").distinct().collect()]
-        if dates:
-            indexed = ingest.with_index(stored)
-            wqi = facts_plan.fact_water_quality_index(indexed).withColumn("batch", batch)
-            health = facts_plan.fact_sensor_health(indexed).withColumn("batch", batch)
-            business = facts_plan.business_rows(indexed)
-            log = A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp"))
-            self._replace_partitions(wqi, "fact_water_quality_index", by)
-            self._replace_partitions(health, "fact_sensor_health", by)
-            self._replace_partitions(log, "alert_log", by)
-            self._replace_partitions(A.heartbeat_log(business), "heartbeat_log", ["batch"])
-        return dates
+        if stored.isEmpty():
+            return False
+        indexed = ingest.with_index(stored)
+        wqi = facts_plan.fact_water_quality_index(indexed).withColumn("batch", batch)
+        health = facts_plan.fact_sensor_health(indexed).withColumn("batch", batch)
+        business = facts_plan.business_rows(indexed)
+        log = A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp"))
+        self._replace_partitions(wqi, "fact_water_quality_index", by)
+        self._replace_partitions(health, "fact_sensor_health", by)
+        self._replace_partitions(log, "alert_log", by)
+        self._replace_partitions(A.heartbeat_log(business), "heartbeat_log", ["batch"])
+        return True
 
     # --- alerts ---------------------------------------------------------------------
     def _alert_state(self, through: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -144,7 +143,23 @@ class Warehouse:
         reading, wqi, health = [self.table(name) for name in FACTS]
         return facts_plan.Facts(self.stations, reading, wqi, health, self.alerts())
 
-    # --- rollups --------------------------------------------------------------------
+    # --- refresh --------------------------------------------------------------------
+    def refresh(self, clock: M.Clock, version: int) -> dict[str, DataFrame]:
+        """Rollups of the dates written since the last complete version, then the marts.
+
+        The dates come from the stored partitions, so a refresh that was skipped or failed is
+        made up for by the next one. `version` is the id of the batch just stored.
+        """
+        self.refresh_rollups(self.dates_since(self._newest("marts")))
+        return self.refresh_marts(clock, version)
+
+    def dates_since(self, version: int | None) -> list[dt.date]:
+        """Dates that batches after `version` touched; reads partition values only."""
+        written = self.table("fact_sensor_reading").select("event_date", "batch")
+        if version is not None:
+            written = written.filter(F.col("batch") > version)
+        return [row[0] for row in written.select("event_date").distinct().collect()]
+
     def refresh_rollups(self, dates: Sequence[dt.date]) -> None:
         """Recomputes the rollups of the given dates; the scans are pruned to them."""
         reading, wqi, health = [

@@ -50,17 +50,14 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function: store the batch, then refresh rollups and marts.
 
-    Rollups follow every batch; marts every `refresh_every` batches, never if None. An empty
+    The refresh runs every `refresh_every` batches; if None it is left to the caller. An empty
     batch is skipped. Running a batch again replaces what it wrote.
     """
 
     def write(scored: DataFrame, batch_id: int) -> None:
-        dates = warehouse.append_batch(scored, batch_id)
-        if not dates:
-            return
-        warehouse.refresh_rollups(dates)
-        if refresh_every is not None and batch_id % refresh_every == 0:
-            warehouse.refresh_marts(clock(), batch_id)
+        stored = warehouse.append_batch(scored, batch_id)
+        if stored and refresh_every is not None and batch_id % refresh_every == 0:
+            warehouse.refresh(clock(), batch_id)
 
     return write
 

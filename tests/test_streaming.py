@@ -69,7 +69,19 @@ def ids(warehouse):
     return sorted(r[0] for r in warehouse.table("fact_sensor_reading").select("reading_id").collect())
 
 
-def test_bad_duplicate_and_late_events(spark, tmp_path, warehouse):
+@pytest.mark.parametrize("rocksdb", [False, True])
+def test_bad_duplicate_and_late_events(spark, tmp_path, warehouse, rocksdb):
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    default = spark.conf.get(setting)
+    if rocksdb:
+        stream.use_rocksdb_state(spark)
+    try:
+        bad_duplicate_and_late_events(spark, tmp_path, warehouse)
+    finally:
+        spark.conf.set(setting, default)
+
+
+def bad_duplicate_and_late_events(spark, tmp_path, warehouse):
     drop(
         tmp_path,
         "1.json",
@@ -106,6 +118,7 @@ def test_running_a_batch_again_changes_nothing(telemetry, warehouse):
     warehouse.append_batch(scored, 7)
     after = warehouse.table("fact_sensor_reading").count(), warehouse.alerts().count()
     assert before == after and before[0] == 1000
+    assert len(warehouse.dates_since(None)) == 30 and warehouse.dates_since(7) == []
 
 
 def test_an_empty_batch_is_skipped(telemetry, warehouse):
@@ -123,13 +136,13 @@ def comparable(df):
 
 
 def test_stored_marts_equal_batch_marts(spark, telemetry, warehouse):
-    """Six batches of five days, rollups refreshed for the touched dates only."""
+    """Six batches of five days; rollups and marts are refreshed after three and six."""
     days = F.datediff("event_date", F.lit("2024-01-01"))
-    scored = telemetry.scored.withColumn("batch", F.floor(days / 5).cast("bigint"))
-    write = stream.batch_writer(warehouse, refresh_every=5, clock=lambda: CLOCK)
-    for batch in range(6):
+    scored = telemetry.scored.withColumn("batch", (F.floor(days / 5) + 1).cast("bigint"))
+    write = stream.batch_writer(warehouse, refresh_every=3, clock=lambda: CLOCK)
+    for batch in range(1, 7):
         write(scored.filter(F.col("batch") == batch).drop("batch"), batch)
-        if batch in (1, 3):
+        if batch in (2, 4):
             warehouse.compact_alerts(batch)
     business = facts_plan.business_rows(scored)
     facts = facts_plan.Facts(
