@@ -2,9 +2,10 @@
 
 Facts and logs are partitioned by event date and batch. Writing a batch replaces its own
 partitions, so a batch that runs again changes nothing. Rollups are partitioned by date and
-recomputed for the dates touched since the last refresh; marts are built from rollups, never from the whole
-history of readings. A mart refresh writes a new version and marks it complete at the end;
-readers take the newest complete version, so they never see a half-written set.
+recomputed for the dates touched since the last refresh; marts are built from rollups and the
+last hours of facts, never from the whole history of readings. A refresh writes a new version
+of the marts and marks it complete at the end; readers take the newest complete version, so
+they never see a half-written set.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hydrolens import schema as S
 from hydrolens.operators import alerts as A
 from hydrolens.operators import ingest
 from hydrolens.plans import facts as facts_plan
@@ -26,14 +28,42 @@ from hydrolens.plans import rollups as R
 from hydrolens.plans.martset import MartSet
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
-ROLLUPS = (
-    "quality_daily",
-    "health_daily",
-    "wqi_totals",
-    "newest_wqi",
-    "newest_reading",
-    "parameter_hourly",
-)
+# Tables are partitioned by those of these columns they have.
+PARTITION_COLUMNS = ("event_date", "summary_date", "trend_date", "batch")
+
+
+def _reading_frame(scored: DataFrame, batch_id: int) -> DataFrame:
+    now = F.current_timestamp()
+    batch = F.lit(batch_id).cast("bigint")
+    return facts_plan.fact_sensor_reading(scored).withColumns(
+        {"ingestion_time": now, "processing_time": now, "batch": batch}
+    )
+
+
+def _derived_frames(readings: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+    """The other facts and the alert logs of one batch of stored readings."""
+    batch = F.lit(batch_id).cast("bigint")
+    indexed = ingest.with_index(readings)
+    business = facts_plan.business_rows(indexed)
+    return {
+        "fact_water_quality_index": facts_plan.fact_water_quality_index(indexed).withColumn(
+            "batch", batch
+        ),
+        "fact_sensor_health": facts_plan.fact_sensor_health(indexed).withColumn("batch", batch),
+        "alert_log": A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp")),
+        "heartbeat_log": A.heartbeat_log(business),
+    }
+
+
+def _rollup_frames(reading: DataFrame, wqi: DataFrame, health: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "rollup_quality_daily": R.reading_quality_daily(reading),
+        "rollup_health_daily": R.sensor_health_daily(health),
+        "rollup_wqi_totals": R.wqi_totals_daily(wqi),
+        "rollup_newest_wqi": R.latest_wqi(wqi, ["event_date", "station_id"]),
+        "rollup_newest_reading": R.latest_reading(reading, ["event_date", "station_id"]),
+        "rollup_parameter_hourly": R.parameter_hourly(reading),
+    }
 
 
 class Warehouse:
@@ -41,17 +71,33 @@ class Warehouse:
         self.spark, self.root, self.stations = spark, root.rstrip("/"), stations
 
     # --- tables ---------------------------------------------------------------------
-    def table(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self.root}/{name}")
+    def table(self, name: str) -> DataFrame:
+        """A stored table. Its schema is given, so a table that has no rows yet can be read."""
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
 
-    def _replace_partitions(self, df: DataFrame, name: str, by: Sequence[str]) -> None:
+    @cached_property
+    def schemas(self) -> dict[str, T.StructType]:
+        """The schema of each fact, log and rollup, from its own plan over no rows."""
+        ids = [T.StructField(name, T.StringType()) for name in ("reading_id", "station_id", "sensor_id")]
+        measures = [T.StructField(name, T.DoubleType()) for name in S.MEASURES]
+        time = T.StructField("event_timestamp", T.TimestampType())
+        nothing = self.spark.createDataFrame([], T.StructType([*ids, time, *measures]))
+        readings = _reading_frame(ingest.score_readings(nothing), 0)
+        derived = _derived_frames(readings, 0)
+        rollups = _rollup_frames(
+            readings, derived["fact_water_quality_index"], derived["fact_sensor_health"]
+        )
+        frames = {"fact_sensor_reading": readings, **derived, **rollups}
+        return {name: frame.schema for name, frame in frames.items()}
+
+    def _replace_partitions(self, df: DataFrame, name: str) -> None:
         """Overwrites the partitions that occur in `df` and leaves the others alone.
 
         Rows are gathered by partition first, so a date is not written as one file per task.
         The rebalance joins small partitions into one task and splits one that is larger than
         the advisory size, such as a day that holds a third of the batch.
         """
+        by = [column for column in PARTITION_COLUMNS if column in df.columns]
         (
             df.hint("rebalance", *by)
             .write.mode("overwrite")
@@ -85,25 +131,12 @@ class Warehouse:
         So the stream's plan runs once, nothing has to be held in executors, and all tables
         agree on which copy of a repeated reading survived.
         """
-        batch = F.lit(batch_id).cast("bigint")
-        now = F.current_timestamp()
-        by = ["event_date", "batch"]
-        readings = facts_plan.fact_sensor_reading(scored).withColumns(
-            {"ingestion_time": now, "processing_time": now, "batch": batch}
-        )
-        self._replace_partitions(readings, "fact_sensor_reading", by)
-        stored = self.table("fact_sensor_reading", readings.schema).filter(F.col("batch") == batch)
+        self._replace_partitions(_reading_frame(scored, batch_id), "fact_sensor_reading")
+        stored = self.table("fact_sensor_reading").filter(F.col("batch") == batch_id)
         if stored.isEmpty():
             return False
-        indexed = ingest.with_index(stored)
-        wqi = facts_plan.fact_water_quality_index(indexed).withColumn("batch", batch)
-        health = facts_plan.fact_sensor_health(indexed).withColumn("batch", batch)
-        business = facts_plan.business_rows(indexed)
-        log = A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp"))
-        self._replace_partitions(wqi, "fact_water_quality_index", by)
-        self._replace_partitions(health, "fact_sensor_health", by)
-        self._replace_partitions(log, "alert_log", by)
-        self._replace_partitions(A.heartbeat_log(business), "heartbeat_log", ["batch"])
+        for name, frame in _derived_frames(stored, batch_id).items():
+            self._replace_partitions(frame, name)
         return True
 
     # --- alerts ---------------------------------------------------------------------
@@ -144,14 +177,18 @@ class Warehouse:
         return facts_plan.Facts(self.stations, reading, wqi, health, self.alerts())
 
     # --- refresh --------------------------------------------------------------------
-    def refresh(self, clock: M.Clock, version: int) -> dict[str, DataFrame]:
+    def refresh(self, clock: M.Clock, version: int) -> None:
         """Rollups of the dates written since the last complete version, then the marts.
 
         The dates come from the stored partitions, so a refresh that was skipped or failed is
         made up for by the next one. `version` is the id of the batch just stored.
         """
-        self.refresh_rollups(self.dates_since(self._newest("marts")))
-        return self.refresh_marts(clock, version)
+        newest = self._newest("marts")
+        if newest is None or newest < version:  # else the batch runs again
+            dates = self.dates_since(newest)
+            if dates:
+                self.refresh_rollups(dates)
+            self.refresh_marts(clock, version)
 
     def dates_since(self, version: int | None) -> list[dt.date]:
         """Dates that batches after `version` touched; reads partition values only."""
@@ -165,20 +202,11 @@ class Warehouse:
         reading, wqi, health = [
             self.table(name).filter(F.col("event_date").isin(*dates)) for name in FACTS
         ]
-        frames = {
-            "quality_daily": R.reading_quality_daily(reading),
-            "health_daily": R.sensor_health_daily(health),
-            "wqi_totals": R.wqi_totals_daily(wqi),
-            "newest_wqi": R.latest_wqi(wqi, ["event_date", "station_id"]),
-            "newest_reading": R.latest_reading(reading, ["event_date", "station_id"]),
-            "parameter_hourly": R.parameter_hourly(reading),
-        }
-        for name, frame in frames.items():
-            day = next(c for c in ("summary_date", "event_date", "trend_date") if c in frame.columns)
-            self._replace_partitions(frame, f"rollup_{name}", [day])
+        for name, frame in _rollup_frames(reading, wqi, health).items():
+            self._replace_partitions(frame, name)
 
     # --- marts ----------------------------------------------------------------------
-    def refresh_marts(self, clock: M.Clock, version: int) -> dict[str, DataFrame]:
+    def refresh_marts(self, clock: M.Clock, version: int) -> None:
         folder = f"{self.root}/marts/version={version}"
 
         def keep(df: DataFrame, name: str) -> DataFrame:
@@ -195,9 +223,8 @@ class Warehouse:
         stored = facts_plan.Facts(
             facts.stations, facts.readings, facts.wqi, facts.health, stored_alerts
         )
-        marts = StoredMartSet(self, stored, clock, keep).all()
+        StoredMartSet(self, stored, clock, keep).all()
         self._complete("marts", version)
-        return marts
 
     def mart(self, name: str) -> DataFrame:
         """A mart of the newest complete version."""

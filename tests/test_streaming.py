@@ -130,6 +130,21 @@ def test_an_empty_batch_is_skipped(telemetry, warehouse):
     assert warehouse.table("fact_sensor_reading").count() == 1000
 
 
+def test_marts_without_alerts_or_index_rows(telemetry, warehouse):
+    """A first batch of partial readings: no index, no alerts, no heartbeats yet."""
+    write = stream.batch_writer(warehouse, clock=lambda: CLOCK)
+    write(telemetry.scored.filter("quality_flag = 'partial'"), 0)
+    assert warehouse.mart("mart_alert_monitor").isEmpty()
+    assert warehouse.mart("mart_station_daily_snapshot").isEmpty()
+    colors = warehouse.mart("mart_station_latest_status").select("overall_status_color")
+    assert {r[0] for r in colors.collect()} == {"gray"}
+    write(telemetry.scored.filter("quality_flag <> 'partial'"), 1)
+    assert warehouse.mart("mart_alert_monitor").count() > 0
+    write(telemetry.scored.filter("quality_flag <> 'partial'"), 1)  # again
+    readiness = warehouse.mart("mart_system_readiness_summary")
+    assert readiness.agg(F.sum("total_readings")).first()[0] == 1000
+
+
 def comparable(df):
     names = sorted(df.columns)
     return sorted(map(repr, df.select(names).collect()))
