@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydrolens.llm import language_id, nearest, sharding, token_files
+from hydrolens.llm import language_id, near_duplicates, nearest, sharding, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_nearest_centroid": language_id.document_languages,
+        "op6_bayes_minhash": near_duplicates.document_groups,
         "op7_projected_neighbours": nearest.embedding_neighbours,
         "op9_jump_shards": sharding.document_shards,
         "op10_token_files": token_files.document_tokens,
