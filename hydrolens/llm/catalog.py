@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydrolens.llm import language_id, near_duplicates, nearest, sharding, token_files
+from hydrolens.llm import decontamination, language_id, near_duplicates, nearest, sharding, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_positional_index": decontamination.contaminated_documents,
         "op5_nearest_centroid": language_id.document_languages,
         "op6_bayes_minhash": near_duplicates.document_groups,
         "op7_projected_neighbours": nearest.embedding_neighbours,
@@ -20,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op1_positional_index": decontamination.CONTAMINATED_SQL}
