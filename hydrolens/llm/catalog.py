@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydrolens.llm import decontamination, language_id, near_duplicates, nearest, sharding, token_files
+from hydrolens.llm import decontamination, language_id, near_duplicates, nearest, sharding, substring_dedup, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_positional_index": decontamination.contaminated_documents,
+        "op4_difference_cover": substring_dedup.document_passages,
         "op5_nearest_centroid": language_id.document_languages,
         "op6_bayes_minhash": near_duplicates.document_groups,
         "op7_projected_neighbours": nearest.embedding_neighbours,
@@ -21,4 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {"op1_positional_index": decontamination.CONTAMINATED_SQL}
+    return {
+        "op1_positional_index": decontamination.CONTAMINATED_SQL,
+        "op4_difference_cover": substring_dedup.PASSAGES_SQL,
+    }
