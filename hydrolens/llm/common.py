@@ -71,3 +71,13 @@ def in_order(
             (F.col("_before") + F.col("_place") - F.col("_first")).alias("slot"),
         )
     )
+
+
+def bucketed(df: DataFrame, column: str, run: RunFolder, name: str) -> DataFrame:
+    """Stored in buckets of the column, one per shuffle partition: grouping by the column, or meeting
+    another frame by it, then leaves these rows where they are."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table_name = f"{name}_{run.path.rsplit('-', 1)[1]}"
+    df.write.bucketBy(buckets, column).option("path", f"{run.path}/{name}").saveAsTable(table_name)
+    return spark.table(table_name)

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 # Characters of text that are worked on at a time; a longer text is one piece of its own.
@@ -36,12 +38,14 @@ class Words:
 
     def __init__(self, texts: pa.Array, lower: bool = False):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if lower:
-            texts = pc.ascii_lower(texts)
         parts = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(parts.flatten())
         self.dictionary = coded.dictionary.cast(pa.large_binary()).to_pylist()
         codes = coded.indices.to_numpy()
+        if lower and self.dictionary:  # bytes.lower changes A-Z only
+            at: dict[bytes, int] = {}
+            codes = np.array([at.setdefault(w.lower(), len(at)) for w in self.dictionary])[codes]
+            self.dictionary = list(at)
         offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
         if b"" in self.dictionary:  # before leading and after trailing white space
@@ -97,3 +101,22 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         last = max(first + 1, int(np.searchsorted(upto, done + PIECE_CHARS, "right")))
         yield batch.slice(first, last - first)
         first = last
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for piece in pieces(batch):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([piece.column(1).to_pylist()], pa.list_(pa.string()))],
+                names=["block", "doc_ids", "texts"],
+            )
+            number += 1
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """The documents in blocks of bounded text size, one row each: block, doc_ids, texts."""
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return whole.mapInArrow(_cut, "block long, doc_ids array<long>, texts array<string>")

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrolens.llm.common import table
-from hydrolens.llm.shingles import Words, mixed, pieces
+from hydrolens.llm.common import bucketed, table
+from hydrolens.llm.shingles import Words, blocks_of, mixed
 from hydrolens.sources.folders import RunFolder
 
 WINDOW = 13
@@ -44,19 +44,6 @@ def cover_of(window: int) -> tuple[int, tuple[int, ...]]:
     return period, COVERS[period]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for piece in pieces(batch):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([piece.column(1).to_pylist()], pa.list_(pa.string()))],
-                names=["block", "doc_ids", "texts"],
-            )
-            number += 1
-
-
 class Block:
     def __init__(self, doc_ids: pa.Array, texts: pa.Array, window: int):
         self.doc_ids = doc_ids
@@ -273,13 +260,9 @@ def remove_repeats(docs: DataFrame, run: RunFolder, window: int = WINDOW) -> Dat
     An empty table gives an empty result."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _cut, "block long, doc_ids array<long>, texts array<string>"
-    )
-    name = f"blocks_{run.path.rsplit('-', 1)[1]}"
+    cut = blocks_of(docs)
     # Bucketed by block: what comes back to the blocks meets them without moving the texts again.
-    cut.write.bucketBy(buckets, "block").option("path", f"{run.path}/blocks").saveAsTable(name)
-    blocks = spark.table(name)
+    blocks = bucketed(cut, "block", run, "blocks")
     anchors = blocks.mapInArrow(_send_anchors(window, buckets), ANCHORS)
     shared = run.keep(anchors.groupBy("bucket").applyInPandas(_shared, "block long, bucket int, keys binary"), "shared")
     windows = (

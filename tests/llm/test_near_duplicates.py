@@ -101,3 +101,21 @@ def test_components_of_long_chains(spark):
     found = {r.node: r.component for r in components(frame, RunFolder(spark), "c").collect()}
     assert found == {i: 0 for i in range(101)} | {300: 300, 400: 300, 500: 300}
     assert components(frame.limit(0), RunFolder(spark), "c").collect() == []
+
+
+def test_slices_of_batches_are_read_right():
+    import pyarrow as pa
+
+    from hydrolens.llm.shingles import Words, pieces, word_hash
+
+    texts = [f"Word{i} ÀB cd " * (i % 5) for i in range(50)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    for lower in (True, False):
+        got = []
+        for first in range(0, len(texts), 7):
+            words = Words(batch.slice(first, 7).column("text"), lower)
+            got += words.hashes.tolist()
+            assert words.sizes.tolist() == [len((t or "").split()) for t in texts[first : first + 7]]
+        flat = [w for t in texts for w in X.space_words(X.ascii_lower(t or "") if lower else t)]
+        assert got == word_hash([w.encode() for w in flat]).tolist()
+    assert sum(p.num_rows for p in pieces(batch)) == len(texts)
