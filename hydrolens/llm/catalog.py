@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hydrolens.llm import decontamination, language_id, near_duplicates, nearest, sharding, substring_dedup, token_files
+from hydrolens.llm import decontamination, katz, language_id, licenses, mixing, near_duplicates, nearest, sharding, substring_dedup, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_positional_index": decontamination.contaminated_documents,
+        "op2_katz_backoff": katz.document_scores,
+        "op3_budget_tree": mixing.document_mixture,
         "op4_difference_cover": substring_dedup.document_passages,
         "op5_nearest_centroid": language_id.document_languages,
         "op6_bayes_minhash": near_duplicates.document_groups,
         "op7_projected_neighbours": nearest.embedding_neighbours,
+        "op8_license_bands": licenses.document_licenses,
         "op9_jump_shards": sharding.document_shards,
         "op10_token_files": token_files.document_tokens,
     }
@@ -24,5 +27,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def statements() -> dict[str, str]:
     return {
         "op1_positional_index": decontamination.CONTAMINATED_SQL,
+        "op3_budget_tree": mixing.document_mixture,
+        "op3_budget_tree": mixing.MIXTURE_SQL,
         "op4_difference_cover": substring_dedup.PASSAGES_SQL,
+        "op8_license_bands": licenses.LICENSES_SQL,
     }
