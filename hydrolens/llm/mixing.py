@@ -13,7 +13,7 @@ running sums over ranges of the order, so no leaf has to fit in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hydrolens.llm.common import WORD, small, table, words
@@ -26,17 +26,16 @@ MAX_EPOCHS = 2
 BUDGET_PART = 0.9
 
 # The hot source is a domain of its own; the others form four by their numbers.
-DOMAIN = F.when(F.col("source") == "src0", F.lit("crawl")).otherwise(
-    F.concat(F.lit("collection"), F.coalesce(F.try_to_number(F.regexp_extract("source", r"(\d+)$", 1), F.lit("99999")).cast("int") % 4, F.lit(0)))
-)
+DOMAIN = """case when source = 'src0' then 'crawl'
+  else concat('collection', coalesce(try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') as int) % 4, 0)) end"""
 WEIGHTS = {
-    "domain": F.when(F.col("domain") == "crawl", F.lit(3)).otherwise(F.lit(2)),
-    "lang": F.when(F.col("lang") == "en", F.lit(4)).otherwise(F.lit(1)),
-    "source": F.lit(1),
+    "domain": "if(domain = 'crawl', 3, 2)",
+    "lang": "if(lang = 'en', 4, 1)",
+    "source": "1",
 }
 
 
-def supplies(docs: DataFrame, domain: Column, run: RunFolder) -> DataFrame:
+def supplies(docs: DataFrame, domain: str, run: RunFolder) -> DataFrame:
     """Stored units (domain, lang, source, doc_id, n_tokens). Rows of one leaf with the same doc_id are
     one unit; null names count as the name `none`. Texts without words are no supply."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
@@ -45,19 +44,20 @@ def supplies(docs: DataFrame, domain: Column, run: RunFolder) -> DataFrame:
         F.size(words(F.col("text").cast("string"), WORD)).cast("long").alias("n"),
     ).where("n > 0")
     return run.keep(
-        counted.withColumn("domain", F.coalesce(domain, F.lit("none")))
+        counted.withColumn("domain", F.coalesce(F.expr(domain), F.lit("none")))
         .groupBy(*LEVELS, "doc_id").agg(F.sum("n").alias("n_tokens")),
         "units",
     )
 
 
-def budgets(units: DataFrame, weights: dict[str, Column], max_epochs: int, budget_part: float, run: RunFolder) -> DataFrame:
-    """Per leaf: n_tokens (in one epoch) and target (whole tokens). Weights are whole numbers; a
+def budgets(units: DataFrame, weights: dict[str, str], max_epochs: int, budget_part: float, run: RunFolder) -> DataFrame:
+    """Per leaf: n_tokens (in one epoch) and target (whole tokens). `domain` and the weights are SQL
+    expressions over the level names; weights are whole numbers. A
     node of weight 0 gives nothing."""
     leaves = units.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("n_tokens"))
     leaves = run.keep(leaves, "leaves")
     for level, weight in weights.items():
-        leaves = leaves.withColumn(f"w_{level}", weight.cast("long"))
+        leaves = leaves.withColumn(f"w_{level}", F.expr(weight).cast("long"))
     usable = F.when(F.least(*[f"w_{level}" for level in LEVELS]) > 0, F.col("n_tokens") * max_epochs).otherwise(F.lit(0))
     leaves = leaves.withColumn("capacity", usable.cast("long"))
     total = Window.partitionBy()
@@ -105,7 +105,7 @@ def _running(units: DataFrame, run: RunFolder) -> DataFrame:
 
 
 def mixture(
-    docs: DataFrame, run: RunFolder, domain: Column = DOMAIN, weights: dict[str, Column] | None = None,
+    docs: DataFrame, run: RunFolder, domain: str = DOMAIN, weights: dict[str, str] | None = None,
     max_epochs: int = MAX_EPOCHS, budget_part: float = BUDGET_PART, seed: str = SEED,
 ) -> DataFrame:
     """domain, lang, source, doc_id, epoch (from 0), n_tokens and taken (tokens within the leaf's prefix;
@@ -136,7 +136,7 @@ def mixture(
     return again.unionByName(cut)
 
 
-def mixed_documents(docs: DataFrame, run: RunFolder, domain: Column = DOMAIN, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, run: RunFolder, domain: str = DOMAIN, **options) -> DataFrame:
     """The rows of the documents that the mixture takes, all columns, once per epoch. The document at the
     end of a leaf's prefix comes whole."""
     chosen = mixture(docs, run, domain, **options).groupBy(*LEVELS, F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"))
