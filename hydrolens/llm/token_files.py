@@ -15,8 +15,11 @@ File, little-endian:
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +35,11 @@ from hydrolens.sources.folders import RunFolder
 MAGIC = b"DACTOK01"
 RANK_BLOCK = 512
 END_ID = 2
-# Distinct words whose ids a task remembers, and ids that one file holds at least before it ends.
-CACHED_WORDS = 1_000_000
-FILE_IDS = 16_000_000
+# Pieces of words whose ids a task remembers; ids after which a file ends.
+CACHED_PIECES = 500_000
+FILE_IDS = 8_000_000
+# Texts that are encoded together.
+STEP_ROWS = 2000
 MANIFEST = "part int, file int, path string, n_ids long, n_docs long"
 DECODED = "part int, file int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
@@ -43,9 +48,27 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
+# The split rule of the tokenizer file, and the same rule for lower-case text of
+# ASCII and Latin-1 letters as Python spells it.
+SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_RULE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+LATIN_WORD = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes stand
+    for themselves, the others for the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class Encoder:
-    """Ids of whole texts. The tokenizer never joins characters across ASCII white space, so each
-    distinct word is encoded once and looked up from then on."""
+    """Ids of whole texts, each followed by the end id.
+
+    Where the tokenizer file has the split rule above, nothing is joined across ASCII white space:
+    each distinct word of a batch is encoded once. The pieces of a word of Latin letters go straight
+    to the merges, past normalisation that cannot change them, and are remembered. All other words, and whole texts under any other rule, take the tokenizer's full way."""
 
     def __init__(self, tokenizer_path: str, end_id: int = END_ID):
         import os
@@ -54,30 +77,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
         self.end_id = end_id
-        self.cache: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}  # ids as uint32
+        self.letters = byte_letters()
+        with open(tokenizer_path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        self.by_word = (
+            steps[0].get("pattern") == {"Regex": SPLIT_RULE}
+            and [n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+            and not spec["model"].get("ignore_merges")
+        )
+
+    def piece(self, piece: str) -> bytes:
+        plain = piece.isascii() and piece.isprintable()
+        spelled = piece if plain else "".join([self.letters[b] for b in piece.encode()])
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def word(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters, None for any other."""
+        if "<|" in word or not (word.isascii() or LATIN_WORD.fullmatch(word)):
+            return None
+        known, word = self.pieces, word.lower()
+        pieces = [word] if word.isascii() and word.isalpha() else LATIN_RULE.findall(word)
+        for piece in pieces:
+            if piece not in known:
+                known[piece] = self.piece(piece)
+        return known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces.clear()
+        found = [self.word(word) for word in words]
+        others = [i for i, ids in enumerate(found) if ids is None]
+        encoded = self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False)
+        for i, e in zip(others, encoded):
+            found[i] = array("I", e.ids).tobytes()
+        return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, each text followed by the end id; and the ids of each text."""
+        """All ids in a row, and the number of ids of each text."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.by_word:
+            found = [e.ids + [self.end_id] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
         parts = pc.ascii_split_whitespace(texts)
         ends = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
         coded = pc.dictionary_encode(parts.flatten())
         words = coded.dictionary.to_pylist()
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.cache[word] = found.ids
-        known = [self.cache[w] for w in words] + [[self.end_id]]
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter((i for ids in known for i in ids), np.uint32, int(sizes.sum()))
-        firsts = np.cumsum(sizes) - sizes
+        known = [*self.of_words(words), array("I", [self.end_id]).tobytes()]
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.uint32)
+        firsts = np.cumsum(sizes, dtype=np.int32) - sizes
         # The end id comes as a word of its own after the words of each text.
         order = np.insert(coded.indices.to_numpy(), ends, len(words))
         each = sizes[order]
-        upto = np.cumsum(each)
-        ids = flat[np.arange(int(each.sum())) + np.repeat(firsts[order] - (upto - each), each)]
+        upto = np.cumsum(each, dtype=np.int64)
+        # Place of each id in `flat`: its place in the row of words, moved to where its word stands.
+        at = np.arange(int(upto[-1]) if len(upto) else 0)
+        at += np.repeat(firsts[order] - (upto - each), each)
+        ids = flat[at]
         return ids, np.diff(upto[ends + np.arange(len(ends))], prepend=0)
 
 
@@ -86,10 +146,11 @@ def levels_of(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
     found, rest = [], ids.astype(np.uint32)
     while True:
         goes_on = rest >= 256
+        bitmap = np.packbits(goes_on, bitorder="little")
         # Marked entries before every block, and before the end.
-        marks = np.concatenate([[0], np.cumsum(goes_on, dtype=np.int64)])
-        ranks = np.append(marks[0 : len(rest) : RANK_BLOCK], marks[-1])
-        found.append(((rest & 255).astype(np.uint8), np.packbits(goes_on, bitorder="little"), ranks.astype(np.uint64)))
+        blocks = np.bitwise_count(np.pad(bitmap, (0, -len(bitmap) % (RANK_BLOCK // 8)))).reshape(-1, RANK_BLOCK // 8)
+        ranks = np.concatenate([[0], np.cumsum(blocks.sum(axis=1, dtype=np.int64))])
+        found.append(((rest & 255).astype(np.uint8), bitmap, ranks.astype(np.uint64)))
         if not goes_on.any():
             return found
         rest = rest[goes_on] >> 8
@@ -203,9 +264,9 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
 
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
-            for first in range(0, batch.num_rows, 1000):
-                ids, sizes = encode(texts.slice(first, 1000))
-                here = doc_ids.slice(first, 1000)
+            for first in range(0, batch.num_rows, STEP_ROWS):
+                ids, sizes = encode(texts.slice(first, STEP_ROWS))
+                here = doc_ids.slice(first, STEP_ROWS)
                 held.append((ids, pc.fill_null(here, 0).to_numpy(), pc.is_null(here).to_numpy(False), sizes))
                 if sum(len(x[0]) for x in held) >= FILE_IDS:
                     yield closed()

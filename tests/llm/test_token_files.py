@@ -19,8 +19,8 @@ def whole_ids(text):
 
 def test_word_by_word_equals_whole_texts():
     tokenizer, rng, encode = Tokenizer.from_file(PATH), random.Random(3), K.Encoder(PATH)
-    pieces = list("aZ09'éÉñßİςΣ") + ["́", "̀", "'s", "'LL", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "　", " ", "日", "한", "\U0001f600", "<|endoftext|>", "-", "…", "½"]
-    texts = ["".join(rng.choices(pieces, k=rng.randrange(0, 60))) for _ in range(800)] + ["", " "]
+    pieces = list("aZ09'éÉñßİςΣ") + ["́", "̀", "À", "ö", "ÿ", "×", "÷", "µ", "º", "²", "¿", "Æ", "\x7f", "\x01", "'Ve", "'", '"', "<|", ".", ",,", "'s", "'LL", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "　", " ", "日", "한", "\U0001f600", "<|endoftext|>", "-", "…", "½"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(0, 60))) for _ in range(3000)] + ["", " "]
     ids, sizes = encode(pa.array(texts))
     wanted = [e.ids + [2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert sizes.tolist() == [len(w) for w in wanted]
@@ -64,3 +64,11 @@ def test_several_files_null_and_repeated_ids(spark, tmp_path, monkeypatch):
 
 def test_empty(spark, tmp_path):
     assert K.document_tokens(spark, X.folder_of(tmp_path, documents=X.documents(spark).limit(0))).collect() == []
+
+
+def test_other_tokenizers_take_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Two  words", "", " a b\n", None]
+    ids, sizes = K.Encoder(path, 7)(pa.array(texts))
+    wanted = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    assert ids.tolist() == [i for w in wanted for i in w] and sizes.tolist() == [len(w) for w in wanted]
