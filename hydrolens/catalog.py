@@ -208,11 +208,12 @@ def _dim_date(t: Telemetry) -> DataFrame:
 
 
 def _dim_time(t: Telemetry) -> DataFrame:
-    """Clock rows of the seconds in which readings fall."""
-    seconds = t.readings.groupBy(F.col("event_time_key").alias("time_key")).agg(
+    """Every second of the clock with the readings that fall on it."""
+    counts = t.readings.groupBy(F.col("event_time_key").alias("time_key")).agg(
         F.count("*").alias("readings")
     )
-    return seconds.join(dimensions.dim_time(t.spark), "time_key")
+    clock = dimensions.dim_time(t.spark).join(counts, "time_key", "left")
+    return clock.withColumn("readings", F.coalesce("readings", F.lit(0)))
 
 
 def _dim_parameter(t: Telemetry) -> DataFrame:
@@ -222,9 +223,29 @@ def _dim_parameter(t: Telemetry) -> DataFrame:
 
 
 def _dim_threshold_rule(t: Telemetry) -> DataFrame:
+    return _rule_spans(t, dimensions.dim_threshold_rule(t.spark))
+
+
+def _rule_spans(t: Telemetry, rules: DataFrame) -> DataFrame:
+    """Each rule (19 rows) with the span of the values that it is for."""
     span = _parameter_counts(t).select("parameter_code", "min_value", "max_value")
-    rules = F.broadcast(dimensions.dim_threshold_rule(t.spark))  # 19 rows
-    return span.join(rules.drop("effective_to"), "parameter_code")
+    return span.join(F.broadcast(rules), "parameter_code")
+
+
+def _scanned_rules(t: Telemetry) -> DataFrame:
+    """The rules through CSV and back."""
+    path = f"{t.run.path}/rules_csv"
+    dimensions.export_csv(dimensions.dim_threshold_rule(t.spark), path)
+    return _rule_spans(t, dimensions.scan_threshold_rules(t.spark, path))
+
+
+def _reloaded_parameters(t: Telemetry) -> DataFrame:
+    """The parameters, stored twice in the same place and read back."""
+    path = f"{t.run.path}/dim_parameter"
+    for _ in range(2):
+        stored = dimensions.reload_dimension(dimensions.dim_parameter(t.spark), path)
+    counts = _parameter_counts(t).select("parameter_code", "reported_values")
+    return counts.join(F.broadcast(stored), "parameter_code")
 
 
 def _kpi_dictionary(t: Telemetry) -> DataFrame:
@@ -506,6 +527,8 @@ def all_queries() -> dict[str, Query]:
         "dim_time": _query(_dim_time),
         "dim_parameter": _query(_dim_parameter),
         "dim_threshold_rule": _query(_dim_threshold_rule),
+        "scan_threshold_rules": _query(_scanned_rules),
+        "reload_dimension": _query(_reloaded_parameters),
         "kpi_dictionary": _query(_kpi_dictionary),
         # --- de-duplication and streaming
         "streamed_readings": _query(_streamed_readings),

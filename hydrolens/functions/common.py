@@ -53,16 +53,18 @@ def clamp(value: str, low: float = 0.0, high: float = 100.0) -> str:
 # coarser groups. They become doubles once, for the division.
 def exact_totals(column: str) -> list[Column]:
     """Aggregates <column>_whole, <column>_billionths and <column>_n."""
-    rest = f"floor(({column} - floor({column})) * 1e9D + 0.5D)"
+    rest = f"sum(floor(({column} - floor({column})) * 1e9D + 0.5D))"
     return [
-        F.expr(f"sum(floor({column}))").alias(f"{column}_whole"),
-        F.expr(f"sum({rest})").alias(f"{column}_billionths"),
+        # Full units among the billionths are carried, so totals of totals stay far from the limit.
+        F.expr(f"sum(floor({column})) + {rest} div 1000000000").alias(f"{column}_whole"),
+        F.expr(f"{rest} % 1000000000").alias(f"{column}_billionths"),
         F.count(column).alias(f"{column}_n"),
     ]
 
 
 def _average(whole: str, billionths: str, n: str) -> Column:
-    total = f"cast({whole} as double) + cast({billionths} as double) / 1e9D"
+    carried = f"cast({whole} + ({billionths}) div 1000000000 as double)"
+    total = f"{carried} + cast(({billionths}) % 1000000000 as double) / 1e9D"
     return F.expr(f"try_divide({total}, cast({n} as double))")
 
 
@@ -77,7 +79,8 @@ def combined_average(column: str) -> Column:
 
 
 def exact_avg(column: str) -> Column:
-    rest = f"floor(({column} - floor({column})) * 1e9D + 0.5D)"
+    # Any number of rows: a bigint would hold the billionths of about 1e10 of them.
+    rest = f"cast(floor(({column} - floor({column})) * 1e9D + 0.5D) as decimal(10, 0))"
     return _average(f"sum(floor({column}))", f"sum({rest})", f"count({column})")
 
 

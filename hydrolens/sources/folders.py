@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -9,19 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names. Where it is unset, a local session gets a
-    folder of its own; a cluster session must set it, because executors have to reach it."""
+    """The folder that spark.checkpoint.dir names. It has to be set; only a session whose tasks all run
+    in the driver's own process, as in tests, gets a folder of its own, which goes with the process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="hydrolens-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 class RunFolder:
-    """A new folder for the intermediate tables of one run.
+    """A new folder for the intermediate tables of one run, removed when the session's JVM ends.
 
     A frame used several times is written once and read back. The files outlive executors,
     the lineage is cut, and the planner knows the true size of what it joins.
@@ -30,6 +34,10 @@ class RunFolder:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"

@@ -1,21 +1,25 @@
 """Stored facts, rollups and marts under one folder.
 
-Facts and logs are partitioned by event date and batch. Writing a batch replaces its own
-partitions, so a batch that runs again changes nothing. Rollups are partitioned by date and
-recomputed for the dates touched since the last refresh; marts are built from rollups and the
-last hours of facts, never from the whole history of readings. A refresh writes a new version
-of the marts and marks it complete at the end; readers take the newest complete version, so
-they never see a half-written set.
+A batch has a key: the number of its run (one per streaming checkpoint) and its id in that run, so
+that a new checkpoint never meets the batches of an old one and later runs sort after earlier
+ones. Each fact and log keeps a batch in a folder of its own, which is overwritten as a whole when
+the batch runs again. A marker is written last and holds the dates that the batch touches, now or
+before it was run again; readers see marked batches only.
+
+Every marker carries a number that grows with each batch stored. Rollups are partitioned by date
+and recomputed for the dates of markers that are newer than the last refresh; marts are built from
+rollups and the last hours of facts, never from the whole history of readings. A refresh writes a
+new version of the marts and marks it complete at the end; readers take the newest complete
+version, so they never see a half-written set. The version before it stays for readers that are
+still at it; older ones are removed.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +33,15 @@ from hydrolens.plans.martset import MartSet
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
 # Tables are partitioned by those of these columns they have.
-PARTITION_COLUMNS = ("event_date", "summary_date", "trend_date", "batch")
+DATE_COLUMNS = ("event_date", "summary_date", "trend_date")
+# Batches that one run can have before its keys reach the next run's.
+RUN_BATCHES = 1 << 40
+KEPT_VERSIONS = 2
 
 
-def _reading_frame(scored: DataFrame, batch_id: int) -> DataFrame:
+def _reading_frame(scored: DataFrame, key: int) -> DataFrame:
     now = F.current_timestamp()
-    batch = F.lit(batch_id).cast("bigint")
+    batch = F.lit(key).cast("bigint")
     return facts_plan.fact_sensor_reading(scored).withColumns(
         {"ingestion_time": now, "processing_time": now, "batch": batch}
     )
@@ -69,11 +76,33 @@ def _rollup_frames(reading: DataFrame, wqi: DataFrame, health: DataFrame) -> dic
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, stations: DataFrame):
         self.spark, self.root, self.stations = spark, root.rstrip("/"), stations
+        self._runs: dict[str, int] = {}
 
     # --- tables ---------------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        """A stored table. Its schema is given, so a table that has no rows yet can be read."""
-        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}")
+        """A stored table. Its schema is given, so a table that has no rows yet can be read. Facts
+        and logs show the rows of complete batches only."""
+        stored = self._read(name, self.schemas[name])
+        if "batch" not in stored.columns:
+            return stored
+        return stored.join(self._markers().select("batch").distinct(), "batch", "left_semi").select(stored.columns)
+
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    def _read_or_none(self, name: str, schema: str) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _batch(self, name: str, key: int) -> DataFrame:
+        """One batch of a table, read from its own folder."""
+        schema = T.StructType([f for f in self.schemas[name].fields if f.name != "batch"])
+        stored = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/batch={key}")
+        return stored.withColumn("batch", F.lit(key).cast("bigint"))
 
     @cached_property
     def schemas(self) -> dict[str, T.StructType]:
@@ -90,54 +119,95 @@ class Warehouse:
         frames = {"fact_sensor_reading": readings, **derived, **rollups}
         return {name: frame.schema for name, frame in frames.items()}
 
-    def _replace_partitions(self, df: DataFrame, name: str) -> None:
-        """Overwrites the partitions that occur in `df` and leaves the others alone.
+    def _partitioned(self, df: DataFrame) -> DataFrameWriter:
+        """A writer by date. Rows are gathered by date first, so a date is not written as one file per
+        task. The rebalance joins small dates into one task and splits one that is larger than the
+        advisory size, such as a day that holds a third of the batch."""
+        by = [column for column in DATE_COLUMNS if column in df.columns]
+        return (df.hint("rebalance", *by) if by else df).write.mode("overwrite").partitionBy(*by)
 
-        Rows are gathered by partition first, so a date is not written as one file per task.
-        The rebalance joins small partitions into one task and splits one that is larger than
-        the advisory size, such as a day that holds a third of the batch.
-        """
-        by = [column for column in PARTITION_COLUMNS if column in df.columns]
-        (
-            df.hint("rebalance", *by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*by)
-            .parquet(f"{self.root}/{name}")
-        )
+    def _write_batch(self, df: DataFrame, name: str, key: int) -> None:
+        """Replaces all that the batch has in this table, also if it now has no rows."""
+        writer = self._partitioned(df.drop("batch")).option("partitionOverwriteMode", "static")
+        writer.parquet(f"{self.root}/{name}/batch={key}")
+
+    def _remove(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    def _versions(self, name: str) -> list[int]:
+        """The complete versions of a versioned table set that are still there, oldest first."""
+        markers = self._read_or_none(f"{name}_complete", "done bigint, version bigint")
+        return sorted(r[0] for r in markers.select("done").collect()) if markers else []
 
     def _newest(self, name: str) -> int | None:
-        """The newest complete version of a versioned table set."""
-        markers = T.StructType(
-            [T.StructField("done", T.LongType()), T.StructField("version", T.LongType())]
-        )
-        path = f"{self.root}/{name}_complete"
-        try:
-            return self.spark.read.schema(markers).parquet(path).agg(F.max("done")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        return max(self._versions(name), default=None)
 
     def _complete(self, name: str, version: int) -> None:
         marker = self.spark.range(1).select(F.lit(version).cast("bigint").alias("done"))
         marker.write.mode("overwrite").parquet(f"{self.root}/{name}_complete/version={version}")
-
-    # --- one batch ------------------------------------------------------------------
-    def append_batch(self, scored: DataFrame, batch_id: int) -> bool:
+        for old in self._versions(name)[:-KEPT_VERSIONS]:
+            self._remove(f"{name}_complete/version={old}")
+            self._remove(f"{name}/version={old}")
+
+    # --- batches --------------------------------------------------------------------
+    def batch_key(self, run: str, batch_id: int) -> int:
+        """Grows with the batches of a run, and from run to run in the order of their first batches."""
+        if run not in self._runs:
+            known = self._read_or_none("runs", "run string, number bigint")
+            self._runs = dict(known.select("run", "number").collect()) if known else {}
+            if run not in self._runs:
+                number = len(self._runs)
+                row = self.spark.range(1).select(F.lit(run).alias("run"))
+                row.write.parquet(f"{self.root}/runs/number={number}")
+                self._runs[run] = number
+        return self._runs[run] * RUN_BATCHES + batch_id
+
+    def _markers(self) -> DataFrame:
+        """batch, stamp, event_date: the dates of complete batches, and a row without date for each."""
+        markers = self._read_or_none("batches", "stamp bigint, event_date date, batch bigint")
+        if markers is None:
+            return self.spark.createDataFrame([], "stamp bigint, event_date date, batch bigint")
+        return markers.filter("stamp is not null")
+
+    def _mark(self, dates: DataFrame, key: int, stamp: int | None) -> None:
+        rows = dates.select(F.lit(stamp).cast("bigint").alias("stamp"), "event_date")
+        rows.write.mode("overwrite").parquet(f"{self.root}/batches/batch={key}")
+
+    def stamp(self) -> int:
+        """The number of the batch stored last, 0 before the first. Not less than the newest marts': the
+        batch they were built from may be open again."""
+        stored = self._markers().agg(F.max("stamp")).first()[0] or 0
+        return max(stored, self._newest("marts") or 0)
+
+    def append_batch(self, scored: DataFrame, batch_id: int, run: str = "manual") -> bool:
         """Stores the facts and alert logs of one batch; false if the batch is empty.
 
         The readings are written first and everything else is derived from what was stored.
         So the stream's plan runs once, nothing has to be held in executors, and all tables
-        agree on which copy of a repeated reading survived.
+        agree on which copy of a repeated reading survived. While a batch is run again readers do
+        not see it.
         """
-        self._replace_partitions(_reading_frame(scored, batch_id), "fact_sensor_reading")
-        stored = self.table("fact_sensor_reading").filter(F.col("batch") == batch_id)
-        if stored.isEmpty():
-            return False
-        for name, frame in _derived_frames(stored, batch_id).items():
-            self._replace_partitions(frame, name)
-        return True
+        key = self.batch_key(run, batch_id)
+        folded = self._newest("alert_state")
+        if folded is not None and key <= folded:
+            raise ValueError(f"batch {batch_id} of run {run} is part of an alert snapshot")
+        before = self._read_or_none(f"batches/batch={key}", "stamp bigint, event_date date")
+        if before is not None:
+            dates = f"{self.root}/reopened/batch={key}"
+            before.select("event_date").write.mode("overwrite").parquet(dates)
+            before = self.spark.read.schema("event_date date").parquet(dates)
+            self._mark(before, key, None)
+        self._write_batch(_reading_frame(scored, key), "fact_sensor_reading", key)
+        stored = self._batch("fact_sensor_reading", key)
+        for name, frame in _derived_frames(stored, key).items():
+            self._write_batch(frame, name, key)
+        dates = stored.select("event_date").union(self.spark.range(1).selectExpr("cast(null as date)"))
+        if before is not None:
+            dates = dates.union(before)
+        self._mark(dates.distinct(), key, self.stamp() + 1)
+        return not stored.isEmpty()
 
     # --- alerts ---------------------------------------------------------------------
     def _alert_state(self, through: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -160,9 +230,12 @@ class Warehouse:
         )
 
     def compact_alerts(self, through: int) -> None:
-        """Folds the logs up to batch `through` into a snapshot, so that long histories are
-        not read again. Batches up to it must not be replayed any more; their log partitions
-        may be removed."""
+        """Folds the logs up to the batch with key `through` into a snapshot, so that long histories are
+        not read again. Batches up to it can not be run again. A snapshot that is there already, or
+        a newer one, is left alone."""
+        newest = self._newest("alert_state")
+        if newest is not None and newest >= through:
+            return
         merged, clears = self._alert_state(through)
         folder = f"{self.root}/alert_state/version={through}"
         merged.write.mode("overwrite").parquet(f"{folder}/merged")
@@ -177,33 +250,47 @@ class Warehouse:
         return facts_plan.Facts(self.stations, reading, wqi, health, self.alerts())
 
     # --- refresh --------------------------------------------------------------------
-    def refresh(self, clock: M.Clock, version: int) -> None:
-        """Rollups of the dates written since the last complete version, then the marts.
+    def batches_waiting(self) -> int:
+        """Complete batches, empty ones too, that no refresh has seen; 0 if all of them are empty."""
+        newer = self._markers().filter(F.col("stamp") > (self._newest("marts") or 0))
+        waiting, dated = newer.agg(F.count_distinct("batch"), F.count("event_date")).first()
+        return waiting if dated else 0
+
+    def refresh(self, clock: M.Clock) -> None:
+        """Rollups of the dates touched since the last complete version, then the marts.
 
-        The dates come from the stored partitions, so a refresh that was skipped or failed is
-        made up for by the next one. `version` is the id of the batch just stored.
+        A refresh that was skipped or failed is made up for by the next one. If no batch has been
+        stored since, nothing is done.
         """
-        newest = self._newest("marts")
-        if newest is None or newest < version:  # else the batch runs again
-            dates = self.dates_since(newest)
-            if dates:
-                self.refresh_rollups(dates)
-            self.refresh_marts(clock, version)
-
-    def dates_since(self, version: int | None) -> list[dt.date]:
-        """Dates that batches after `version` touched; reads partition values only."""
-        written = self.table("fact_sensor_reading").select("event_date", "batch")
-        if version is not None:
-            written = written.filter(F.col("batch") > version)
-        return [row[0] for row in written.select("event_date").distinct().collect()]
-
-    def refresh_rollups(self, dates: Sequence[dt.date]) -> None:
-        """Recomputes the rollups of the given dates; the scans are pruned to them."""
+        newest, stamp = self._newest("marts"), self.stamp()
+        if newest is None or newest < stamp:
+            self.refresh_rollups(self.dates_since(newest or 0))
+            self.refresh_marts(clock, stamp)
+
+    def dates_since(self, stamp: int) -> DataFrame:
+        """event_date: the dates that batches stored after `stamp` touch."""
+        newer = self._markers().filter((F.col("stamp") > stamp) & F.col("event_date").isNotNull())
+        return newer.select("event_date").distinct()
+
+    def refresh_rollups(self, dates: DataFrame) -> None:
+        """Recomputes the rollups of the given dates; the join on the partition column prunes the scans."""
         reading, wqi, health = [
-            self.table(name).filter(F.col("event_date").isin(*dates)) for name in FACTS
+            self.table(name).join(dates, "event_date", "left_semi") for name in FACTS
         ]
         for name, frame in _rollup_frames(reading, wqi, health).items():
-            self._replace_partitions(frame, name)
+            writer = self._partitioned(frame).option("partitionOverwriteMode", "dynamic")
+            writer.parquet(f"{self.root}/{name}")
+            self._remove_emptied(name, frame, dates)
+
+    def _remove_emptied(self, name: str, frame: DataFrame, dates: DataFrame) -> None:
+        """Dates without rows are not overwritten, so what an earlier run of a batch left there is
+        removed. Only dates that a batch has lost by running again can be meant."""
+        (column,) = [c for c in DATE_COLUMNS if c in frame.columns]
+        day = F.col(column).alias("event_date")
+        lost = self._read(name, frame.schema).select(day).join(dates, "event_date", "left_semi").distinct()
+        lost = lost.join(frame.select(day).distinct(), "event_date", "left_anti")
+        for row in lost.collect():
+            self._remove(f"{name}/{column}={row[0]}")
 
     # --- marts ----------------------------------------------------------------------
     def refresh_marts(self, clock: M.Clock, version: int) -> None:
@@ -229,6 +316,8 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         """A mart of the newest complete version."""
         version = self._newest("marts")
+        if version is None:
+            raise ValueError("the marts have not been refreshed yet")
         return self.spark.read.parquet(f"{self.root}/marts/version={version}/{name}")
 
 

@@ -43,6 +43,14 @@ def scored_stream(raw: DataFrame, watermark_delay: str = S.WATERMARK_DELAY) -> D
     return ingest.score_readings(clean_stream(raw, watermark_delay))
 
 
+def enriched_stream(
+    raw: DataFrame, stations: DataFrame, sensors: DataFrame, watermark_delay: str = S.WATERMARK_DELAY
+) -> DataFrame:
+    """Scored events with the columns of their station and sensor. The dimensions are static frames, which
+    Spark reads again for every batch."""
+    return ingest.enrich(scored_stream(raw, watermark_delay), stations, sensors)
+
+
 def batch_writer(
     warehouse: Warehouse,
     refresh_every: int | None = 1,
@@ -50,14 +58,16 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` function: store the batch, then refresh rollups and marts.
 
-    The refresh runs every `refresh_every` batches; if None it is left to the caller. An empty
-    batch is skipped. Running a batch again replaces what it wrote.
+    The refresh runs when `refresh_every` batches wait for it, whether or not the present one is empty; if
+    None it is left to the caller. Running a batch again replaces what it wrote.
     """
 
     def write(scored: DataFrame, batch_id: int) -> None:
-        stored = warehouse.append_batch(scored, batch_id)
-        if stored and refresh_every is not None and batch_id % refresh_every == 0:
-            warehouse.refresh(clock(), batch_id)
+        # Spark keeps the query's id with the checkpoint.
+        run = warehouse.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        warehouse.append_batch(scored, batch_id, run)
+        if refresh_every is not None and warehouse.batches_waiting() >= refresh_every:
+            warehouse.refresh(clock())
 
     return write
 

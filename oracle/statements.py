@@ -341,22 +341,21 @@ STATEMENTS: dict[str, str] = {
         from (select cast(unnest(generate_series((select min(event_date) from scored),
                 (select max(event_date) from scored), interval 1 day)) as date) as d) c
         left join scored s on s.event_date = c.d group by d""",
-    "dim_time": """select event_time_key as time_key,
-        max(strftime(event_timestamp, '%H:%M:%S')) as full_time,
-        cast(max(hour(event_timestamp)) as int) as hour_number,
-        cast(max(minute(event_timestamp)) as int) as minute_number,
-        cast(max(second(event_timestamp)) as int) as second_number,
-        max(case when minute(event_timestamp) < 15 then '00' when minute(event_timestamp) < 30
-             then '15' when minute(event_timestamp) < 45 then '30' else '45' end)
-          as quarter_hour_bucket,
-        max(strftime(event_timestamp, '%H') || ':00') as hour_bucket, count(*) as readings
-        from scored group by event_time_key""",
+    "dim_time": f"""select cast(strftime(c, '%H%M%S') as int) as time_key,
+        strftime(c, '%H:%M:%S') as full_time, cast(hour(c) as int) as hour_number,
+        cast(minute(c) as int) as minute_number, cast(second(c) as int) as second_number,
+        case when minute(c) < 15 then '00' when minute(c) < 30 then '15'
+             when minute(c) < 45 then '30' else '45' end as quarter_hour_bucket,
+        strftime(c, '%H') || ':00' as hour_bucket, {n_if("reading_id is not null")} as readings
+        from (select unnest(generate_series(timestamp '2000-01-01', timestamp '2000-01-01 23:59:59',
+                interval 1 second)) as c) t
+        left join scored s on s.event_time_key = cast(strftime(c, '%H%M%S') as int) group by c""",
     "dim_parameter": f"""select t.*, reported_values from
         ({_per_parameter("count(@) as reported_values")}) c join
         {_values(dims.PARAMETERS, "parameter_code, parameter_name, parameter_category, unit, description, stage_name, is_online")}
         on t.parameter_code = c.parameter_code""",
     "dim_threshold_rule": f"""select t.*, 'Drinking' as water_type,
-        date '2026-05-09' as effective_from, min_value, max_value from
+        date '2026-05-09' as effective_from, cast(null as date) as effective_to, min_value, max_value from
         ({_per_parameter("min(@) as min_value, max(@) as max_value")}) c join
         {_values(dims.THRESHOLD_RULES, _RULE_COLUMNS)} on t.parameter_code = c.parameter_code""",
     "kpi_dictionary": f"""select t.*, source_rows from
@@ -426,5 +425,10 @@ def statement(sql: str) -> str:
     return re.sub(r"\b(\d+(?:\.\d+)?)D\b", r"cast(\1 as double)", text)
 
 
+# Round trips through files give what was written.
+STATEMENTS["scan_threshold_rules"] = STATEMENTS["dim_threshold_rule"]
+STATEMENTS["reload_dimension"] = STATEMENTS["dim_parameter"]
+
+
 def all_statements() -> dict[str, str]:
     return {name: statement(sql) for name, sql in STATEMENTS.items()}

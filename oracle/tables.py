@@ -23,9 +23,10 @@ def r2(x: str) -> str:
 
 def mean(x: str) -> str:
     """Average over exact integer sums of units and billionths."""
+    rest = f"cast(sum(floor(({x} - floor({x})) * 1e9 + 0.5D)) as hugeint)"
     return (
-        f"((cast(sum(floor({x})) as double) "
-        f"+ cast(sum(floor(({x} - floor({x})) * 1e9 + 0.5D)) as double) / 1e9) "
+        f"((cast(cast(sum(floor({x})) as hugeint) + {rest} // 1000000000 as double) "
+        f"+ cast({rest} % 1000000000 as double) / 1e9) "
         f"/ nullif(cast(count({x}) as double), 0))"
     )
 

@@ -505,3 +505,19 @@ def test_time_parts(spark):
         ],
         {},
     )
+
+
+def test_totals_carry_full_units(spark):
+    """Billionths never pass one unit, so totals of totals stay far below the bigint limit."""
+    from pyspark.sql import functions as F
+
+    from hydrolens.functions import common
+
+    values = spark.range(1000).select(F.lit(0.999999999).alias("x"))
+    totals = values.agg(*common.exact_totals("x")).first()
+    assert (totals.x_whole, totals.x_billionths, totals.x_n) == (999, 999999000, 1000)
+    many = spark.range(30).select(
+        F.lit(10**17).alias("x_whole"), F.lit(999999999).alias("x_billionths"), F.lit(10**17).alias("x_n")
+    )
+    assert many.agg(common.combined_average("x")).first()[0] == 1.0
+    assert values.agg(common.exact_avg("x")).first()[0] == 0.999999999

@@ -13,7 +13,7 @@ from hydrolens.plans import facts as facts_plan
 from hydrolens.plans.marts import Clock
 from hydrolens.plans.martset import MartSet
 from hydrolens.sources.streams import json_file_stream
-from hydrolens.sources.warehouse import Warehouse
+from hydrolens.sources.warehouse import RUN_BATCHES, Warehouse
 from hydrolens.streaming import telemetry as stream
 
 START = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -118,7 +118,76 @@ def test_running_a_batch_again_changes_nothing(telemetry, warehouse):
     warehouse.append_batch(scored, 7)
     after = warehouse.table("fact_sensor_reading").count(), warehouse.alerts().count()
     assert before == after and before[0] == 1000
-    assert len(warehouse.dates_since(None)) == 30 and warehouse.dates_since(7) == []
+    assert warehouse.dates_since(0).count() == 30
+    assert warehouse.dates_since(warehouse.stamp()).isEmpty()
+
+
+def test_a_new_checkpoint_keeps_stored_batches(spark, tmp_path, warehouse):
+    for name, lines in [("1.json", [event("a", 0), event("b", 5)]), ("2.json", [event("c", 8)])]:
+        drop(tmp_path, name, lines)
+    options = {"refresh_every": 1, "clock": lambda: CLOCK}
+    run(spark, tmp_path, warehouse, **options)
+    other = tmp_path / "other"
+    other.mkdir()
+    drop(other, "3.json", [event("d", 9), event("e", 60 * 24)])
+    run(spark, other, warehouse, **options)
+    assert ids(warehouse) == list("abcde")
+    batches = warehouse.table("fact_sensor_reading").select("batch").distinct().collect()
+    assert {r[0] // RUN_BATCHES for r in batches} == {0, 1}
+    total = warehouse.mart("mart_system_readiness_summary").agg(F.sum("total_readings")).first()[0]
+    assert total == 5
+
+
+@pytest.mark.parametrize("left", ["quality_flag = 'partial'", "false"])
+def test_a_batch_run_again_with_other_rows_leaves_none_behind(telemetry, warehouse, left):
+    write = stream.batch_writer(warehouse, clock=lambda: CLOCK)
+    write(telemetry.scored.filter("event_date < '2024-01-10'"), 0)
+    write(telemetry.scored.filter("event_date >= '2024-01-10'"), 1)
+    again = telemetry.scored.filter("event_date between '2024-01-10' and '2024-01-12'").filter(left)
+    write(again, 1)
+    want = telemetry.scored.filter("event_date < '2024-01-10'").unionByName(again)
+    for name in ("fact_sensor_reading", "fact_sensor_health"):
+        assert warehouse.table(name).count() == want.count()
+    assert warehouse.table("fact_water_quality_index").count() == facts_plan.business_rows(want).count()
+    assert warehouse.table("alert_log").filter("batch = 1").isEmpty()
+    totals = warehouse.mart("mart_system_readiness_summary").agg(F.sum("total_readings"), F.max("summary_date"))
+    assert tuple(totals.first()) == (want.count(), want.agg(F.max("event_date")).first()[0])
+    trend = warehouse.mart("mart_parameter_trend").agg(F.max("trend_date")).first()[0]
+    assert trend == want.filter("quality_flag = 'valid'").agg(F.max("event_date")).first()[0]
+
+
+def test_a_half_written_batch_is_not_seen(telemetry, warehouse, monkeypatch):
+    warehouse.append_batch(telemetry.scored.filter("event_date < '2024-01-05'"), 0)
+    before = warehouse.table("fact_sensor_reading").count()
+    monkeypatch.setattr(warehouse, "_mark", lambda *args: None)
+    warehouse.append_batch(telemetry.scored.filter("event_date >= '2024-01-05'"), 1)
+    assert warehouse.table("fact_sensor_reading").count() == before
+
+
+def test_a_due_refresh_is_not_cancelled_by_an_empty_batch(telemetry, warehouse):
+    write = stream.batch_writer(warehouse, refresh_every=3, clock=lambda: CLOCK)
+    write(telemetry.scored.filter("event_date < '2024-01-05'"), 0)
+    write(telemetry.scored.filter("event_date >= '2024-01-05'"), 1)
+    with pytest.raises(ValueError, match="not been refreshed"):
+        warehouse.mart("mart_alert_monitor")
+    write(telemetry.scored.filter("false"), 2)
+    readiness = warehouse.mart("mart_system_readiness_summary")
+    assert readiness.agg(F.sum("total_readings")).first()[0] == 1000
+
+
+def test_old_versions_go_and_snapshots_are_made_once(telemetry, warehouse):
+    write = stream.batch_writer(warehouse, clock=lambda: CLOCK)
+    for batch in range(4):
+        write(telemetry.scored.filter(f"pmod(day(event_date), 4) = {batch}"), batch)
+    assert warehouse._versions("marts") == [3, 4]
+    through = warehouse.batch_key("manual", 2)
+    alerts = comparable(warehouse.alerts())
+    warehouse.compact_alerts(through)
+    warehouse.compact_alerts(through)
+    warehouse.compact_alerts(through - 1)
+    assert comparable(warehouse.alerts()) == alerts
+    with pytest.raises(ValueError, match="snapshot"):
+        warehouse.append_batch(telemetry.scored, 2)
 
 
 def test_an_empty_batch_is_skipped(telemetry, warehouse):
