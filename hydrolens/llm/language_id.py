@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydrolens.llm.common import fold, table
+from hydrolens.llm.common import fold, small, table
 from hydrolens.sources.folders import RunFolder
 
 BINS = 4096
@@ -31,8 +31,10 @@ CENTROIDS = 4
 ROUNDS = 8
 SAMPLE_PER_LANGUAGE = 1000
 # A text is rejected below this part of the lowest usual cosine (1 % quantile) of the language's
-# sample texts. Texts of one or two words lie far from any centroid and are still kept.
+# sample texts. Texts with few n-grams lie far from any centroid: below SHORT n-grams the bound falls
+# with the square root of their number, as their cosines do.
 REJECT_PART = 0.2
+SHORT = 100
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 PIECE = 4_000_000
@@ -113,6 +115,20 @@ def _fit(members: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _sample(teaching: DataFrame, run: RunFolder, bound: int) -> DataFrame:
+    """At most `bound` texts of each language: those with the smallest hashes of the id. A cut at
+    twice the wanted share leaves the ranking few rows whatever the language's size."""
+    sizes = run.keep(teaching.groupBy("lang").agg(F.count("*").alias("rows")), "language_sizes")
+    share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    ids = teaching.select("doc_id", "lang", share.alias("share")).join(small(sizes), "lang")
+    few = ids.where(F.col("share") * F.col("rows") < 2 * bound).select("doc_id", "lang", "share").distinct()
+    by_hash = Window.partitionBy("lang").orderBy("share", "doc_id")
+    ranked = few.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= bound)
+    chosen = run.keep(ranked.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "rank"), "sample_ids")
+    same = teaching["doc_id"].eqNullSafe(F.col("_id")) & (teaching["lang"] == F.col("_lang"))
+    return teaching.join(small(chosen), same).drop("_id", "_lang").dropDuplicates(["doc_id", "lang"])
+
+
 def train(labelled: DataFrame, run: RunFolder, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Learns from the columns doc_id, text and lang. Rows without text, letter or language teach
     nothing. The model has at most CENTROIDS vectors of BINS numbers per language."""
@@ -125,10 +141,7 @@ def train(labelled: DataFrame, run: RunFolder, sample_per_language: int = SAMPLE
     frequency = {r.bin: r.n for r in totals.collect()}  # BINS + 1 rows
     texts = frequency.get(-1, 0)
     idf = np.array([np.log((1 + texts) / (1 + frequency.get(b, 0))) + 1e-3 for b in range(BINS)])
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id")
-    ranked = teaching.select("doc_id", "lang").withColumn("rank", F.row_number().over(by_hash))
-    chosen = run.keep(ranked.where(F.col("rank") <= sample_per_language), "sample_ids")
-    sample = teaching.join(chosen.hint("shuffle_hash"), ["doc_id", "lang"])
+    sample = _sample(teaching, run, sample_per_language)
     fitted = (
         sample.mapInArrow(_sample_vectors(idf), "lang string, rank int, vector binary")
         .groupBy("lang")
@@ -160,10 +173,11 @@ def predictor(model: Model):
             known = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)] if model.languages else []
             for first in range(0, len(known), 256):
                 rows = known[first : first + 256]
-                cosines = np.stack([vector(counts(texts.iloc[i]), model.idf) for i in rows]) @ model.centroids.T
-                for i, c, line in zip(rows, cosines.argmax(axis=1), cosines):
+                found = [counts(texts.iloc[i]) for i in rows]
+                cosines = np.stack([vector(x, model.idf) for x in found]) @ model.centroids.T
+                for i, c, line, x in zip(rows, cosines.argmax(axis=1), cosines, found):
                     best[i], score[i] = model.languages[c], min(1.0, max(0.0, float(line[c])))
-                    rejected[i] = line[c] < model.least[c]
+                    rejected[i] = line[c] < model.least[c] * min(1.0, np.sqrt(x.sum() / SHORT))
             yield pd.DataFrame({"lang_pred": best, "score": score, "rejected": rejected})
 
     return predicted
@@ -179,6 +193,13 @@ def identify(docs: DataFrame, run: RunFolder, modulus: int = 4, held_out: int =
     return found.select("*", "_found.*").drop("_found")
 
 
+def identified(docs: DataFrame, run: RunFolder) -> DataFrame:
+    """The rows of the documents, all columns, whose language is not rejected."""
+    folded = docs.select("doc_id", "text", "lang").where(fold(F.col("doc_id"), 4) != 2)
+    model = train(folded, run)
+    return docs.where(~predictor(model)("text")["rejected"])
+
+
 def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(table(spark, sf_dir, "documents"), RunFolder(spark))
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
