@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-# Characters of text that are worked on at a time; a longer text is one piece of its own.
+# Characters of text in a block.
 PIECE_CHARS = 8_000_000
 
 
@@ -91,14 +91,15 @@ def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], value[new]
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of bounded text size."""
+def pieces(batch: pa.RecordBatch, column: str = "text", chars: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of bounded text size; a longer text is a slice of its own."""
+    chars = chars or PIECE_CHARS
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     upto = np.cumsum(lengths)
     first = 0
     while first < batch.num_rows:
         done = upto[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(upto, done + PIECE_CHARS, "right")))
+        last = max(first + 1, int(np.searchsorted(upto, done + chars, "right")))
         yield batch.slice(first, last - first)
         first = last
 

@@ -320,7 +320,9 @@ def read_tokens(manifest: DataFrame, run: RunFolder) -> DataFrame:
         ),
         "file_starts",
     )
-    files = starts.select("part", "file", "path").repartition("path")
+    # A number of tasks that is asked for is not merged into fewer: the rows are few, their files large.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = starts.select("part", "file", "path").repartition(tasks, "path")
     decoded = files.mapInArrow(_decode, DECODED)
     return decoded.join(starts.drop("path"), ["part", "file"]).select(
         "doc_id",
