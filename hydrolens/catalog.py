@@ -300,6 +300,23 @@ def _streamed_readings(t: Telemetry) -> DataFrame:
     return facts.drop("reading_id", "ingestion_time", "processing_time", "batch", "event_date")
 
 
+def _streamed_enriched_readings(t: Telemetry) -> DataFrame:
+    """The stream joined to the dimensions, through a file sink."""
+    events, sink = f"{t.run.path}/events", f"{t.run.path}/enriched"
+    derived.as_event_json(derived.readings_with_duplicates(t.spark, t.sf_dir)).write.text(events)
+    stream = telemetry.enriched_stream(json_file_stream(t.spark, events), t.stations, t.sensors)
+    columns = ingest.enrich(t.raw, t.stations, t.sensors).drop("reading_id", *S.MEASURES).columns
+    query = (
+        stream.select(columns)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{t.run.path}/checkpoint")
+        .trigger(availableNow=True)
+        .start(sink)
+    )
+    query.awaitTermination()
+    return t.spark.read.parquet(sink)
+
+
 def _streamed_alerts(t: Telemetry) -> DataFrame:
     return _streamed(t).alerts().drop("event_date")
 
@@ -533,6 +550,7 @@ def all_queries() -> dict[str, Query]:
         # --- de-duplication and streaming
         "streamed_readings": _query(_streamed_readings),
         "streamed_alerts": _query(_streamed_alerts),
+        "streamed_enriched_readings": _query(_streamed_enriched_readings),
         "dedup_readings": _query(
             lambda t: ingest.dedup_readings(
                 derived.readings_with_duplicates(t.spark, t.sf_dir)

@@ -427,6 +427,9 @@ def statement(sql: str) -> str:
 
 # Round trips through files give what was written.
 STATEMENTS["scan_threshold_rules"] = STATEMENTS["dim_threshold_rule"]
+STATEMENTS["streamed_enriched_readings"] = (
+    f"select * exclude (reading_id) from ({STATEMENTS['enriched_readings']}) e"
+)
 STATEMENTS["reload_dimension"] = STATEMENTS["dim_parameter"]
 
 
