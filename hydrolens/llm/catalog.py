@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from hydrolens.llm import decontamination, katz, language_id, licenses, mixing, near_duplicates, nearest, sharding, substring_dedup, token_files
 
 
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_bands": licenses.document_licenses,
         "op9_jump_shards": sharding.document_shards,
         "op10_token_files": token_files.document_tokens,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -31,4 +33,4 @@ def statements() -> dict[str, str]:
         "op3_budget_tree": mixing.MIXTURE_SQL,
         "op4_difference_cover": substring_dedup.PASSAGES_SQL,
         "op8_license_bands": licenses.LICENSES_SQL,
-    }
+    } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -245,6 +245,22 @@ def near_duplicates(
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def distinct_documents(docs: DataFrame, run: RunFolder, **options) -> DataFrame:
+    """The rows of the documents, all columns, that stand for their group: those with the smallest doc_id.
+    Rows without words or without doc_id stay. Of rows that repeat both doc_id and text one stays;
+    rows that share a doc_id otherwise stay or go together (they stay if one of them stands)."""
+    groups = run.keep(near_duplicates(docs, run, **options).select("doc_id", "kept"), "groups")
+    by_id = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    by_id = run.keep(by_id.where("not kept or rows > 1"), "not_single")
+    stay = docs.join(small(by_id.where("not kept").select("doc_id")), "doc_id", "left_anti")
+    repeated = by_id.where("kept").select("doc_id")
+    if not repeated.isEmpty():
+        repeated = small(repeated)
+        once = stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        stay = stay.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return stay.select(*[f"`{c}`" for c in docs.columns])
+
+
 def document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by 2-word shingles at a similarity of 0.8 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), RunFolder(spark), size=2)
