@@ -11,7 +11,7 @@ that all words and the unknown word add up to one exactly.
 
 Stored tables: blocks of documents (bucketed by block); word counts (by hash of the word); pair
 counts (bucketed by history, one segment per block). A block sends its distinct words and pairs,
-packed, and gets counts and log probabilities back, so its texts never move. Words are known by
+packed, and gets counts, totals and back-off weights back, so its texts never move. Words are known by
 64-bit hashes until the word table numbers them.
 """
 
@@ -132,6 +132,21 @@ class Block:
             chosen = self.word_order[self.bounds[b] : self.bounds[b + 1]]
             self.number[chosen], self.count[chosen] = unpack(numbers), unpack(counts)
 
+    def log_probabilities(self, rows: dict[int, tuple[bytes, bytes, bytes]], unigrams: Unigrams, d: np.ndarray) -> np.ndarray:
+        """log10 P(word | history) of each distinct pair."""
+        found = np.zeros(len(self.word))
+        single = np.log10(unigrams.probability(self.count[self.word]))
+        for b, (pair_counts, totals, weights) in rows.items():
+            part = slice(self.pair_bounds[b], self.pair_bounds[b + 1])
+            counts, total = unpack(pair_counts), unpack(totals)
+            starts = _starts(self.number[self.history[part]])
+            weight = np.zeros(len(starts))
+            weight[np.logical_or.reduceat(counts == 0, starts)] = np.frombuffer(weights)
+            each = np.diff(np.append(starts, len(counts)))
+            seen = np.maximum(discounted(counts, d), 1e-300) / np.maximum(np.repeat(total, each), 1)
+            found[part] = np.where(counts > 0, np.log10(seen), np.repeat(weight, each) + single[part])
+        return found
+
     def pairs(self) -> None:
         """Distinct pairs in the order of bucket, history and word; place of each token's pair."""
         key = self.before * self.types + self.tokens
@@ -253,39 +268,47 @@ class Segments:
         self.history, self.word = history[new], word[new]
         self.word_count = word_count[order][new]
 
-    def log_probabilities(self, unigrams: Unigrams, d: np.ndarray) -> np.ndarray:
-        """log10 P(word | history) of each distinct pair."""
+    def histories(self, unigrams: Unigrams, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Group of each distinct pair by history; per group what its counts are divided by (0 for a
+        history that training does not have), and log10 of its back-off weight."""
         first = np.concatenate([[True], self.history[1:] != self.history[:-1]])
         group = np.cumsum(first) - 1
         total = np.bincount(group, weights=self.counts)
-        kept = discounted(self.counts, d)
-        freed = np.bincount(group, weights=self.counts - kept)
+        freed = np.bincount(group, weights=self.counts - discounted(self.counts, d))
         single = unigrams.probability(self.word_count)
-        seen = self.counts > 0
-        others = 1 - np.bincount(group, weights=np.where(seen, single, 0.0))
+        others = 1 - np.bincount(group, weights=np.where(self.counts > 0, single, 0.0))
         # A history whose followers are all frequent frees nothing: one count more is given away.
         none = (freed <= 0) & (total > 0)
         freed = np.where(none, 1.0, freed)
         total = np.where(none, total + 1, total)
         with np.errstate(divide="ignore", invalid="ignore"):
             weight = np.where(total > 0, freed / (total * np.maximum(others, unigrams.unknown)), 1.0)
-            found = np.where(seen, kept / total[group], weight[group] * single)
-            return np.log10(found)
+            return group, total, np.log10(weight)
 
 
 def _pair_frequencies(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_frequencies(Segments(rows).counts), columns=["r", "n"])
 
 
+def _starts(history: np.ndarray) -> np.ndarray:
+    """First places of the histories of a segment, which is sorted by them."""
+    return np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
+
+
 def _evaluate(unigrams: Unigrams, d: np.ndarray):
     def evaluate(rows: pd.DataFrame) -> pd.DataFrame:
+        """What each block needs for its pairs: their counts, the totals of their histories, and the
+        back-off weights of those histories that have a pair without count."""
         segments = Segments(rows)
-        found = segments.log_probabilities(unigrams, d)[segments.place]
+        group, total, weight = segments.histories(unigrams, d)
         out = []
         for block, bucket, a, b in zip(rows["block"], rows["bucket"], segments.bounds, segments.bounds[1:]):
-            values, codes = np.unique(found[a:b], return_inverse=True)
-            out.append((int(bucket), int(block), pack(codes), values.tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "block", "codes", "values"])
+            place = segments.place[a:b]
+            counts, here = segments.counts[place], group[place]
+            starts = _starts(here)
+            back_off = here[starts][np.logical_or.reduceat(counts == 0, starts)]
+            out.append((int(bucket), int(block), pack(counts), pack(total[here[starts]]), weight[back_off].tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "block", "pair_counts", "totals", "weights"])
 
     return evaluate
 
@@ -295,17 +318,17 @@ SCORES = pa.schema(
 )
 
 
-def _score(buckets: int, unigrams: Unigrams):
+def _score(buckets: int, unigrams: Unigrams, d: np.ndarray):
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         out = []
-        is_word = pa.array([c is None for c in found["codes"].to_pylist()], pa.bool_())
+        is_word = pa.array([c is None for c in found["pair_counts"].to_pylist()], pa.bool_())
         words = _known_words(found.filter(is_word))
         pairs = found.filter(pc.invert(is_word)) if found.num_rows else found
-        pairs = {b: (c, v) for b, c, v in zip(*(pairs[x].to_pylist() for x in ("bucket", "codes", "values")))}
+        pairs = {b: x for b, *x in zip(*(pairs[x].to_pylist() for x in ("bucket", "pair_counts", "totals", "weights")))}
         for _, block in _blocks(rows, buckets):
             block.learn(words)
             block.pairs()
-            values = np.concatenate([np.frombuffer(v)[unpack(c)] for _, (c, v) in sorted(pairs.items())])
+            values = block.log_probabilities(pairs, unigrams, d)
             counts = block.count[block.tokens]
             starts = np.cumsum(block.sizes) - block.sizes
             out.append(
@@ -346,13 +369,13 @@ def scores(docs: DataFrame, run: RunFolder) -> DataFrame:
     to_blocks = words.where("block is not null").drop("hashes")
     sent = blocks.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(_send_pairs(buckets), PAIRS)
     pairs = bucketed(sent.repartition(buckets, "bucket"), "bucket", run, "pairs")
-    of_pairs = _totals(pairs.groupBy("bucket").applyInPandas(_pair_frequencies, "r int, n long"))
+    d = discounts(_totals(pairs.groupBy("bucket").applyInPandas(_pair_frequencies, "r int, n long")))
     found = pairs.groupBy("bucket").applyInPandas(
-        _evaluate(unigrams, discounts(of_pairs)), "bucket int, block long, codes binary, values binary"
+        _evaluate(unigrams, d), "bucket int, block long, pair_counts binary, totals binary, weights binary"
     )
     both = to_blocks.unionByName(found, allowMissingColumns=True)
     return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
-        _score(buckets, unigrams),
+        _score(buckets, unigrams, d),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
