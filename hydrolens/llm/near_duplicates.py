@@ -5,13 +5,13 @@
 2. Bands of signature values put representatives into buckets. With 30 bands of 5 values, a pair of
    similarity 0.8 shares no bucket with probability 7e-6.
 3. In a bucket, every member is paired with three members only (smallest id, smallest and largest
-   hash of id and bucket).
+   hash of the id).
 4. Pairs are compared by batches of signature values. After each batch the posterior probability
    that the similarity reaches the threshold, given the matches so far (uniform prior), is held
    against the miss probability; pairs below it are pruned. Survivors are confirmed on full sets.
-5. Links give components. Members of one bucket that are still in different components are then
-   paired with one another, checked the same way and joined. So every pair that shares a bucket
-   is either checked or already connected.
+5. Links give components. Members of buckets that still hold several components are then paired
+   across components by an exact prefix filter, checked the same way and joined. So every pair
+   that shares a bucket is checked, already connected, or proven too far apart.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ HASHES = BANDS * BAND_ROWS
 BATCH = 25
 MISS = 1e-6
 PERCENT = 80
+# Characters of text that a task works on at a time.
+STEP_CHARS = 2_000_000
+# Cells of the table by which rare shingles are told from frequent ones; any table gives right results.
+CELLS = 1 << 18
 
 DESCRIBED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
 SIGNATURE_SEED = 20
@@ -66,7 +70,7 @@ def signatures(doc: np.ndarray, value: np.ndarray, texts: int) -> tuple[np.ndarr
 def _describe(size: int, lower: bool):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, chars=STEP_CHARS):
                 doc, value = shingle_sets(Words(piece.column("text"), lower), size)
                 sizes, set_a, set_b, signature = signatures(doc, value, piece.num_rows)
                 yield pa.RecordBatch.from_arrays(
@@ -127,7 +131,7 @@ def _verify(threshold: float, miss: float):
 def _sets(size: int, lower: bool):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, chars=STEP_CHARS):
                 doc, value = shingle_sets(Words(piece.column("text"), lower), size)
                 bounds = np.searchsorted(doc, np.arange(piece.num_rows + 1))
                 rows = [value[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
@@ -176,6 +180,68 @@ class Linker:
         return self.run.keep(confirmed, f"{name}_links")
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            values = np.frombuffer(b"".join(batch.column("shingles").slice(first, 500).to_pylist()), np.uint64)
+            found += np.bincount((values & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    yield pa.RecordBatch.from_pydict({"cell": np.flatnonzero(found), "n": found[found > 0]})
+
+
+def _prefixes(frequency: np.ndarray, percent: int):
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, component, value in zip(batch.column("doc_id"), batch.column("component"), batch.column("shingles")):
+                shingle = np.frombuffer(value.as_buffer(), np.uint64)
+                n = len(shingle)
+                order = np.lexsort((shingle, frequency[shingle & np.uint64(CELLS - 1)]))
+                first = shingle[order[: n + (-percent * n // 100) + 1]]
+                yield pa.RecordBatch.from_pydict(
+                    {"shingle": first.view(np.int64), "place": np.arange(len(first)), "doc_id": np.full(len(first), doc.as_py()),
+                     "component": np.full(len(first), component.as_py()), "n": np.full(len(first), n)}
+                )
+
+    return prefixes
+
+
+def _across(docs: DataFrame, members: DataFrame, checked: DataFrame, run: RunFolder, size: int, lower: bool, percent: int) -> DataFrame:
+    """Unchecked pairs of members of different components that can be similar enough, exactly.
+
+    Shingles are put in one order, rare ones first. Two sets that are similar enough share a shingle
+    among the first n - ceil(0.8 n) + 1 of each; and at the first that they share, what is left of
+    both must suffice for the overlap they need. A member far from all others of its bucket starts
+    with shingles of its own and so meets nobody. Where a shingle is shared by several components,
+    members outside the largest of them meet the others."""
+    members = run.keep(members, "apart_members")
+    texts = docs.select("doc_id", "text").join(small(members.select("doc_id").distinct()), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_sets(size, lower), "doc_id long, shingles binary").join(members, "doc_id")
+    sets = run.keep(sets, "apart_sets")
+    counted = sets.select("shingles").mapInArrow(_frequencies, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    frequency = np.zeros(CELLS, np.int64)
+    counted = counted.toArrow()  # CELLS rows at most
+    frequency[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    first = run.keep(sets.mapInArrow(_prefixes(frequency, percent), "shingle long, place long, doc_id long, component long, n long"), "prefixes")
+    largest = run.keep(
+        first.groupBy("shingle", "component").agg(F.count("*").alias("size"))
+        .groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("components"))
+        .where("components > 1").select("shingle", F.col("top.component").alias("largest")),
+        "shared_prefixes",
+    )
+    met = run.keep(first.join(largest, "shingle"), "met_prefixes")
+    left, right = met.where("component <> largest").alias("l"), met.alias("r")
+    needed = F.lit(percent) * (F.col("l.n") + F.col("r.n")) / (100 + percent)
+    across = left.join(
+        right,
+        (F.col("l.shingle") == F.col("r.shingle"))
+        & (F.col("l.component") != F.col("r.component"))
+        & ((F.col("r.component") == F.col("l.largest")) | (F.col("l.doc_id") < F.col("r.doc_id")))
+        & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
+        & (F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place")) >= needed - 1e-6),
+    ).select(*_pair("l.doc_id", "r.doc_id"))
+    return run.keep(across.distinct().join(checked, ["a", "b"], "left_anti"), "rest")
+
+
 def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -202,7 +268,8 @@ def near_duplicates(
         "representatives",
     )
     buckets = run.keep(signed.select("doc_id", "signature").mapInArrow(_bucket, "bucket long, doc_id long"), "buckets")
-    by_hash = F.struct(F.xxhash64("bucket", "doc_id"), "doc_id")
+    # The same hash in all buckets: texts that share many buckets share their centres, not only members.
+    by_hash = F.struct(F.xxhash64("doc_id"), "doc_id")
     centres = run.keep(
         buckets.groupBy("bucket")
         .agg(F.min("doc_id").alias("c1"), F.max("doc_id").alias("last"), F.min(by_hash).alias("low"), F.max(by_hash).alias("high"))
@@ -216,22 +283,14 @@ def near_duplicates(
     linker = Linker(docs, signed, run, size, lower, percent, miss)
     links = linker.links(pairs, "first")
     joined = components(links, run, "first")
-    members = shared.select("bucket", "doc_id").join(
-        joined.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    members = run.keep(members.join(signed.select("doc_id", "n_shingles"), "doc_id"), "members")
+    members = run.keep(
+        shared.select("bucket", "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id")),
+        "members",
+    )
     apart = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
     apart = run.keep(members.join(apart, "bucket"), "apart")
-    left, right = apart.alias("l"), apart.alias("r")
-    across = left.join(
-        right,
-        (F.col("l.bucket") == F.col("r.bucket"))
-        & (F.col("l.doc_id") < F.col("r.doc_id"))
-        & (F.col("l.component") != F.col("r.component"))
-        # Sets of more different sizes cannot be similar enough.
-        & (100 * F.least("l.n_shingles", "r.n_shingles") >= percent * F.greatest("l.n_shingles", "r.n_shingles")),
-    ).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
-    rest = run.keep(across.distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = _across(docs, apart.select("doc_id", "component").distinct(), pairs, run, size, lower, percent)
     more = linker.links(rest, "second")
     if not more.isEmpty():
         joined = components(links.union(more), run, "second")
