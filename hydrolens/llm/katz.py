@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrolens.llm.common import bucketed, table
-from hydrolens.llm.shingles import Words, blocks_of, word_hash
+from hydrolens.llm.shingles import Words, blocks_of, lean, word_hash
 from hydrolens.sources.folders import RunFolder
 
 MODULUS, HELD_OUT = 7, 2
@@ -362,9 +362,9 @@ def scores(docs: DataFrame, run: RunFolder) -> DataFrame:
     columns are not read; an empty table gives an empty result."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = bucketed(blocks_of(docs), "block", run, "blocks")
-    sent = blocks.mapInArrow(_send_words(buckets), "bucket int, block long, hashes binary, counts binary")
+    sent = blocks.mapInArrow(lean(_send_words(buckets)), "bucket int, block long, hashes binary, counts binary")
     words = run.keep(sent.groupBy("bucket").applyInPandas(_number_words(buckets), WORD_ROWS), "words")
-    of_words = _totals(words.where("block is null").select("counts").mapInArrow(_word_frequencies, "r int, n long"))
+    of_words = _totals(words.where("block is null").select("counts").mapInArrow(lean(_word_frequencies), "r int, n long"))
     unigrams = Unigrams(of_words.get(-1, 0), of_words.get(0, 0), of_words)
     to_blocks = words.where("block is not null").drop("hashes")
     sent = blocks.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(_send_pairs(buckets), PAIRS)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hydrolens.llm.common import fold, small, table
+from hydrolens.llm.shingles import give_back, lean
 from hydrolens.sources.folders import RunFolder
 
 BINS = 4096
@@ -136,14 +137,14 @@ def train(labelled: DataFrame, run: RunFolder, sample_per_language: int = SAMPLE
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     totals = (
-        teaching.select("text").mapInArrow(_document_frequencies, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+        teaching.select("text").mapInArrow(lean(_document_frequencies), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     )
     frequency = {r.bin: r.n for r in totals.collect()}  # BINS + 1 rows
     texts = frequency.get(-1, 0)
     idf = np.array([np.log((1 + texts) / (1 + frequency.get(b, 0))) + 1e-3 for b in range(BINS)])
     sample = _sample(teaching, run, sample_per_language)
     fitted = (
-        sample.mapInArrow(_sample_vectors(idf), "lang string, rank int, vector binary")
+        sample.mapInArrow(lean(_sample_vectors(idf)), "lang string, rank int, vector binary")
         .groupBy("lang")
         .applyInPandas(_fit, "lang string, centroid int, vector binary, usual double")
         .orderBy("lang", "centroid")
@@ -179,6 +180,7 @@ def predictor(model: Model):
                     best[i], score[i] = model.languages[c], min(1.0, max(0.0, float(line[c])))
                     rejected[i] = line[c] < model.least[c] * min(1.0, np.sqrt(x.sum() / SHORT))
             yield pd.DataFrame({"lang_pred": best, "score": score, "rejected": rejected})
+        give_back()
 
     return predicted
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from hydrolens.llm.common import small, table
 from hydrolens.llm.graph import components
-from hydrolens.llm.shingles import ODD, Words, mixed, pieces, shingle_sets
+from hydrolens.llm.shingles import ODD, Words, lean, mixed, pieces, shingle_sets
 from hydrolens.sources.folders import RunFolder
 
 BANDS, BAND_ROWS = 30, 5
@@ -169,14 +169,14 @@ class Linker:
         """Those of the stored pairs (a, b) whose full sets are similar enough."""
         sign = lambda side: self.signed.select(F.col("doc_id").alias(side), F.col("signature").alias(f"sig_{side}"))
         both = pairs.join(sign("a"), "a").join(sign("b"), "b")
-        likely = self.run.keep(both.mapInArrow(_verify(self.percent / 100, self.miss), "a long, b long"), f"{name}_likely")
+        likely = self.run.keep(both.mapInArrow(lean(_verify(self.percent / 100, self.miss)), "a long, b long"), f"{name}_likely")
         ids = self.run.keep(
             likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct(), f"{name}_ids"
         )
         texts = self.docs.select("doc_id", "text").join(small(ids), "doc_id", "left_semi")
-        sets = self.run.keep(texts.mapInArrow(_sets(self.size, self.lower), "doc_id long, shingles binary"), f"{name}_sets")
+        sets = self.run.keep(texts.mapInArrow(lean(_sets(self.size, self.lower)), "doc_id long, shingles binary"), f"{name}_sets")
         full = lambda side: sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(f"set_{side}"))
-        confirmed = likely.join(full("b"), "b").join(full("a"), "a").mapInArrow(_confirm(self.percent), "a long, b long")
+        confirmed = likely.join(full("b"), "b").join(full("a"), "a").mapInArrow(lean(_confirm(self.percent)), "a long, b long")
         return self.run.keep(confirmed, f"{name}_links")
 
 
@@ -215,13 +215,13 @@ def _across(docs: DataFrame, members: DataFrame, checked: DataFrame, run: RunFol
     members outside the largest of them meet the others."""
     members = run.keep(members, "apart_members")
     texts = docs.select("doc_id", "text").join(small(members.select("doc_id").distinct()), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets(size, lower), "doc_id long, shingles binary").join(members, "doc_id")
+    sets = texts.mapInArrow(lean(_sets(size, lower)), "doc_id long, shingles binary").join(members, "doc_id")
     sets = run.keep(sets, "apart_sets")
-    counted = sets.select("shingles").mapInArrow(_frequencies, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = sets.select("shingles").mapInArrow(lean(_frequencies), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     frequency = np.zeros(CELLS, np.int64)
     counted = counted.toArrow()  # CELLS rows at most
     frequency[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    first = run.keep(sets.mapInArrow(_prefixes(frequency, percent), "shingle long, place long, doc_id long, component long, n long"), "prefixes")
+    first = run.keep(sets.mapInArrow(lean(_prefixes(frequency, percent)), "shingle long, place long, doc_id long, component long, n long"), "prefixes")
     largest = run.keep(
         first.groupBy("shingle", "component").agg(F.count("*").alias("size"))
         .groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("components"))
@@ -257,7 +257,7 @@ def near_duplicates(
     their own text; classes that the same id stands for count as linked. An empty table gives an
     empty result; other columns are not read."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = run.keep(docs.mapInArrow(_describe(size, lower), DESCRIBED), "described")
+    described = run.keep(docs.mapInArrow(lean(_describe(size, lower)), DESCRIBED), "described")
     light = described.drop("signature")
     able = described.where("n_shingles > 0 and doc_id is not null")
     set_key = ["n_shingles", "set_a", "set_b"]
@@ -267,7 +267,7 @@ def near_duplicates(
         .select("doc_id", "signature", "n_shingles"),
         "representatives",
     )
-    buckets = run.keep(signed.select("doc_id", "signature").mapInArrow(_bucket, "bucket long, doc_id long"), "buckets")
+    buckets = run.keep(signed.select("doc_id", "signature").mapInArrow(lean(_bucket), "bucket long, doc_id long"), "buckets")
     # The same hash in all buckets: texts that share many buckets share their centres, not only members.
     by_hash = F.struct(F.xxhash64("doc_id"), "doc_id")
     centres = run.keep(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,27 @@ def word_hash(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def give_back() -> None:
+    """Returns unused memory to the system: a worker may wait for its next task beside other work."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over the batches of a partition that gives its memory back at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 class Words:
     """The words (no ASCII white space inside) of each text of a batch; null has none.
 
@@ -120,4 +141,4 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def blocks_of(docs: DataFrame) -> DataFrame:
     """The documents in blocks of bounded text size, one row each: block, doc_ids, texts."""
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return whole.mapInArrow(_cut, "block long, doc_ids array<long>, texts array<string>")
+    return whole.mapInArrow(lean(_cut), "block long, doc_ids array<long>, texts array<string>")

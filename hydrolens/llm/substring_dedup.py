@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrolens.llm.common import bucketed, table
-from hydrolens.llm.shingles import Words, blocks_of, mixed
+from hydrolens.llm.shingles import Words, blocks_of, lean, mixed
 from hydrolens.sources.folders import RunFolder
 
 WINDOW = 13
@@ -263,7 +263,7 @@ def remove_repeats(docs: DataFrame, run: RunFolder, window: int = WINDOW) -> Dat
     cut = blocks_of(docs)
     # Bucketed by block: what comes back to the blocks meets them without moving the texts again.
     blocks = bucketed(cut, "block", run, "blocks")
-    anchors = blocks.mapInArrow(_send_anchors(window, buckets), ANCHORS)
+    anchors = blocks.mapInArrow(lean(_send_anchors(window, buckets)), ANCHORS)
     shared = run.keep(anchors.groupBy("bucket").applyInPandas(_shared, "block long, bucket int, keys binary"), "shared")
     windows = (
         blocks.groupBy("block").cogroup(shared.groupBy("block"))

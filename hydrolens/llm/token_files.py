@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hydrolens.llm.common import table
+from hydrolens.llm.shingles import lean
 from hydrolens.sources.folders import RunFolder
 
 MAGIC = b"DACTOK01"
@@ -284,7 +285,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, run: RunFold
     empty manifest; other columns are not read."""
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = whole.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return run.keep(dealt.mapInArrow(_writer(folder, tokenizer_path, end_id), MANIFEST), "manifest")
+    return run.keep(dealt.mapInArrow(lean(_writer(folder, tokenizer_path, end_id)), MANIFEST), "manifest")
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +324,7 @@ def read_tokens(manifest: DataFrame, run: RunFolder) -> DataFrame:
     # A number of tasks that is asked for is not merged into fewer: the rows are few, their files large.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files = starts.select("part", "file", "path").repartition(tasks, "path")
-    decoded = files.mapInArrow(_decode, DECODED)
+    decoded = files.mapInArrow(lean(_decode), DECODED)
     return decoded.join(starts.drop("path"), ["part", "file"]).select(
         "doc_id",
         (F.col("file_start") + F.col("local_start")).alias("start"),
