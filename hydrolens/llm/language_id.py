@@ -3,9 +3,13 @@
 A text becomes a vector of hashed character n-grams (1 to 3 bytes of the lower-cased text, other
 characters than letters folded into one blank), weighted by TF-IDF and normalised. Each language
 has several centroids, found by spherical k-means. A text gets the language of the centroid with
-the largest cosine; if that is too far from how the centroid's own members lie, the text is
+the largest cosine; if that is below the bound of the language for texts of this length, the text is
 rejected.
 
+Bounds are learned per language and class of n-gram counts (powers of two) from beginnings of the
+sample texts: what members reach there (1 % quantile) against what the other languages' texts reach at
+centroids not their own, or random letters (95 % quantile). A bound never falls with the length.
+
 Document frequencies count every labelled training text. Centroids are fitted on a bounded sample,
 `SAMPLE_PER_LANGUAGE` texts of each language at most, chosen by a hash of the id.
 """
@@ -31,11 +35,10 @@ BINS = 4096
 CENTROIDS = 4
 ROUNDS = 8
 SAMPLE_PER_LANGUAGE = 1000
-# A text is rejected below this part of the lowest usual cosine (1 % quantile) of the language's
-# sample texts. Texts with few n-grams lie far from any centroid: below SHORT n-grams the bound falls
-# with the square root of their number, as their cosines do.
-REJECT_PART = 0.2
-SHORT = 100
+MEMBERS_LOW, FOREIGN_HIGH = 0.01, 0.95  # quantiles of cosines that a bound lies between
+ENOUGH = 100  # with fewer members in a class, its bound lies lower
+SIZES = 24  # classes of n-gram counts; the last has all larger ones
+CUTS = [2**k for k in range(2, 18)]  # characters of the beginnings
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 PIECE = 4_000_000
@@ -69,9 +72,8 @@ def vector(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (weighted / length if length else weighted).astype(np.float32)
 
 
-def centroids_of(vectors: np.ndarray) -> tuple[np.ndarray, float]:
-    """Spherical k-means from the first members (they come in hash order); and the low quantile of
-    the members' cosines to their centroids."""
+def centroids_of(vectors: np.ndarray) -> np.ndarray:
+    """Spherical k-means from the first members (they come in hash order)."""
     centres = vectors[:CENTROIDS].copy()
     for _ in range(ROUNDS):
         owner = (vectors @ centres.T).argmax(axis=1)
@@ -79,16 +81,24 @@ def centroids_of(vectors: np.ndarray) -> tuple[np.ndarray, float]:
             mean = vectors[owner == c].sum(axis=0)
             if (size := np.sqrt(mean @ mean)) > 0:
                 centres[c] = mean / size
-    return centres, float(np.quantile((vectors @ centres.T).max(axis=1), 0.01))
+    return centres
 
 
 @dataclass
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
-    least: np.ndarray  # cosine below which a text is rejected
+    least: np.ndarray  # per centroid and class of n-gram counts, cosine below which a text is rejected
     idf: np.ndarray
 
+    def bound(self, centroid: int, grams: float) -> float:
+        """Between the middles of two classes on a line over the logarithm of the count."""
+        return float(np.interp(np.log2(max(1.0, grams)), np.arange(SIZES) + 0.5, self.least[centroid]))
+
+
+def size_of(grams: float) -> int:
+    return min(SIZES - 1, int(np.log2(max(1.0, grams))))
+
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frequency, texts = np.zeros(BINS, np.int64), 0
@@ -110,10 +120,65 @@ def _sample_vectors(idf: np.ndarray):
 
 def _fit(members: pd.DataFrame) -> pd.DataFrame:
     members = members.sort_values("rank")
-    centres, usual = centroids_of(np.stack([np.frombuffer(v, np.float32) for v in members["vector"]]))
-    return pd.DataFrame(
-        {"lang": members["lang"].iloc[0], "centroid": range(len(centres)), "vector": [c.tobytes() for c in centres], "usual": usual}
+    centres = centroids_of(np.stack([np.frombuffer(v, np.float32) for v in members["vector"]]))
+    return pd.DataFrame({"lang": members["lang"].iloc[0], "centroid": range(len(centres)), "vector": [c.tobytes() for c in centres]})
+
+
+def _beginnings(languages: list[str], centroids: np.ndarray, idf: np.ndarray):
+    """Per beginning of a text its language and class, the largest cosine to the language's own
+    centroids, and to those of all others (null if there are none)."""
+    names = np.array(languages)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+                for cut in [c for c in CUTS if c < len(text)] + [len(text)]:
+                    found = counts(text[:cut])
+                    line, own = centroids @ vector(found, idf), names == lang
+                    foreign = None if own.all() else float(line[~own].max())
+                    rows.append((lang, size_of(found.sum()), float(line[own].max()), foreign))
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "size", "member", "stranger"])
+
+    return measured
+
+
+def _random_letters(centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Per class, the high quantile of the largest cosines of random letters with and without blanks."""
+    rng, reached = np.random.default_rng(1), [[] for _ in range(SIZES)]
+    for cut in CUTS[:13]:
+        for alphabet in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz    "):
+            for _ in range(10):
+                found = counts("".join(rng.choice(list(alphabet), cut)))
+                reached[size_of(found.sum())].append((centroids @ vector(found, idf)).max())
+    return np.array([np.quantile(r, FOREIGN_HIGH) if r else 0.0 for r in reached])
+
+
+def bounds_of(members: dict[int, tuple[float, int]], strangers: np.ndarray) -> np.ndarray:
+    """Bound per class, from the members' low cosine and their number and the strangers' high cosine:
+    half way between them, or the members' if that is lower; nearer to the strangers, or to 0, where a
+    low quantile of few members says little."""
+    bounds = np.zeros(SIZES)
+    for size, (low, n) in members.items():
+        trust = min(1.0, n / ENOUGH)
+        bounds[size] = low * trust if low <= strangers[size] else strangers[size] + (low - strangers[size]) * trust / 2
+    return np.maximum.accumulate(bounds)
+
+
+def _bounds(sample: DataFrame, languages: list[str], centroids: np.ndarray, idf: np.ndarray, run: RunFolder) -> dict[str, np.ndarray]:
+    measured = run.keep(
+        sample.select("text", "lang").mapInArrow(lean(_beginnings(languages, centroids, idf)), "lang string, size int, member double, stranger double"),
+        "sample_cosines",
     )
+    low = measured.groupBy("lang", "size").agg(F.percentile("member", F.lit(MEMBERS_LOW)).alias("low"), F.count("*").alias("n")).collect()
+    high = measured.groupBy("size").agg(F.percentile("stranger", F.lit(FOREIGN_HIGH)).alias("high")).collect()
+    strangers = _random_letters(centroids, idf)
+    for r in high:
+        strangers[r.size] = max(strangers[r.size], r.high or 0.0)
+    strangers = np.maximum.accumulate(strangers)
+    return {lang: bounds_of({r.size: (r.low, r.n) for r in low if r.lang == lang}, strangers) for lang in set(languages)}
 
 
 def _sample(teaching: DataFrame, run: RunFolder, bound: int) -> DataFrame:
@@ -142,20 +207,18 @@ def train(labelled: DataFrame, run: RunFolder, sample_per_language: int = SAMPLE
     frequency = {r.bin: r.n for r in totals.collect()}  # BINS + 1 rows
     texts = frequency.get(-1, 0)
     idf = np.array([np.log((1 + texts) / (1 + frequency.get(b, 0))) + 1e-3 for b in range(BINS)])
-    sample = _sample(teaching, run, sample_per_language)
+    sample = run.keep(_sample(teaching, run, sample_per_language), "sample")
     fitted = (
         sample.mapInArrow(lean(_sample_vectors(idf)), "lang string, rank int, vector binary")
         .groupBy("lang")
-        .applyInPandas(_fit, "lang string, centroid int, vector binary, usual double")
+        .applyInPandas(_fit, "lang string, centroid int, vector binary")
         .orderBy("lang", "centroid")
         .collect()
     )
-    return Model(
-        [r.lang for r in fitted],
-        np.array([np.frombuffer(r.vector, np.float32) for r in fitted]).reshape(-1, BINS),
-        np.array([REJECT_PART * r.usual for r in fitted]),
-        idf,
-    )
+    languages = [r.lang for r in fitted]
+    centroids = np.array([np.frombuffer(r.vector, np.float32) for r in fitted]).reshape(-1, BINS)
+    bounds = _bounds(sample, languages, centroids, idf, run) if languages else {}
+    return Model(languages, centroids, np.array([bounds[lang] for lang in languages]), idf)
 
 
 PREDICTED = T.StructType(
@@ -178,7 +241,7 @@ def predictor(model: Model):
                 cosines = np.stack([vector(x, model.idf) for x in found]) @ model.centroids.T
                 for i, c, line, x in zip(rows, cosines.argmax(axis=1), cosines, found):
                     best[i], score[i] = model.languages[c], min(1.0, max(0.0, float(line[c])))
-                    rejected[i] = line[c] < model.least[c] * min(1.0, np.sqrt(x.sum() / SHORT))
+                    rejected[i] = line[c] < model.bound(c, x.sum())
             yield pd.DataFrame({"lang_pred": best, "score": score, "rejected": rejected})
         give_back()
 

@@ -65,3 +65,42 @@ def test_rejects_what_no_language_resembles(spark):
     docs = corpus(spark, 90).union(spark.createDataFrame([(1000, "日本語 テキスト", None)], "doc_id long, text string, lang string"))
     rows = {r.doc_id: r for r in L.identify(docs, RunFolder(spark)).collect()}
     assert rows[1000].rejected and not any(r.rejected for i, r in rows.items() if i < 1000)
+
+
+SYLLABLES = {"aa": "an der ich en sch ung ge ver te st er li", "bb": "que la os ci on re ta men do es al ti", "zz": "ko vi sta ny je po ru mi za elä on ään"}
+
+
+def prose(lang, rng, chars):
+    words = [w for _ in range(chars // 3) for w in ["".join(rng.choices(SYLLABLES[lang].split(), k=rng.choice([1, 2, 2, 3])))]]
+    return " ".join(words)[:chars]
+
+
+def test_rejects_long_foreign_and_random_texts_but_not_short_clean_ones(spark):
+    rng = random.Random(8)
+    known = [(i, prose(lang, rng, int(2 ** rng.uniform(3, 13))), lang) for i in range(800) for lang in [rng.choice(["aa", "bb"])]]
+    alphabets = {"foreign": None, "letters": "abcdefghijklmnopqrstuvwxyz    ", "base64": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"}
+    strange, n = {}, 10_000
+    for kind, letters in alphabets.items():
+        for size in (1500, 5000, 20_000):
+            for _ in range(3):
+                strange[n] = (kind, size, prose("zz", rng, size) if letters is None else "".join(rng.choices(letters, k=size)))
+                n += 1
+    short = {20_000 + k: (prose(lang, rng, size), lang) for k, (lang, size) in enumerate([(a, b) for a in ("aa", "bb") for b in (40, 80, 160)] * 5)}
+    learned = [r for r in known if X.fold(r[0], 4) != 2]
+    docs = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    model = L.train(docs, RunFolder(spark))
+    asked = [(k, v[2]) for k, v in strange.items()] + [(k, v[0]) for k, v in short.items()]
+    asked += [(r[0], r[1]) for r in known if X.fold(r[0], 4) == 2]
+    frame = spark.createDataFrame(asked, "doc_id long, text string").withColumn("_found", L.predictor(model)("text"))
+    found = {r.doc_id: r for r in frame.select("doc_id", "_found.*").collect()}
+    assert [strange[k][:2] for k in strange if not found[k].rejected] == []
+    assert [k for k in short if found[k].rejected or found[k].lang_pred != short[k][1]] == []
+    held = [r for r in known if X.fold(r[0], 4) == 2]
+    assert sum(found[r[0]].rejected for r in held) <= 0.02 * len(held)
+
+
+def test_bounds_lie_between_members_and_strangers_and_never_fall_with_length():
+    strangers = np.full(L.SIZES, 0.2)
+    bounds = L.bounds_of({5: (0.1, 500), 8: (0.4, 500), 9: (0.3, 500), 11: (0.9, 10)}, strangers)
+    assert np.allclose(bounds[[5, 8, 9, 11, 23]], [0.1, 0.3, 0.3, 0.3, 0.3])
+    assert (np.diff(bounds) >= 0).all() and L.bounds_of({5: (0.1, 10)}, strangers)[5] < 0.1
