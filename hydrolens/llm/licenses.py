@@ -26,25 +26,61 @@ LEAST = 0.8
 # Template shingles that are held against each text as a constant; more of them are joined only.
 CONSTANT_SHINGLES = 20_000
 
-# Usual public license notices.
+# Usual public license notices. Versions and sister licenses differ in a word or two, so
+# their templates are cut close around what tells them apart: no text of one holds LEAST of another's
+# shingles. Sentences that several licenses share have the family's name.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    ("GPL-1.0", "under the GNU General Public License, version 1"),
+    ("GPL-1.0", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"),
+    ("GPL-1.0", "published by the Free Software Foundation; either version 1, or (at your option)"),
+    ("GPL-2.0", "under the GNU General Public License, version 2"),
+    ("GPL-2.0", "under the GNU General Public License v2"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-2.0", "terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License"),
+    ("GPL-2.0", "terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL-3.0", "under the GNU General Public License, version 3"),
+    ("GPL-3.0", "under the GNU General Public License v3"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June"),
+    ("GPL-3.0", "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("LGPL-2.0", "GNU Library General Public License, version 2"),
+    ("LGPL-2.0", "terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "under the GNU Lesser General Public License v2.1"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "under the GNU Lesser General Public License v3"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June"),
+    ("LGPL-3.0", "terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "under the GNU Affero General Public License v3"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November"),
+    ("AGPL-3.0", "terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"),
+    ("BSD-3-Clause", "materials provided with the distribution. 3. Neither the name of"),
+    ("BSD-3-Clause", "materials provided with the distribution. Neither the name of"),
+    ("BSD-3-Clause", "materials provided with the distribution. 3. The name of the author may not be used"),
+    ("BSD-4-Clause", "All advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("ISC or 0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("ISC", "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0BSD", "fee is hereby granted. THE SOFTWARE IS PROVIDED AS IS"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 

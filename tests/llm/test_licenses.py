@@ -68,3 +68,35 @@ def test_query_empty_repeated_and_native(spark, tmp_path):
     assert not re.search("Python|Arrow|Cartesian", scanned._jdf.queryExecution().toString())
     assert result(docs.limit(0)) == []
     assert L.scan(docs, L.templates(spark).limit(0), RunFolder(spark)).collect() == []
+
+
+GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+LINE = "This work is licensed under the GNU {}General Public License, version {}."
+VERSIONS = [("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3")]
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+FOURTH = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization. " + THIRD.replace("3.", "4.")
+FEE = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted{}. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"
+# Clauses of full texts that name other licenses.
+MPL = 'Mozilla Public License Version 2.0. This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "Secondary License" means either the GNU General Public License, Version 2.0, the GNU Lesser General Public License, Version 2.1, the GNU Affero General Public License, Version 3.0, or any later versions of those licenses.'
+LGPL = "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999. You must alter all the notices so that they refer to the ordinary GNU General Public License, version 2, instead of to this License."
+GPL = "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007. You have permission to link or combine any covered work with a work licensed under version 3 of the GNU Affero General Public License into a single combined work"
+
+
+def test_versions_and_sisters_are_told_apart(spark):
+    cases = [(form.format(kind, version), {name}) for form in (GNU, LINE) for name, kind, version in VERSIONS]
+    cases += [(BSD.format(more), {"BSD", name}) for name, more in (("BSD-2-Clause", ""), ("BSD-3-Clause", THIRD), ("BSD-4-Clause", FOURTH))]
+    cases += [(FEE.format(", provided that the above copyright notice and this permission notice appear in all copies"), {"ISC", "ISC or 0BSD"}), (FEE.format(""), {"0BSD", "ISC or 0BSD"})]
+    cases += [(MPL, {"MPL-2.0"}), (LGPL, {"LGPL-2.1"}), (GPL, {"GPL-3.0"})]
+    found = {}
+    for key, name, *_ in result(spark.createDataFrame(list(enumerate(text for text, _ in cases)), "doc_id long, text string")):
+        found.setdefault(key, set()).add(name)
+    assert [(text[:200], found.get(i), want) for i, (text, want) in enumerate(cases) if found.get(i) != want] == []
+
+
+def test_no_template_holds_enough_of_another_license():
+    listed = [(name, set(shingles(terms(text)))) for name, text in L.TEMPLATES]
+    assert [(a, b) for a, x in listed for b, y in listed if a != b and len(x & y) >= L.LEAST * len(x)] == []
