@@ -36,7 +36,9 @@ CENTROIDS = 4
 ROUNDS = 8
 SAMPLE_PER_LANGUAGE = 1000
 MEMBERS_LOW, FOREIGN_HIGH = 0.01, 0.95  # quantiles of cosines that a bound lies between
-ENOUGH = 100  # with fewer members in a class, its bound lies lower
+ENOUGH = 100  # a class with fewer members takes the bound of a smaller class
+# Bound where no class has enough: part of the whole texts' low quantile, less below SHORT n-grams.
+REJECT_PART, SHORT = 0.2, 100
 SIZES = 24  # classes of n-gram counts; the last has all larger ones
 CUTS = [2**k for k in range(2, 18)]  # characters of the beginnings
 UNDETERMINED = "und"
@@ -137,10 +139,10 @@ def _beginnings(languages: list[str], centroids: np.ndarray, idf: np.ndarray):
                     found = counts(text[:cut])
                     line, own = centroids @ vector(found, idf), names == lang
                     foreign = None if own.all() else float(line[~own].max())
-                    rows.append((lang, size_of(found.sum()), float(line[own].max()), foreign))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "size", "member", "stranger"])
+                    rows.append((lang, size_of(found.sum()), float(line[own].max()), foreign, cut == len(text)))
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "size", "member", "stranger", "whole"])
 
     return measured
 
@@ -158,27 +160,29 @@ def _random_letters(centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def bounds_of(members: dict[int, tuple[float, int]], strangers: np.ndarray) -> np.ndarray:
     """Bound per class, from the members' low cosine and their number and the strangers' high cosine:
-    half way between them, or the members' if that is lower; nearer to the strangers, or to 0, where a
-    low quantile of few members says little."""
+    half way between them, or the members' if that is lower; a class of few members
+    takes that of a smaller class."""
     bounds = np.zeros(SIZES)
     for size, (low, n) in members.items():
-        trust = min(1.0, n / ENOUGH)
-        bounds[size] = low * trust if low <= strangers[size] else strangers[size] + (low - strangers[size]) * trust / 2
+        if n >= ENOUGH:
+            bounds[size] = min(low, (low + strangers[size]) / 2)
     return np.maximum.accumulate(bounds)
 
 
 def _bounds(sample: DataFrame, languages: list[str], centroids: np.ndarray, idf: np.ndarray, run: RunFolder) -> dict[str, np.ndarray]:
     measured = run.keep(
-        sample.select("text", "lang").mapInArrow(lean(_beginnings(languages, centroids, idf)), "lang string, size int, member double, stranger double"),
+        sample.select("text", "lang").mapInArrow(lean(_beginnings(languages, centroids, idf)), "lang string, size int, member double, stranger double, whole boolean"),
         "sample_cosines",
     )
     low = measured.groupBy("lang", "size").agg(F.percentile("member", F.lit(MEMBERS_LOW)).alias("low"), F.count("*").alias("n")).collect()
     high = measured.groupBy("size").agg(F.percentile("stranger", F.lit(FOREIGN_HIGH)).alias("high")).collect()
+    usual = measured.where("whole").groupBy("lang").agg(F.percentile("member", F.lit(MEMBERS_LOW)).alias("low")).collect()
+    least = REJECT_PART * np.minimum(1.0, np.sqrt(2 ** (np.arange(SIZES) + 0.5) / SHORT))
     strangers = _random_letters(centroids, idf)
     for r in high:
         strangers[r.size] = max(strangers[r.size], r.high or 0.0)
     strangers = np.maximum.accumulate(strangers)
-    return {lang: bounds_of({r.size: (r.low, r.n) for r in low if r.lang == lang}, strangers) for lang in set(languages)}
+    return {u.lang: np.maximum(u.low * least, bounds_of({r.size: (r.low, r.n) for r in low if r.lang == u.lang}, strangers)) for u in usual}
 
 
 def _sample(teaching: DataFrame, run: RunFolder, bound: int) -> DataFrame:
