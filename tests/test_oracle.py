@@ -3,8 +3,8 @@
 import re
 
 import pytest
-from conftest import SMALL
 from oracle_check import connect, differences
+from places import SMALL
 
 from hydrolens.catalog import all_queries
 from oracle.statements import all_statements
