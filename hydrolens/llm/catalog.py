@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hydrolens.llm import decontamination, katz, language_id, licenses, mixing, near_duplicates, nearest, sharding, substring_dedup, token_files
+from hydrolens.llm import (
+    decontamination, katz, language_id, lexical_search, licenses, manifest, mixing, near_duplicates, nearest, sharding,
+    substring_dedup, token_files, url_rules,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +25,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_bands": licenses.document_licenses,
         "op9_jump_shards": sharding.document_shards,
         "op10_token_files": token_files.document_tokens,
+        "op11_merkle_manifest": manifest.document_proofs,
+        "op12_url_rules": url_rules.page_verdicts,
+        "op13_bag_search": lexical_search.benchmark_documents,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -29,8 +35,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def statements() -> dict[str, str]:
     return {
         "op1_positional_index": decontamination.CONTAMINATED_SQL,
-        "op3_budget_tree": mixing.document_mixture,
         "op3_budget_tree": mixing.MIXTURE_SQL,
         "op4_difference_cover": substring_dedup.PASSAGES_SQL,
         "op8_license_bands": licenses.LICENSES_SQL,
+        "op11_merkle_manifest": manifest.PROOFS_SQL,
+        "op12_url_rules": url_rules.VERDICTS_SQL,
+        "op13_bag_search": lexical_search.SEARCH_SQL,
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
