@@ -123,16 +123,17 @@ class Telemetry:
 
     @cached_property
     def day(self) -> MartSet:
-        return MartSet(self, DAY)
+        """Lazy marts over records that are written once: the marts' own plans read few facts."""
+        return MartSet(self, DAY, hold=self.run.keep)
 
     @cached_property
     def month(self) -> MartSet:
-        return MartSet(self, MONTH)
+        return MartSet(self, MONTH, hold=self.run.keep)
 
     @cached_property
     def stored(self) -> MartSet:
         """Marts written once each, for queries that read several of them."""
-        return MartSet(self, DAY, self.run.keep)
+        return MartSet(self, DAY, self.run.keep, self.run.keep)
 
 
 def _comparable(df: DataFrame) -> DataFrame:

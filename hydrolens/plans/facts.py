@@ -105,22 +105,21 @@ def fact_water_quality_index(scored: DataFrame) -> DataFrame:
     )
 
 
+def with_health(scored: DataFrame) -> DataFrame:
+    """Adds uptime, counters, flags and status of the sensor for each reading."""
+    return scored.selectExpr(
+        "*",
+        f"{scoring.uptime_percentage()} as uptime_percentage",
+        f"{flag(PARTIAL)} as missing_readings_count",
+        "0 as duplicate_readings_count",
+        "anomaly_flag as anomaly_count",
+        "0 as stale_signal_flag",
+        f"{scoring.drift_risk_flag()} as drift_risk_flag",
+    ).selectExpr("*", f"{scoring.health_status()} as health_status")
+
+
 def fact_sensor_health(scored: DataFrame) -> DataFrame:
-    return (
-        scored.selectExpr(
-            *EVENT_COLUMNS,
-            "event_date",
-            "quality_flag",
-            f"{scoring.uptime_percentage()} as uptime_percentage",
-            f"{flag(PARTIAL)} as missing_readings_count",
-            "0 as duplicate_readings_count",
-            "anomaly_flag as anomaly_count",
-            "0 as stale_signal_flag",
-            f"{scoring.drift_risk_flag()} as drift_risk_flag",
-        )
-        .selectExpr("*", f"{scoring.health_status()} as health_status")
-        .select(HEALTH_COLUMNS)
-    )
+    return with_health(scored).select(HEALTH_COLUMNS)
 
 
 def with_daily_batches(business: DataFrame) -> DataFrame:
@@ -128,20 +127,25 @@ def with_daily_batches(business: DataFrame) -> DataFrame:
     return business.withColumn("batch", F.col("event_date"))
 
 
-def fact_alert(log: DataFrame, clears: DataFrame) -> DataFrame:
+def alert_rows(state: DataFrame) -> DataFrame:
+    """The alert fact from alerts with a status."""
     return (
-        A.describe_alerts(A.alert_lifecycle(log, clears))
+        A.describe_alerts(state)
         .selectExpr(
             "*",
             f"{A.ALERT_ID} as alert_id",
             f"{date_key('event_timestamp')} as event_date_key",
             f"{time_key('event_timestamp')} as event_time_key",
-            "to_date(event_timestamp) as event_date",
         )
+        .withColumn("event_date", F.to_date("event_timestamp"))
         .select(ALERT_COLUMNS)
     )
 
 
+def fact_alert(log: DataFrame, clears: DataFrame) -> DataFrame:
+    return alert_rows(A.alert_lifecycle(log, clears))
+
+
 def daily_fact_alert(scored: DataFrame) -> DataFrame:
     """Alert fact of a whole history, replayed in daily batches."""
     business = with_daily_batches(business_rows(scored))

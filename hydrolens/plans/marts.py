@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from hydrolens import schema as S
 from hydrolens.functions import ladders
-from hydrolens.functions.common import minutes_between, moment, num
+from hydrolens.functions.common import average_of_totals, minutes_between, moment
 from hydrolens.functions.scoring import data_quality_band
 from hydrolens.operators.alerts import ALERT_DOMAIN
 from hydrolens.plans import rollups as R
+from hydrolens.plans.records import station_wqi
 
 
 @dataclass(frozen=True)
@@ -34,8 +35,7 @@ def station_status_base(
     stations: DataFrame,
     newest_wqi: DataFrame,
     newest_reading: DataFrame,
-    quality: DataFrame,
-    health: DataFrame,
+    recent: DataFrame,
     active: DataFrame,
     top_alert: DataFrame,
     clock: Clock,
@@ -55,9 +55,10 @@ def station_status_base(
         F.col("severity_level").alias("latest_open_alert_severity"),
     )
     newest_reading = newest_reading.select("station_id", "latest_reading_timestamp")
-    quality = quality.select("station_id", "invalid_count", "suspicious_count")
-    health = health.select(
+    recent = recent.select(
         "station_id",
+        "invalid_count",
+        "suspicious_count",
         "critical_health_samples",
         "degraded_health_samples",
         "drift_risk_count",
@@ -74,7 +75,7 @@ def station_status_base(
         "plant_capacity_m3_day",
         "operational_status",
     )
-    for evidence in (wqi, newest_reading, quality, health, active, top):
+    for evidence in (wqi, newest_reading, recent, active, top):
         base = base.join(evidence, "station_id", "left")
     age = minutes_between("latest_reading_timestamp", moment(clock.as_of))
     others = [name for name in base.columns if name not in ladders.STATUS_COUNTS]
@@ -138,36 +139,32 @@ def station_latest_status(base: DataFrame, clock: Clock) -> DataFrame:
 
 
 # --- governorate daily summary ------------------------------------------------------
-def governorate_daily_summary(
-    wqi_daily: DataFrame,
-    alert_daily: DataFrame,
-    status_mix: DataFrame,
-    dq_daily: DataFrame,
-) -> DataFrame:
-    """Days and governorates without an index row have no row here."""
-    alert_counts = ["alert_count", "critical_alert_count", "affected_stations_count"]
+ALERT_COUNTS = ("alert_count", "critical_alert_count", "affected_stations_count")
+
+
+def governorate_daily(days: DataFrame, alert_daily: DataFrame) -> DataFrame:
+    """What a day's rows alone decide. Days and governorates without an index row have no row."""
+    alert_daily = alert_daily.withColumnRenamed("alert_date", "summary_date")
+    return days.join(alert_daily, ["summary_date", "governorate"], "left").selectExpr(
+        "summary_date",
+        "governorate",
+        "stations_count",
+        "avg_wqi",
+        "min_wqi",
+        "max_wqi",
+        "avg_contamination_risk",
+        "avg_bacterial_risk",
+        *[_or_zero(name) for name in ALERT_COUNTS],
+        "avg_data_quality_score",
+    )
+
+
+def governorate_daily_summary(daily: DataFrame, status_mix: DataFrame) -> DataFrame:
+    """The present mix of station colours is the same on every day."""
     mix = [f"current_{color}_station_count" for color in S.STATUS_COLORS]
-    return (
-        wqi_daily.join(
-            alert_daily.withColumnRenamed("alert_date", "summary_date"),
-            ["summary_date", "governorate"],
-            "left",
-        )
-        .join(dq_daily, ["summary_date", "governorate"], "left")
-        .join(status_mix, "governorate", "left")
-        .selectExpr(
-            "summary_date",
-            "governorate",
-            "stations_count",
-            "avg_wqi",
-            "min_wqi",
-            "max_wqi",
-            "avg_contamination_risk",
-            "avg_bacterial_risk",
-            *[_or_zero(name) for name in alert_counts],
-            "avg_data_quality_score",
-            *[_or_zero(name) for name in mix],
-        )
+    return daily.join(status_mix, "governorate", "left").selectExpr(
+        *daily.columns,
+        *[_or_zero(name) for name in mix],
     )
 
 
@@ -192,44 +189,40 @@ def alert_monitor(alerts: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 # --- data-quality monitor -------------------------------------------------------------
-# Fixed value: score of a sensor day without health rows.
-DEFAULT_QUALITY_SCORE = 95.0
-
-
-def data_quality_monitor(
-    quality_daily: DataFrame, health_daily: DataFrame, stations: DataFrame
-) -> DataFrame:
-    """Sensor days of either rollup. Both are grouped by the join keys already, so the full
-    outer join needs no further shuffle."""
+def data_quality_monitor(quality: DataFrame, stations: DataFrame) -> DataFrame:
+    """Sensor-days. Counts of readings and of health signals come from the same record, so neither
+    side can be missing."""
     named = stations.select("station_id", "station_name", "governorate")
-    merged = quality_daily.join(health_daily, R.SENSOR_DAY, "full_outer").join(named, "station_id")
-    return merged.selectExpr(
+    return quality.join(named, "station_id").selectExpr(
         "summary_date",
         "station_id",
         "station_name",
         "governorate",
         "sensor_id",
-        _or_zero("total_readings_count"),
-        _or_zero("valid_readings_count"),
-        _or_zero("invalid_readings_count"),
-        _or_zero("partial_readings_count"),
-        _or_zero("duplicate_readings_count"),
-        _or_zero("suspicious_readings_count"),
-        _or_zero("anomaly_count"),
-        _or_zero("stale_signal_flag_count"),
-        _or_zero("drift_risk_flag_count"),
-        f"coalesce(data_quality_score, {num(DEFAULT_QUALITY_SCORE)}) as data_quality_score",
-    ).selectExpr("*", f"{data_quality_band('data_quality_score')} as data_quality_band")
+        "total_readings_count",
+        "valid_readings_count",
+        "invalid_readings_count",
+        "partial_readings_count",
+        "duplicate_readings_count",
+        "suspicious_readings_count",
+        "anomaly_count",
+        "stale_signal_flag_count",
+        "drift_risk_flag_count",
+        "data_quality_score",
+        f"{data_quality_band('data_quality_score')} as data_quality_band",
+    )
 
 
 # --- station daily snapshot -----------------------------------------------------------
 def station_daily_snapshot(
-    wqi_daily: DataFrame, alert_daily: DataFrame, dq_daily: DataFrame, stations: DataFrame
+    station_days: DataFrame, alert_daily: DataFrame, stations: DataFrame
 ) -> DataFrame:
+    """Station-days that have an index."""
     named = stations.select("station_id", "station_name", "governorate")
     joined = (
-        wqi_daily.join(alert_daily, R.STATION_DAY, "left")
-        .join(dq_daily, R.STATION_DAY, "left")
+        station_wqi(station_days)
+        .withColumn("avg_data_quality_score", average_of_totals("data_quality_score"))
+        .join(alert_daily, R.STATION_DAY, "left")
         .join(named, "station_id")
         .selectExpr(
             "summary_date",
@@ -243,9 +236,9 @@ def station_daily_snapshot(
             "avg_bacterial_risk",
             _or_zero("alert_count"),
             _or_zero("critical_alert_count"),
-            _or_zero("suspicious_readings_count"),
-            _or_zero("invalid_readings_count"),
-            _or_zero("partial_readings_count"),
+            "suspicious_readings_count",
+            "invalid_readings_count",
+            "partial_readings_count",
             "avg_data_quality_score",
         )
     )
@@ -262,22 +255,34 @@ def percent(part: str, total: str) -> str:
     return f"cast(100.0 * {part} / nullif({total}, 0) as decimal(10,2))"
 
 
+def readiness_daily(days: DataFrame, alert_daily: DataFrame) -> DataFrame:
+    """What a day's rows alone decide, and the present status of the day's alerts."""
+    return days.join(alert_daily, "summary_date", "left").selectExpr(
+        "summary_date",
+        "stations_reporting_count",
+        "total_readings",
+        *[f"{name}_readings" for name in S.QUALITY_FLAGS],
+        *[
+            f"{percent(f'{name}_readings', 'total_readings')} as {name}_readings_pct"
+            for name in ("valid", "suspicious", "invalid")
+        ],
+        _or_zero("duplicate_readings_count"),
+        _or_zero("resolved_alert_count"),
+        _or_zero("critical_alert_events"),
+        "avg_data_quality_score",
+        "avg_wqi",
+        "unsafe_station_events",
+        "watch_station_events",
+    )
+
+
 def system_readiness_summary(
-    reading_daily: DataFrame,
-    alert_daily: DataFrame,
-    wqi_daily: DataFrame,
-    dq_daily: DataFrame,
-    station_status: DataFrame,
-    open_alerts: DataFrame,
+    daily: DataFrame, station_status: DataFrame, open_alerts: DataFrame
 ) -> DataFrame:
-    """One row per day. The two current-state frames have one row each and repeat on every
-    day."""
-    joined = reading_daily
-    for daily in (alert_daily, wqi_daily, dq_daily):
-        joined = joined.join(daily, "summary_date", "left")
+    """One row per day. The two current-state frames have one row each and repeat on every day."""
     # Both sides are ungrouped aggregates: exactly one row.
     current = F.broadcast(station_status.crossJoin(open_alerts))
-    return joined.crossJoin(current).selectExpr(
+    return daily.crossJoin(current).select(
         "summary_date",
         "stations_reporting_count",
         "active_station_count",
@@ -286,16 +291,16 @@ def system_readiness_summary(
         "suspicious_readings",
         "partial_readings",
         "invalid_readings",
-        f"{percent('valid_readings', 'total_readings')} as valid_readings_pct",
-        f"{percent('suspicious_readings', 'total_readings')} as suspicious_readings_pct",
-        f"{percent('invalid_readings', 'total_readings')} as invalid_readings_pct",
-        _or_zero("duplicate_readings_count"),
+        "valid_readings_pct",
+        "suspicious_readings_pct",
+        "invalid_readings_pct",
+        "duplicate_readings_count",
         "open_alert_count",
-        _or_zero("resolved_alert_count"),
-        _or_zero("critical_alert_events"),
+        "resolved_alert_count",
+        "critical_alert_events",
         "avg_data_quality_score",
         "avg_wqi",
-        _or_zero("unsafe_station_events"),
-        _or_zero("watch_station_events"),
+        "unsafe_station_events",
+        "watch_station_events",
         *[f"{color}_station_count" for color in S.STATUS_COLORS],
     )

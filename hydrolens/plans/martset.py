@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from hydrolens.plans import marts as M
+from hydrolens.plans import records
 from hydrolens.plans import rollups as R
 from hydrolens.plans.facts import Facts
 
@@ -21,13 +22,41 @@ def _lazily(df: DataFrame, name: str) -> DataFrame:
 class MartSet:
     """The seven marts over one set of facts.
 
-    `keep(df, name)` may store a mart and return the stored table; it is called once per
-    mart, before other marts read it. By default marts stay lazy, which is right when a
-    query needs one of them once.
+    The marts are folded from two records of the readings (`records`), the newest index rows and the
+    alerts. `keep(df, name)` may store a mart and return the stored table; it is called once per mart,
+    before other marts read it. `hold` does the same for a record. By default all stay lazy, which is
+    right when a query needs one of them once.
     """
 
-    def __init__(self, facts: Facts, clock: M.Clock, keep: Keep = _lazily):
-        self.facts, self.clock, self.keep = facts, clock, keep
+    def __init__(self, facts: Facts, clock: M.Clock, keep: Keep = _lazily, hold: Keep = _lazily):
+        self.facts, self.clock, self.keep, self.hold = facts, clock, keep, hold
+
+    # --- records --------------------------------------------------------------------
+    @cached_property
+    def sensor_days(self) -> DataFrame:
+        return self.hold(records.sensor_day(self.facts.readings), "sensor_days")
+
+    @cached_property
+    def station_hours(self) -> DataFrame:
+        return self.hold(records.station_hour(self.facts.readings), "station_hours")
+
+    @cached_property
+    def station_days(self) -> DataFrame:
+        return records.station_day(self.sensor_days)
+
+    @cached_property
+    def station_readings(self) -> DataFrame:
+        return records.newest_reading(self.sensor_days)
+
+    @cached_property
+    def alerts_now(self) -> DataFrame:
+        """Alerts among which all open ones are."""
+        return self.facts.alerts
+
+    @cached_property
+    def recent(self) -> DataFrame:
+        clock = self.clock
+        return records.recent(self.station_hours, self.facts.readings, clock.as_of, clock.lookback_hours)
 
     # --- rollups ------------------------------------------------------------------
     @cached_property
@@ -57,16 +86,14 @@ class MartSet:
     # --- marts --------------------------------------------------------------------
     @cached_property
     def status_base(self) -> DataFrame:
-        f, clock = self.facts, self.clock
         return M.station_status_base(
-            f.stations,
+            self.facts.stations,
             self.newest_wqi,
-            self.newest_reading,
-            R.recent_quality(f.readings, clock.as_of, clock.lookback_hours),
-            R.recent_health(f.health, clock.as_of, clock.lookback_hours),
-            R.active_alerts(f.alerts),
-            R.top_open_alert(f.alerts),
-            clock,
+            self.station_readings,
+            self.recent,
+            R.active_alerts(self.alerts_now),
+            R.top_open_alert(self.alerts_now),
+            self.clock,
         )
 
     @cached_property
@@ -76,23 +103,26 @@ class MartSet:
 
     @cached_property
     def data_quality_monitor(self) -> DataFrame:
-        mart = M.data_quality_monitor(self.quality_daily, self.health_daily, self.facts.stations)
+        mart = M.data_quality_monitor(records.quality_of(self.sensor_days), self.facts.stations)
         return self.keep(mart, "mart_data_quality_monitor")
 
     @cached_property
-    def governorate_daily_summary(self) -> DataFrame:
-        f = self.facts
-        mart = M.governorate_daily_summary(
-            R.governorate_wqi_daily(self.wqi_totals, f.stations),
-            R.alert_daily_governorate(f.alerts, f.stations),
-            R.governorate_status_mix(self.station_latest_status),
-            R.governorate_dq_daily(self.data_quality_monitor),
+    def governorate_daily(self) -> DataFrame:
+        stations = self.facts.stations
+        return M.governorate_daily(
+            records.governorate_day(self.station_days, stations),
+            R.alert_daily_governorate(self.facts.alerts, stations),
         )
+
+    @cached_property
+    def governorate_daily_summary(self) -> DataFrame:
+        mix = R.governorate_status_mix(self.station_latest_status)
+        mart = M.governorate_daily_summary(self.governorate_daily, mix)
         return self.keep(mart, "mart_governorate_daily_summary")
 
     @cached_property
     def parameter_trend(self) -> DataFrame:
-        mart = R.parameter_trend(self.parameter_hourly, self.facts.stations)
+        mart = R.parameter_trend(records.parameter_hourly(self.station_hours), self.facts.stations)
         return self.keep(mart, "mart_parameter_trend")
 
     @cached_property
@@ -102,23 +132,21 @@ class MartSet:
 
     @cached_property
     def station_daily_snapshot(self) -> DataFrame:
-        mart = M.station_daily_snapshot(
-            R.station_wqi_daily(self.wqi_totals),
-            R.station_alert_daily(self.facts.alerts),
-            R.station_dq_daily(self.data_quality_monitor),
-            self.facts.stations,
-        )
+        alert_daily = R.station_alert_daily(self.facts.alerts)
+        mart = M.station_daily_snapshot(self.station_days, alert_daily, self.facts.stations)
         return self.keep(mart, "mart_station_daily_snapshot")
 
+    @cached_property
+    def readiness_daily(self) -> DataFrame:
+        days = records.national_day(self.station_days, self.facts.stations)
+        return M.readiness_daily(days, R.national_alert_daily(self.facts.alerts))
+
     @cached_property
     def system_readiness_summary(self) -> DataFrame:
         mart = M.system_readiness_summary(
-            R.national_reading_daily(self.quality_daily),
-            R.national_alert_daily(self.facts.alerts),
-            R.national_wqi_daily(self.wqi_totals),
-            R.national_dq_daily(self.data_quality_monitor),
+            self.readiness_daily,
             R.current_station_status(self.station_latest_status),
-            R.open_alert_count(self.facts.alerts),
+            R.open_alert_count(self.alerts_now),
         )
         return self.keep(mart, "mart_system_readiness_summary")
 

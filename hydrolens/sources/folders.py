@@ -25,7 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class RunFolder:
-    """A new folder for the intermediate tables of one run, removed when the session's JVM ends.
+    """A new folder for the intermediate tables of one run, removed by `close` (or at the end of a `with`
+    block), at the latest when the session's JVM ends.
 
     A frame used several times is written once and read back. The files outlive executors,
     the lineage is cut, and the planner knows the true size of what it joins.
@@ -39,6 +40,19 @@ class RunFolder:
         system.mkdirs(path)
         system.deleteOnExit(path)
 
+    def __enter__(self) -> RunFolder:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Removes the folder. Frames read from it can not be used any more."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(path, True)
+        system.cancelDeleteOnExit(path)
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
         df.write.parquet(path)

@@ -1,24 +1,32 @@
-"""Stored facts, rollups and marts under one folder.
-
-A batch has a key: the number of its run (one per streaming checkpoint) and its id in that run, so
-that a new checkpoint never meets the batches of an old one and later runs sort after earlier
-ones. Each fact and log keeps a batch in a folder of its own, which is overwritten as a whole when
-the batch runs again. A marker is written last and holds the dates that the batch touches, now or
-before it was run again; readers see marked batches only.
-
-Every marker carries a number that grows with each batch stored. Rollups are partitioned by date
-and recomputed for the dates of markers that are newer than the last refresh; marts are built from
-rollups and the last hours of facts, never from the whole history of readings. A refresh writes a
-new version of the marts and marks it complete at the end; readers take the newest complete
-version, so they never see a half-written set. The version before it stays for readers that are
-still at it; older ones are removed.
+"""Stored facts, alert state and marts under one folder.
+
+Batches come first, state is folded from them, marts are made from the state.
+
+* A batch has a key: the number of its run and its id in that run. A run is one streaming checkpoint; it
+  gets a new number when it goes on after another one has begun. So keys grow in the order in which
+  batches are stored. Every table keeps a batch in a folder of its own, which is replaced as a whole when
+  the batch runs again. A marker is written last and holds the dates that the batch touches, now or
+  before it was run again; readers see marked batches only.
+* A seal folds the batches before the newest into the sealed state: records per date, the newest rows per
+  station, the open alerts, and the closed alerts by date. A batch that is sealed is not stored again: a
+  replay of it is skipped. Open alerts are carried from seal to seal, closed ones are added to their dates and
+  not read again, so a seal costs what its batches, their dates and the open alerts cost. Every
+  `MERGED` batches, their facts are gathered into date folders.
+* A refresh seals, then makes the marts from the sealed state and the batch that is still open. Marts by
+  date are written for the dates that new batches touch (readiness also for those of alerts whose status has
+  changed); other dates are carried over as they are. What is the same on every day (colours
+  of stations, open alerts) is kept once and joined when a mart is read.
+
+Sealed state and marts are `Parts`: versions that become visible as a whole. A crash before a version is
+complete leaves the one before it; the next refresh makes up for it. Folders of batches go one seal after
+they were gathered, for readers that are still at them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,17 +34,32 @@ from pyspark.sql import types as T
 from hydrolens import schema as S
 from hydrolens.operators import alerts as A
 from hydrolens.operators import ingest
+from hydrolens.operators.latest import first_per_key
 from hydrolens.plans import facts as facts_plan
 from hydrolens.plans import marts as M
+from hydrolens.plans import records
 from hydrolens.plans import rollups as R
 from hydrolens.plans.martset import MartSet
+from hydrolens.plans.records import SENSOR_DAY, STATION_HOUR
+from hydrolens.sources.folders import RunFolder
+from hydrolens.sources.parts import MERGED, Folder, Parts, Staged, crowded, names_in, remove, stored_or_none, together
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
+LOGS = ("alert_log", "heartbeat_log", "sensor_day", "station_hour", "newest_wqi")
 # Tables are partitioned by those of these columns they have.
 DATE_COLUMNS = ("event_date", "summary_date", "trend_date")
 # Batches that one run can have before its keys reach the next run's.
 RUN_BATCHES = 1 << 40
-KEPT_VERSIONS = 2
+RUNS = "run string, first bigint, number bigint"
+MARKS = "stamp bigint, event_date date, batch bigint"
+# Marts stored as they are read, with their date column.
+STORED_MARTS = {
+    "mart_station_latest_status": None,
+    "mart_data_quality_monitor": "summary_date",
+    "mart_parameter_trend": "trend_date",
+    "mart_station_daily_snapshot": "summary_date",
+}
+MARTS = (*STORED_MARTS, "mart_governorate_daily_summary", "mart_alert_monitor", "mart_system_readiness_summary")
 
 
 def _reading_frame(scored: DataFrame, key: int) -> DataFrame:
@@ -48,77 +71,85 @@ def _reading_frame(scored: DataFrame, key: int) -> DataFrame:
 
 
 def _derived_frames(readings: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-    """The other facts and the alert logs of one batch of stored readings."""
+    """The other facts, the alert logs and the records of one batch of stored readings."""
     batch = F.lit(batch_id).cast("bigint")
     indexed = ingest.with_index(readings)
     business = facts_plan.business_rows(indexed)
-    return {
-        "fact_water_quality_index": facts_plan.fact_water_quality_index(indexed).withColumn(
-            "batch", batch
-        ),
-        "fact_sensor_health": facts_plan.fact_sensor_health(indexed).withColumn("batch", batch),
+    wqi = facts_plan.fact_water_quality_index(indexed)
+    frames = {
+        "fact_water_quality_index": wqi,
+        "fact_sensor_health": facts_plan.fact_sensor_health(indexed),
         "alert_log": A.alert_log(business).withColumn("event_date", F.to_date("event_timestamp")),
         "heartbeat_log": A.heartbeat_log(business),
+        "sensor_day": records.sensor_day(readings),
+        "station_hour": records.station_hour(readings),
+        "newest_wqi": R.latest_wqi(wqi),
     }
+    return {name: frame.withColumn("batch", batch) for name, frame in frames.items()}
 
 
-def _rollup_frames(reading: DataFrame, wqi: DataFrame, health: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "rollup_quality_daily": R.reading_quality_daily(reading),
-        "rollup_health_daily": R.sensor_health_daily(health),
-        "rollup_wqi_totals": R.wqi_totals_daily(wqi),
-        "rollup_newest_wqi": R.latest_wqi(wqi, ["event_date", "station_id"]),
-        "rollup_newest_reading": R.latest_reading(reading, ["event_date", "station_id"]),
-        "rollup_parameter_hourly": R.parameter_hourly(reading),
-    }
+def _newest_wqi(frame: DataFrame) -> DataFrame:
+    return first_per_key(frame, ["station_id"], [F.col("event_timestamp").desc(), F.col("reading_id").asc()])
+
+
+def _dates(frame: DataFrame, column: str) -> set[dt.date]:
+    return {r[0] for r in frame.select(column).where(F.col(column).isNotNull()).distinct().collect()}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, stations: DataFrame):
         self.spark, self.root, self.stations = spark, root.rstrip("/"), stations
-        self._runs: dict[str, int] = {}
-
-    # --- tables ---------------------------------------------------------------------
-    def table(self, name: str) -> DataFrame:
-        """A stored table. Its schema is given, so a table that has no rows yet can be read. Facts
-        and logs show the rows of complete batches only."""
-        stored = self._read(name, self.schemas[name])
-        if "batch" not in stored.columns:
-            return stored
-        return stored.join(self._markers().select("batch").distinct(), "batch", "left_semi").select(stored.columns)
-
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-
-    def _read_or_none(self, name: str, schema: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _batch(self, name: str, key: int) -> DataFrame:
-        """One batch of a table, read from its own folder."""
-        schema = T.StructType([f for f in self.schemas[name].fields if f.name != "batch"])
-        stored = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/batch={key}")
-        return stored.withColumn("batch", F.lit(key).cast("bigint"))
+        self.sealed = Parts(spark, f"{self.root}/sealed")
+        self.refreshed = Parts(spark, f"{self.root}/marts")
 
+    # --- batches --------------------------------------------------------------------
     @cached_property
     def schemas(self) -> dict[str, T.StructType]:
-        """The schema of each fact, log and rollup, from its own plan over no rows."""
+        """The schema of each fact, log and record, from its own plan over no rows."""
         ids = [T.StructField(name, T.StringType()) for name in ("reading_id", "station_id", "sensor_id")]
         measures = [T.StructField(name, T.DoubleType()) for name in S.MEASURES]
         time = T.StructField("event_timestamp", T.TimestampType())
         nothing = self.spark.createDataFrame([], T.StructType([*ids, time, *measures]))
         readings = _reading_frame(ingest.score_readings(nothing), 0)
-        derived = _derived_frames(readings, 0)
-        rollups = _rollup_frames(
-            readings, derived["fact_water_quality_index"], derived["fact_sensor_health"]
-        )
-        frames = {"fact_sensor_reading": readings, **derived, **rollups}
+        frames = {"fact_sensor_reading": readings, **_derived_frames(readings, 0)}
+        log = frames["alert_log"].drop("event_date")
+        state = A.alert_lifecycle(log, A.last_clears(frames["heartbeat_log"])).withColumn("event_date", F.lit(None).cast("date"))
+        frames |= {
+            "alert_state": state,
+            "open_alerts": log,
+            "newest_reading": records.newest_reading(frames["sensor_day"]),
+        }
         return {name: frame.schema for name, frame in frames.items()}
 
+    def _schema(self, name: str, *without: str) -> T.StructType:
+        return T.StructType([f for f in self.schemas[name].fields if f.name not in without])
+
+    def table(self, name: str) -> DataFrame:
+        """A fact, or the rows of a log that are not sealed yet. Only complete batches are seen."""
+        if name not in FACTS:
+            return self._rows(name, self._sealed_through())
+        version = self.sealed.newest()
+        marker = self.sealed.marker(version) if version else None
+        gathered = self.sealed.read(name, self.schemas[name], self.sealed.folders(version))
+        return gathered.unionByName(self._rows(name, marker.base if marker else -1))
+
+    def _rows(self, name: str, after: int, through: int | None = None) -> DataFrame:
+        """Rows of complete batches after a key, read from the batches' folders."""
+        schema = self.schemas[name]
+        stored = stored_or_none(self.spark, f"{self.root}/{name}", schema)
+        if stored is None:
+            return self.spark.createDataFrame([], schema)
+        wanted = F.col("batch") > after
+        if through is not None:
+            wanted = wanted & (F.col("batch") <= through)
+        marked = self._markers().select("batch").distinct()
+        return stored.where(wanted).join(marked, "batch", "left_semi").select(schema.names)
+
+    def _batch(self, name: str, key: int) -> DataFrame:
+        """One batch of a table, read from its own folder."""
+        stored = self.spark.read.schema(self._schema(name, "batch")).parquet(f"{self.root}/{name}/batch={key}")
+        return stored.withColumn("batch", F.lit(key).cast("bigint"))
+
     def _partitioned(self, df: DataFrame) -> DataFrameWriter:
         """A writer by date. Rows are gathered by date first, so a date is not written as one file per
         task. The rebalance joins small dates into one task and splits one that is larger than the
@@ -131,58 +162,57 @@ class Warehouse:
         writer = self._partitioned(df.drop("batch")).option("partitionOverwriteMode", "static")
         writer.parquet(f"{self.root}/{name}/batch={key}")
 
-    def _remove(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-    def _versions(self, name: str) -> list[int]:
-        """The complete versions of a versioned table set that are still there, oldest first."""
-        markers = self._read_or_none(f"{name}_complete", "done bigint, version bigint")
-        return sorted(r[0] for r in markers.select("done").collect()) if markers else []
+    def _runs(self) -> list[tuple[int, str, int]]:
+        """number, run and first batch id of it, in the order in which they began."""
+        known = stored_or_none(self.spark, f"{self.root}/runs", RUNS)
+        return sorted((r.number, r.run, r.first) for r in known.collect()) if known else []
 
-    def _newest(self, name: str) -> int | None:
-        return max(self._versions(name), default=None)
+    def _applied(self) -> dict[int, int]:
+        """Per run number the last batch that is sealed."""
+        folders = self.sealed.folders(self.sealed.newest())
+        rows = self.sealed.read("applied", T.StructType.fromDDL("number bigint, last bigint"), folders).collect()
+        return {r.number: r.last for r in rows}
 
-    def _complete(self, name: str, version: int) -> None:
-        marker = self.spark.range(1).select(F.lit(version).cast("bigint").alias("done"))
-        marker.write.mode("overwrite").parquet(f"{self.root}/{name}_complete/version={version}")
-        for old in self._versions(name)[:-KEPT_VERSIONS]:
-            self._remove(f"{name}_complete/version={old}")
-            self._remove(f"{name}/version={old}")
-
-    # --- batches --------------------------------------------------------------------
     def batch_key(self, run: str, batch_id: int) -> int:
-        """Grows with the batches of a run, and from run to run in the order of their first batches."""
-        if run not in self._runs:
-            known = self._read_or_none("runs", "run string, number bigint")
-            self._runs = dict(known.select("run", "number").collect()) if known else {}
-            if run not in self._runs:
-                number = len(self._runs)
-                row = self.spark.range(1).select(F.lit(run).alias("run"))
-                row.write.parquet(f"{self.root}/runs/number={number}")
-                self._runs[run] = number
-        return self._runs[run] * RUN_BATCHES + batch_id
+        """The key of a batch. It grows from batch to batch: a run that goes on after a later one has begun
+        gets a new number for what it has not stored yet."""
+        runs = self._runs()
+        own = [number for number, name, first in runs if name == run and first <= batch_id]
+        if own:
+            key = own[-1] * RUN_BATCHES + batch_id
+            if own[-1] == runs[-1][0] or self._applied().get(own[-1], -1) >= batch_id or key in self._complete():
+                return key
+        number = len(runs)
+        row = self.spark.createDataFrame([(run, batch_id)], "run string, first bigint")
+        row.coalesce(1).write.parquet(f"{self.root}/runs/number={number}")
+        return number * RUN_BATCHES + batch_id
 
     def _markers(self) -> DataFrame:
-        """batch, stamp, event_date: the dates of complete batches, and a row without date for each."""
-        markers = self._read_or_none("batches", "stamp bigint, event_date date, batch bigint")
+        """stamp, event_date, batch: the dates of complete batches, and a row without date for each."""
+        markers = stored_or_none(self.spark, f"{self.root}/batches", MARKS)
         if markers is None:
-            return self.spark.createDataFrame([], "stamp bigint, event_date date, batch bigint")
+            return self.spark.createDataFrame([], MARKS)
         return markers.filter("stamp is not null")
 
+    def _complete(self) -> list[int]:
+        return sorted(r[0] for r in self._markers().select("batch").distinct().collect())
+
     def _mark(self, dates: DataFrame, key: int, stamp: int | None) -> None:
         rows = dates.select(F.lit(stamp).cast("bigint").alias("stamp"), "event_date")
-        rows.write.mode("overwrite").parquet(f"{self.root}/batches/batch={key}")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batches/batch={key}")
 
     def stamp(self) -> int:
         """The number of the batch stored last, 0 before the first. Not less than the newest marts': the
         batch they were built from may be open again."""
         stored = self._markers().agg(F.max("stamp")).first()[0] or 0
-        return max(stored, self._newest("marts") or 0)
+        return max(stored, self.refreshed.newest() or 0)
+
+    def _sealed_through(self) -> int:
+        version = self.sealed.newest()
+        return self.sealed.marker(version).through if version else -1
 
     def append_batch(self, scored: DataFrame, batch_id: int, run: str = "manual") -> bool:
-        """Stores the facts and alert logs of one batch; false if the batch is empty.
+        """Stores the facts, alert logs and records of one batch; false if it is empty or sealed already.
 
         The readings are written first and everything else is derived from what was stored.
         So the stream's plan runs once, nothing has to be held in executors, and all tables
@@ -190,10 +220,9 @@ class Warehouse:
         not see it.
         """
         key = self.batch_key(run, batch_id)
-        folded = self._newest("alert_state")
-        if folded is not None and key <= folded:
-            raise ValueError(f"batch {batch_id} of run {run} is part of an alert snapshot")
-        before = self._read_or_none(f"batches/batch={key}", "stamp bigint, event_date date")
+        if key <= self._sealed_through():
+            return False
+        before = stored_or_none(self.spark, f"{self.root}/batches/batch={key}", "stamp bigint, event_date date")
         if before is not None:
             dates = f"{self.root}/reopened/batch={key}"
             before.select("event_date").write.mode("overwrite").parquet(dates)
@@ -201,8 +230,8 @@ class Warehouse:
             self._mark(before, key, None)
         self._write_batch(_reading_frame(scored, key), "fact_sensor_reading", key)
         stored = self._batch("fact_sensor_reading", key)
-        for name, frame in _derived_frames(stored, key).items():
-            self._write_batch(frame, name, key)
+        frames = _derived_frames(stored, key)
+        together(self.spark, *[lambda n=n, f=f: self._write_batch(f, n, key) for n, f in frames.items()])
         dates = stored.select("event_date").union(self.spark.range(1).selectExpr("cast(null as date)"))
         if before is not None:
             dates = dates.union(before)
@@ -210,147 +239,334 @@ class Warehouse:
         return not stored.isEmpty()
 
     # --- alerts ---------------------------------------------------------------------
-    def _alert_state(self, through: int | None = None) -> tuple[DataFrame, DataFrame]:
-        """Merged alerts and last clears: the newest snapshot and the logs after it, up to
-        batch `through`. Both folds are associative, so the snapshot stands for its logs."""
-        log = self.table("alert_log").drop("event_date")
-        heartbeats = self.table("heartbeat_log")
-        snapshot = self._newest("alert_state")
-        if through is not None:
-            log, heartbeats = [df.filter(F.col("batch") <= through) for df in (log, heartbeats)]
-        if snapshot is None:
-            return A.merge_alerts(log), A.last_clears(heartbeats)
-        log, heartbeats = [df.filter(F.col("batch") > snapshot) for df in (log, heartbeats)]
-        folder = f"{self.root}/alert_state/version={snapshot}"
-        merged = self.spark.read.parquet(f"{folder}/merged")
-        clears = self.spark.read.parquet(f"{folder}/clears")
-        return (
-            A.merge_alerts(merged.unionByName(log)),
-            A.newer_clears(clears, A.last_clears(heartbeats)),
-        )
-
-    def compact_alerts(self, through: int) -> None:
-        """Folds the logs up to the batch with key `through` into a snapshot, so that long histories are
-        not read again. Batches up to it can not be run again. A snapshot that is there already, or
-        a newer one, is left alone."""
-        newest = self._newest("alert_state")
-        if newest is not None and newest >= through:
-            return
-        merged, clears = self._alert_state(through)
-        folder = f"{self.root}/alert_state/version={through}"
-        merged.write.mode("overwrite").parquet(f"{folder}/merged")
-        clears.write.mode("overwrite").parquet(f"{folder}/clears")
-        self._complete("alert_state", through)
+    def _alert_state(self, through: int | None = None) -> DataFrame:
+        """Alerts that were open at the last seal and those of the batches since (up to a key), with status.
+        What was cleared before the seal is closed already, so later batches' heartbeats are enough."""
+        after = self._sealed_through()
+        opened = self.sealed.read("open_alerts", self.schemas["open_alerts"], self.sealed.folders(self.sealed.newest()))
+        log = self._rows("alert_log", after, through).drop("event_date")
+        heartbeats = self._rows("heartbeat_log", after, through)
+        state = A.alert_lifecycle(opened.unionByName(log), A.last_clears(heartbeats))
+        return state.withColumn("event_date", F.to_date("event_timestamp")).select(self.schemas["alert_state"].names)
+
+    def _closed(self, version: int | None, dates: set | None = None) -> DataFrame:
+        return self.sealed.read("closed_alerts", self.schemas["alert_state"], self.sealed.folders(version), dates)
 
     def alerts(self) -> DataFrame:
-        return facts_plan.fact_alert(*self._alert_state())
+        """The alert fact over all complete batches."""
+        state = records.all_alerts(self._closed(self.sealed.newest()), self._alert_state())
+        return facts_plan.alert_rows(state)
+
+    def readings_of(self, day: dt.date) -> DataFrame:
+        """The reading fact of one date."""
+        name, version = "fact_sensor_reading", self.sealed.newest()
+        marker = self.sealed.marker(version) if version else None
+        gathered = self.sealed.read(name, self.schemas[name], self.sealed.folders(version), {day})
+        fresh = self._rows(name, marker.base if marker else -1).where(F.col("event_date") == F.lit(day))
+        return gathered.unionByName(fresh)
 
     def facts(self) -> facts_plan.Facts:
         reading, wqi, health = [self.table(name) for name in FACTS]
         return facts_plan.Facts(self.stations, reading, wqi, health, self.alerts())
 
+    # --- seal -----------------------------------------------------------------------
+    def compact_alerts(self, through: int) -> None:
+        """Seals the batches up to a key by hand."""
+        self.seal(through)
+
+    def seal(self, through: int | None = None) -> None:
+        """Folds complete batches up to a key (default: all but the newest) into the sealed state. Sealed
+        batches are left alone."""
+        version = self.sealed.newest()
+        marker = self.sealed.marker(version) if version else None
+        done, gathered = (marker.through, marker.base) if marker else (-1, -1)
+        complete = self._complete()
+        keys = [k for k in complete if k > done]
+        keys = keys[:-1] if through is None else [k for k in keys if k <= through]
+        if not keys:
+            return
+        last, staged = keys[-1], Staged((version or 0) + 1)
+        folders = self.sealed.folders(version)
+        with RunFolder(self.spark) as run:
+            state = run.keep(self._alert_state(last), "alert_state")
+            jobs = [
+                *self._records_to_seal(staged, folders, done, last),
+                *self._alerts_to_seal(staged, folders, state),
+                lambda: self._write_applied(staged, folders, keys),
+            ]
+            if sum(gathered < k <= last for k in complete) >= MERGED:
+                jobs += self._facts_to_seal(staged, folders, gathered, last)
+                gathered, before = last, gathered
+            else:
+                before = gathered
+            together(self.spark, *jobs)
+        self._commit_seal(staged, last, gathered)
+        self._clean(done, before)
+
+    def _commit_seal(self, staged: Staged, through: int, gathered: int) -> None:
+        self.sealed.commit(staged, through=through, base=gathered)
+
+    def _records_to_seal(self, staged: Staged, folders: list[Folder], done: int, last: int) -> list:
+        def record(name: str, kind: records.Record):
+            def job() -> None:
+                new = self._rows(name, done, last).drop("batch")
+                dates = _dates(new, kind.date)
+                old = [f for f in folders if f.item == name and f.part in dates]
+                schema = self._schema(name, "batch")
+                merged = kind.merged(self.sealed.read(name, schema, old), new)
+                self.sealed.stage(staged, name, merged.select(schema.names), old, kind.date)
+
+            return job
+
+        def newest_wqi() -> None:
+            schema = self._schema("newest_wqi", "batch")
+            old = [f for f in folders if f.item == "newest_wqi"]
+            both = self.sealed.read("newest_wqi", schema, old).unionByName(self._rows("newest_wqi", done, last).drop("batch"))
+            self.sealed.stage(staged, "newest_wqi", _newest_wqi(both), old)
+
+        def newest_reading() -> None:
+            old = [f for f in folders if f.item == "newest_reading"]
+            new = records.newest_reading(self._rows("sensor_day", done, last))
+            both = self.sealed.read("newest_reading", self.schemas["newest_reading"], old).unionByName(new)
+            self.sealed.stage(staged, "newest_reading", records.newest_reading(both), old)
+
+        return [record("sensor_day", SENSOR_DAY), record("station_hour", STATION_HOUR), newest_wqi, newest_reading]
+
+    def _alerts_to_seal(self, staged: Staged, folders: list[Folder], state: DataFrame) -> list:
+        def opened() -> None:
+            rows = state.where("status = 'open'").select(self.schemas["open_alerts"].names)
+            self.sealed.stage(staged, "open_alerts", rows, [f for f in folders if f.item == "open_alerts"])
+
+        def closed() -> None:
+            new = state.where("status = 'resolved'")
+            dates = _dates(new, "event_date")
+            old = [f for f in folders if f.item == "closed_alerts" and f.part in dates]
+            # An alert that was raised again after it was closed has an older row on its date.
+            raised = new.select(*A.ALERT_KEY, F.date_trunc("second", "event_timestamp").alias("second"))
+            there = self.sealed.read("closed_alerts", self.schemas["alert_state"], old)
+            again = there.withColumn("second", F.date_trunc("second", "event_timestamp")).join(raised, [*A.ALERT_KEY, "second"], "left_semi")
+            changed = _dates(again, "event_date")
+            merged = [f for f in old if f.part in changed]
+            merged += [f for f in crowded(old, dates) if f.part not in changed]
+            kept = self.sealed.read("closed_alerts", self.schemas["alert_state"], merged)
+            self.sealed.stage(staged, "closed_alerts", records.all_alerts(kept, new), merged, "event_date")
+
+        return [opened, closed]
+
+    def _write_applied(self, staged: Staged, folders: list[Folder], keys: list[int]) -> None:
+        applied = self._applied()
+        for key in keys:
+            number, batch_id = divmod(key, RUN_BATCHES)
+            applied[number] = max(batch_id, applied.get(number, -1))
+        rows = self.spark.createDataFrame(sorted(applied.items()), "number bigint, last bigint").coalesce(1)
+        self.sealed.stage(staged, "applied", rows, [f for f in folders if f.item == "applied"])
+
+    def _facts_to_seal(self, staged: Staged, folders: list[Folder], gathered: int, last: int) -> list:
+        def fact(name: str):
+            def job() -> None:
+                new = self._rows(name, gathered, last)
+                own = [f for f in folders if f.item == name]
+                merged = crowded(own, _dates(new, "event_date"))
+                rows = new.unionByName(self.sealed.read(name, self.schemas[name], merged))
+                self.sealed.stage(staged, name, rows, merged, "event_date")
+
+            return job
+
+        return [fact(name) for name in FACTS]
+
+    def _clean(self, sealed: int, gathered: int) -> None:
+        """Removes what the version before the newest has in its own folders: logs of sealed batches, facts of
+        gathered ones, and markers that no refresh needs any more."""
+        marts = self.refreshed.versions()
+        bases = [self.refreshed.marker(v).base for v in marts]
+        self.sealed.clean(min([b for b in bases if b is not None], default=None))
+        stamps = dict(self._markers().groupBy("batch").agg(F.max("stamp")).collect())
+        for name in (*LOGS, *FACTS, "batches", "reopened"):
+            limit = sealed if name in LOGS else gathered
+            for folder in names_in(self.spark, f"{self.root}/{name}"):
+                key = int(folder.partition("=")[2]) if folder.startswith("batch=") else None
+                if key is None or key > min(limit, sealed):
+                    continue
+                if name in ("batches", "reopened") and stamps.get(key, 0) > (marts[-1] if marts else -1):
+                    continue
+                remove(self.spark, f"{self.root}/{name}/{folder}")
+
     # --- refresh --------------------------------------------------------------------
     def batches_waiting(self) -> int:
         """Complete batches, empty ones too, that no refresh has seen; 0 if all of them are empty."""
-        newer = self._markers().filter(F.col("stamp") > (self._newest("marts") or 0))
+        newer = self._markers().filter(F.col("stamp") > (self.refreshed.newest() or 0))
         waiting, dated = newer.agg(F.count_distinct("batch"), F.count("event_date")).first()
         return waiting if dated else 0
 
-    def refresh(self, clock: M.Clock) -> None:
-        """Rollups of the dates touched since the last complete version, then the marts.
-
-        A refresh that was skipped or failed is made up for by the next one. If no batch has been
-        stored since, nothing is done.
-        """
-        newest, stamp = self._newest("marts"), self.stamp()
-        if newest is None or newest < stamp:
-            self.refresh_rollups(self.dates_since(newest or 0))
-            self.refresh_marts(clock, stamp)
-
     def dates_since(self, stamp: int) -> DataFrame:
         """event_date: the dates that batches stored after `stamp` touch."""
         newer = self._markers().filter((F.col("stamp") > stamp) & F.col("event_date").isNotNull())
         return newer.select("event_date").distinct()
 
-    def refresh_rollups(self, dates: DataFrame) -> None:
-        """Recomputes the rollups of the given dates; the join on the partition column prunes the scans."""
-        reading, wqi, health = [
-            self.table(name).join(dates, "event_date", "left_semi") for name in FACTS
-        ]
-        for name, frame in _rollup_frames(reading, wqi, health).items():
-            writer = self._partitioned(frame).option("partitionOverwriteMode", "dynamic")
-            writer.parquet(f"{self.root}/{name}")
-            self._remove_emptied(name, frame, dates)
-
-    def _remove_emptied(self, name: str, frame: DataFrame, dates: DataFrame) -> None:
-        """Dates without rows are not overwritten, so what an earlier run of a batch left there is
-        removed. Only dates that a batch has lost by running again can be meant."""
-        (column,) = [c for c in DATE_COLUMNS if c in frame.columns]
-        day = F.col(column).alias("event_date")
-        lost = self._read(name, frame.schema).select(day).join(dates, "event_date", "left_semi").distinct()
-        lost = lost.join(frame.select(day).distinct(), "event_date", "left_anti")
-        for row in lost.collect():
-            self._remove(f"{name}/{column}={row[0]}")
-
-    # --- marts ----------------------------------------------------------------------
-    def refresh_marts(self, clock: M.Clock, version: int) -> None:
-        folder = f"{self.root}/marts/version={version}"
-
-        def keep(df: DataFrame, name: str) -> DataFrame:
-            path = f"{folder}/{name}"
-            df.withColumn("updated_at", F.expr(M.moment(clock.as_of))).write.mode(
-                "overwrite"
-            ).parquet(path)
-            return self.spark.read.parquet(path).drop("updated_at")
-
-        facts = self.facts()
-        alerts = f"{folder}/fact_alert"
-        facts.alerts.write.mode("overwrite").parquet(alerts)
-        stored_alerts = self.spark.read.parquet(alerts)
-        stored = facts_plan.Facts(
-            facts.stations, facts.readings, facts.wqi, facts.health, stored_alerts
-        )
-        StoredMartSet(self, stored, clock, keep).all()
-        self._complete("marts", version)
+    def refresh(self, clock: M.Clock) -> None:
+        """Seals all batches but the newest and makes the marts of all batches.
+
+        A refresh that was skipped or failed is made up for by the next one. If no batch has been
+        stored since, nothing is done.
+        """
+        newest, stamp = self.refreshed.newest(), self.stamp()
+        if newest is not None and newest >= stamp:
+            return
+        self.seal()
+        self.refresh_marts(clock, newest, stamp)
+
+    def refresh_marts(self, clock: M.Clock, newest: int | None, stamp: int) -> None:
+        """Makes version `stamp` of the marts after version `newest`."""
+        touched = _dates(self.dates_since(newest or 0), "event_date")
+        base, before = self.sealed.newest(), self.refreshed.folders(newest)
+        staged = Staged(stamp)
+
+        def of(item: str, dates: set | None = None) -> list[Folder]:
+            return [f for f in before if f.item == item and (dates is None or f.part in dates)]
+
+        schema = self.schemas["alert_state"]
+        self.refreshed.stage(staged, "alerts_now", self._alert_state(), of("alerts_now"))
+        now = self.refreshed.read("alerts_now", schema, staged.folders)
+        second = F.date_trunc("second", "event_timestamp").alias("second")
+        was_open = self.refreshed.read("alerts_now", schema, before).where("status = 'open'").select(*A.ALERT_KEY, second, "event_date")
+        is_open = now.where("status = 'open'").select(*A.ALERT_KEY, second)
+        changed = touched | _dates(was_open.join(is_open, [*A.ALERT_KEY, "second"], "left_anti"), "event_date")
+        alerts = records.all_alerts(self._closed(base, changed), now)
+        with RunFolder(self.spark) as run:
+            marts = StoredMartSet(self, run, clock, touched, changed, facts_plan.alert_rows(alerts), facts_plan.alert_rows(now))
+            marts.sensor_days  # stored once, used by several marts
+            dated = {name: (date, touched) for name, date in STORED_MARTS.items()} | {
+                "governorate_daily": ("summary_date", touched),
+                "readiness_daily": ("summary_date", changed),
+            }
+            frames = {
+                "mart_station_latest_status": marts.station_latest_status,
+                "mart_data_quality_monitor": marts.data_quality_monitor,
+                "mart_parameter_trend": marts.parameter_trend,
+                "mart_station_daily_snapshot": marts.station_daily_snapshot,
+                "governorate_daily": marts.governorate_daily,
+                "readiness_daily": marts.readiness_daily,
+            }
+
+            def job(name: str):
+                date, dates = dated[name]
+                frame = frames[name]
+                if date:
+                    frame = frame.where(F.col(date).isin(*dates)) if dates else frame.limit(0)
+                return lambda: self.refreshed.stage(staged, name, frame, of(name, dates if date else None), date)
+
+            together(self.spark, *[job(name) for name in frames])
+        self.refreshed.commit(staged, through=stamp, as_of=str(clock.as_of), base=base)
+        self.refreshed.clean()
+
+    # --- reading the marts ------------------------------------------------------------
+    @cached_property
+    def _mart_schemas(self) -> dict[str, T.StructType]:
+        """From the marts' own plans over no rows."""
+        empty = {name: self.spark.createDataFrame([], self.schemas[name]) for name in FACTS}
+        alerts = facts_plan.alert_rows(self.spark.createDataFrame([], self.schemas["alert_state"]))
+        marts = MartSet(facts_plan.Facts(self.stations, *empty.values(), alerts), M.Clock("2000-01-01 00:00:00"))
+        frames = {
+            "mart_station_latest_status": marts.station_latest_status,
+            "mart_data_quality_monitor": marts.data_quality_monitor,
+            "mart_parameter_trend": marts.parameter_trend,
+            "mart_station_daily_snapshot": marts.station_daily_snapshot,
+            "governorate_daily": marts.governorate_daily,
+            "readiness_daily": marts.readiness_daily,
+        }
+        return {name: frame.schema for name, frame in frames.items()}
 
     def mart(self, name: str) -> DataFrame:
         """A mart of the newest complete version."""
-        version = self._newest("marts")
+        version = self.refreshed.newest()
         if version is None:
             raise ValueError("the marts have not been refreshed yet")
-        return self.spark.read.parquet(f"{self.root}/marts/version={version}/{name}")
+        marker, folders = self.refreshed.marker(version), self.refreshed.folders(version)
+
+        def stored(item: str) -> DataFrame:
+            return self.refreshed.read(item, self._mart_schemas[item], folders)
+
+        def alerts_now() -> DataFrame:
+            return self.refreshed.read("alerts_now", self.schemas["alert_state"], folders)
+
+        if name in STORED_MARTS:
+            mart = stored(name)
+        elif name == "mart_governorate_daily_summary":
+            mix = R.governorate_status_mix(stored("mart_station_latest_status"))
+            mart = M.governorate_daily_summary(stored("governorate_daily"), mix)
+        elif name == "mart_alert_monitor":
+            alerts = records.all_alerts(self._closed(marker.base), alerts_now())
+            mart = M.alert_monitor(facts_plan.alert_rows(alerts), self.stations)
+        elif name == "mart_system_readiness_summary":
+            status = R.current_station_status(stored("mart_station_latest_status"))
+            mart = M.system_readiness_summary(stored("readiness_daily"), status, R.open_alert_count(alerts_now()))
+        else:
+            raise ValueError(f"no mart {name}")
+        return mart.withColumn("updated_at", F.expr(M.moment(marker.as_of)))
+
+    def row_counts(self) -> dict[str, int]:
+        """Rows of the marts that are stored by station or date, from the list of folders: no data is read."""
+        version = self.refreshed.newest()
+        folders = self.refreshed.folders(version)
+        counts = {name: Parts.rows(folders, name) for name in STORED_MARTS}
+        counts["mart_governorate_daily_summary"] = Parts.rows(folders, "governorate_daily")
+        counts["mart_system_readiness_summary"] = Parts.rows(folders, "readiness_daily")
+        return counts
 
+    def _versions(self, name: str) -> list[int]:
+        return {"marts": self.refreshed, "sealed": self.sealed}[name].versions()
 
-class StoredMartSet(MartSet):
-    """Marts over the stored rollups. Only the recent hours are read from the facts."""
-
-    def __init__(self, warehouse: Warehouse, *args):
-        super().__init__(*args)
-        self.warehouse = warehouse
 
-    def _rollup(self, name: str) -> DataFrame:
-        return self.warehouse.table(f"rollup_{name}")
+class StoredMartSet(MartSet):
+    """Marts of some dates over the sealed state and the batches after it. Of the facts only the hour that
+    the look-back cuts is read.
+
+    touched: dates whose marts are made. changed: these and dates of alerts with another status than before.
+    """
+
+    def __init__(
+        self, warehouse: Warehouse, run: RunFolder, clock: M.Clock, touched: set, changed: set, alerts: DataFrame, now: DataFrame
+    ):
+        super().__init__(facts_plan.Facts(warehouse.stations, None, None, None, alerts), clock)
+        self.warehouse, self.run, self.touched, self.changed, self.alerts_now = warehouse, run, touched, changed, now
+        self.version = warehouse.sealed.newest()
+        self.through = warehouse._sealed_through()
+
+    def _merged(self, name: str, kind: records.Record, dates: set) -> DataFrame:
+        schema = self.warehouse._schema(name, "batch")
+        sealed = self.warehouse.sealed
+        old = sealed.read(name, schema, sealed.folders(self.version), dates)
+        new = self.warehouse._rows(name, self.through).drop("batch")
+        new = new.where(F.col(kind.date).isin(*dates)) if dates else new.limit(0)
+        return kind.merged(old, new)
 
     @cached_property
-    def quality_daily(self) -> DataFrame:
-        return self._rollup("quality_daily")
+    def sensor_days(self) -> DataFrame:
+        return self.run.keep(self._merged("sensor_day", SENSOR_DAY, self.changed), "sensor_days")
 
     @cached_property
-    def health_daily(self) -> DataFrame:
-        return self._rollup("health_daily")
+    def station_hours(self) -> DataFrame:
+        return self._merged("station_hour", STATION_HOUR, self.touched)
 
     @cached_property
-    def wqi_totals(self) -> DataFrame:
-        return self._rollup("wqi_totals")
+    def station_readings(self) -> DataFrame:
+        sealed = self.warehouse.sealed
+        old = sealed.read("newest_reading", self.warehouse.schemas["newest_reading"], sealed.folders(self.version))
+        return records.newest_reading(old.unionByName(records.newest_reading(self.warehouse._rows("sensor_day", self.through))))
 
     @cached_property
     def newest_wqi(self) -> DataFrame:
-        return R.latest_wqi(self._rollup("newest_wqi"))
-
-    @cached_property
-    def newest_reading(self) -> DataFrame:
-        return R.combined_latest_reading(self._rollup("newest_reading"))
+        sealed = self.warehouse.sealed
+        old = sealed.read("newest_wqi", self.warehouse._schema("newest_wqi", "batch"), sealed.folders(self.version))
+        return _newest_wqi(old.unionByName(self.warehouse._rows("newest_wqi", self.through).drop("batch")))
 
     @cached_property
-    def parameter_hourly(self) -> DataFrame:
-        return self._rollup("parameter_hourly")
+    def recent(self) -> DataFrame:
+        clock = self.clock
+        start = (dt.datetime.fromisoformat(str(clock.as_of)) - dt.timedelta(hours=clock.lookback_hours)).date()
+        sealed = self.warehouse.sealed
+        days = {f.part for f in sealed.folders(self.version) if f.item == "station_hour" and f.part >= start}
+        days |= {d for d in _dates(self.warehouse._rows("station_hour", self.through), "trend_date") if d >= start}
+        hours = self._merged("station_hour", STATION_HOUR, days)
+        readings = self.warehouse.readings_of(start)
+        return records.recent(hours, readings, clock.as_of, clock.lookback_hours)

@@ -186,15 +186,16 @@ def test_old_versions_go_and_snapshots_are_made_once(telemetry, warehouse):
     warehouse.compact_alerts(through)
     warehouse.compact_alerts(through - 1)
     assert comparable(warehouse.alerts()) == alerts
-    with pytest.raises(ValueError, match="snapshot"):
-        warehouse.append_batch(telemetry.scored, 2)
+    # A replay of a sealed batch is skipped, whatever it brings.
+    assert not warehouse.append_batch(telemetry.scored, 2)
+    assert comparable(warehouse.alerts()) == alerts
 
 
 def test_an_empty_batch_is_skipped(telemetry, warehouse):
     write = stream.batch_writer(warehouse, clock=lambda: CLOCK)
     write(telemetry.scored.filter("false"), 0)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        warehouse.table("rollup_quality_daily")
+    with pytest.raises(ValueError, match="not been refreshed"):
+        warehouse.mart("mart_data_quality_monitor")
     write(telemetry.scored, 1)
     assert warehouse.table("fact_sensor_reading").count() == 1000
 
