@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,6 +46,16 @@ def clamp(value: str, low: float = 0.0, high: float = 100.0) -> str:
     return f"least({num(high)}, greatest({num(low)}, {value}))"
 
 
+def added(*names: str) -> list[Column]:
+    """Sums under the names of their columns."""
+    return [F.expr(f"sum({name}) as {name}") for name in names]
+
+
+def counted(conditions: Mapping[str, str]) -> list[Column]:
+    """How many rows meet each named condition."""
+    return [F.expr(f"count_if({condition}) as {name}") for name, condition in conditions.items()]
+
+
 # --- averages ---------------------------------------------------------------
 # A sum of doubles depends on the order in which partitions arrive, so it can change when a
 # lost task is run again. Here values are summed as whole units and billionths, both as
@@ -56,9 +66,9 @@ def exact_totals(column: str) -> list[Column]:
     rest = f"sum(floor(({column} - floor({column})) * 1e9D + 0.5D))"
     return [
         # Full units among the billionths are carried, so totals of totals stay far from the limit.
-        F.expr(f"sum(floor({column})) + {rest} div 1000000000").alias(f"{column}_whole"),
-        F.expr(f"{rest} % 1000000000").alias(f"{column}_billionths"),
-        F.count(column).alias(f"{column}_n"),
+        F.expr(f"sum(floor({column})) + {rest} div 1000000000 as {column}_whole"),
+        F.expr(f"{rest} % 1000000000 as {column}_billionths"),
+        F.expr(f"count({column}) as {column}_n"),
     ]
 
 

@@ -16,11 +16,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hydrolens import schema as S
-from hydrolens.functions.common import average_of_totals, combined_average, exact_totals
+from hydrolens.functions.common import added, average_of_totals, combined_average, counted, exact_totals
 from hydrolens.functions.quality import is_business_row
 from hydrolens.functions.scoring import data_quality_points
 from hydrolens.operators import ingest
@@ -49,9 +49,9 @@ class Record:
         """Records of several frames as one, per key or per some of the keys."""
         keys = list(keys or self.keys)
         return reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(
-            *[F.sum(c).alias(c) for c in self.added],
-            *[F.min(c).alias(c) for c in self.least],
-            *[F.max(c).alias(c) for c in self.most],
+            *added(*self.added),
+            *[F.expr(f"min({c}) as {c}") for c in self.least],
+            *[F.expr(f"max({c}) as {c}") for c in self.most],
         )
 
 
@@ -96,10 +96,6 @@ STATION_HOUR = Record(
 )
 
 
-def _is(column: str, value: str) -> Column:
-    return F.col(column) == value
-
-
 # --- from readings ------------------------------------------------------------------------
 def sensor_day(readings: DataFrame) -> DataFrame:
     """The record of each sensor and day. Index columns count business rows only."""
@@ -117,25 +113,26 @@ def sensor_day(readings: DataFrame) -> DataFrame:
         )
         .selectExpr("*", f"{data_quality_points()} as points")
     )
-    stamp = F.col("event_timestamp")
     totals = [total for column in R.WQI_AVERAGES for total in exact_totals(column)]
-    return rows.groupBy(*SENSOR_DAY.keys).agg(
-        F.count("*").alias("total_readings_count"),
-        *[F.count_if(_is("quality_flag", name)).alias(f"{name}_readings_count") for name in S.QUALITY_FLAGS],
-        F.sum("duplicate_readings_count").alias("duplicate_readings_count"),
-        F.sum("anomaly_count").alias("anomaly_count"),
-        F.count_if(F.col("stale_signal_flag") == 1).alias("stale_signal_flag_count"),
-        F.count_if(F.col("drift_risk_flag") == 1).alias("drift_risk_flag_count"),
-        F.sum("points").alias("quality_points"),
-        F.count_if("is_business").alias("index_rows"),
-        F.count_if(_is("wqi_class", "Unsafe")).alias("unsafe_events"),
-        F.count_if(_is("wqi_class", "Watch")).alias("watch_events"),
+    counts = {f"{name}_readings_count": f"quality_flag = '{name}'" for name in S.QUALITY_FLAGS} | {
+        "stale_signal_flag_count": "stale_signal_flag = 1",
+        "drift_risk_flag_count": "drift_risk_flag = 1",
+        "index_rows": "is_business",
+        "unsafe_events": "wqi_class = 'Unsafe'",
+        "watch_events": "wqi_class = 'Watch'",
+    }
+    found = rows.groupBy(*SENSOR_DAY.keys).agg(
+        F.expr("count(*) as total_readings_count"),
+        *counted(counts),
+        *added("duplicate_readings_count", "anomaly_count"),
+        F.expr("sum(points) as quality_points"),
         *totals,
-        F.min("wqi_score").alias("min_wqi"),
-        F.max("wqi_score").alias("max_wqi"),
-        F.max(stamp).alias("latest_reading_timestamp"),
-        F.max(F.when(_is("quality_flag", "valid"), stamp)).alias("latest_valid_reading_timestamp"),
+        F.expr("min(wqi_score) as min_wqi"),
+        F.expr("max(wqi_score) as max_wqi"),
+        F.expr("max(event_timestamp) as latest_reading_timestamp"),
+        F.expr("max(case when quality_flag = 'valid' then event_timestamp end) as latest_valid_reading_timestamp"),
     )
+    return found.select(SENSOR_DAY.columns)
 
 
 def station_hour(readings: DataFrame) -> DataFrame:
@@ -158,30 +155,30 @@ def station_hour(readings: DataFrame) -> DataFrame:
     for measure, breach in R.TREND_PARAMETERS.values():
         parameters += [
             *exact_totals(measure),
-            F.count_if(F.expr(breach)).alias(f"breach_{measure}"),
-            F.min(measure).alias(f"min_{measure}"),
-            F.max(measure).alias(f"max_{measure}"),
+            *counted({f"breach_{measure}": breach}),
+            F.expr(f"min({measure}) as min_{measure}"),
+            F.expr(f"max({measure}) as max_{measure}"),
         ]
-    return rows.groupBy(*STATION_HOUR.keys).agg(
-        *parameters,
-        *[F.count_if(_is("quality_flag", name)).alias(f"{name}_count") for name in S.QUALITY_FLAGS],
-        F.count_if(F.col("anomaly_flag") == 1).alias("anomaly_count"),
-        F.count_if(_is("health_status", "critical")).alias("critical_health_samples"),
-        F.count_if(_is("health_status", "degraded")).alias("degraded_health_samples"),
-        F.count_if(F.col("drift_risk_flag") == 1).alias("drift_risk_count"),
-        F.count_if(F.col("stale_signal_flag") == 1).alias("stale_signal_count"),
-        F.sum("anomaly_count").alias("anomaly_events"),
-        *exact_totals("uptime_percentage"),
+    counts = {f"{name}_count": f"quality_flag = '{name}'" for name in S.QUALITY_FLAGS} | {
+        "anomaly_count": "anomaly_flag = 1",
+        "critical_health_samples": "health_status = 'critical'",
+        "degraded_health_samples": "health_status = 'degraded'",
+        "drift_risk_count": "drift_risk_flag = 1",
+        "stale_signal_count": "stale_signal_flag = 1",
+    }
+    found = rows.groupBy(*STATION_HOUR.keys).agg(
+        *parameters, *counted(counts), F.expr("sum(anomaly_count) as anomaly_events"), *exact_totals("uptime_percentage")
     )
+    return found.select(STATION_HOUR.columns)
 
 
 # --- from records ---------------------------------------------------------------------------
+_SCORE = "cast(quality_points as double) / total_readings_count as data_quality_score"
+
+
 def quality_of(days: DataFrame) -> DataFrame:
     """Sensor-days with the columns of the data-quality monitor."""
-    score = F.col("quality_points").cast("double") / F.col("total_readings_count")
-    return days.select(
-        *SENSOR_DAY.keys, "total_readings_count", *_FLAGS, *_HEALTH, score.alias("data_quality_score")
-    )
+    return days.selectExpr(*SENSOR_DAY.keys, "total_readings_count", *_FLAGS, *_HEALTH, _SCORE)
 
 
 STATION_DAY_TOTALS = ("total_readings_count", *_FLAGS, "duplicate_readings_count", *_INDEX)
@@ -189,17 +186,16 @@ STATION_DAY_TOTALS = ("total_readings_count", *_FLAGS, "duplicate_readings_count
 
 def station_day(days: DataFrame) -> DataFrame:
     """Sensor-days added up per station, with the totals of the sensors' data-quality scores."""
-    score = (F.col("quality_points").cast("double") / F.col("total_readings_count")).alias("data_quality_score")
-    return days.select("*", score).groupBy(*R.STATION_DAY).agg(
-        *[F.sum(c).alias(c) for c in STATION_DAY_TOTALS],
+    return days.selectExpr("*", _SCORE).groupBy(*R.STATION_DAY).agg(
+        *added(*STATION_DAY_TOTALS),
         *exact_totals("data_quality_score"),
-        F.min("min_wqi").alias("min_wqi"),
-        F.max("max_wqi").alias("max_wqi"),
+        F.expr("min(min_wqi) as min_wqi"),
+        F.expr("max(max_wqi) as max_wqi"),
     )
 
 
 def newest_reading(days: DataFrame) -> DataFrame:
-    return days.groupBy("station_id").agg(*[F.max(c).alias(c) for c in _LATEST])
+    return days.groupBy("station_id").agg(*[F.expr(f"max({c}) as {c}") for c in _LATEST])
 
 
 def station_wqi(stations_days: DataFrame) -> DataFrame:
@@ -215,10 +211,10 @@ def governorate_day(stations_days: DataFrame, stations: DataFrame) -> DataFrame:
         stations_days.join(R.governorates(stations), "station_id")
         .groupBy("summary_date", "governorate")
         .agg(
-            F.count_if(F.col("index_rows") > 0).alias("stations_count"),
+            F.expr("count_if(index_rows > 0) as stations_count"),
             avg_wqi,
-            F.min("min_wqi").alias("min_wqi"),
-            F.max("max_wqi").alias("max_wqi"),
+            F.expr("min(min_wqi) as min_wqi"),
+            F.expr("max(max_wqi) as max_wqi"),
             *risks,
             combined_average("data_quality_score").alias("avg_data_quality_score"),
         )
@@ -230,18 +226,19 @@ def national_day(stations_days: DataFrame, stations: DataFrame) -> DataFrame:
     """Per day. Data quality covers known stations, as the data-quality monitor does."""
     known = stations.select("station_id", F.lit(True).alias("is_known"))
     scores = _totals_of("data_quality_score") + ["duplicate_readings_count"]
-    rows = stations_days.join(known, "station_id", "left").withColumns(
-        {name: F.when(F.col("is_known"), F.col(name)) for name in scores}
+    others = [name for name in stations_days.columns if name not in scores]
+    rows = stations_days.join(known, "station_id", "left").selectExpr(
+        *others, *[f"case when is_known then {name} end as {name}" for name in scores]
     )
     return rows.groupBy("summary_date").agg(
-        F.count("*").alias("stations_reporting_count"),
-        F.sum("total_readings_count").alias("total_readings"),
-        *[F.sum(f"{name}_readings_count").alias(f"{name}_readings") for name in S.QUALITY_FLAGS],
-        F.sum("duplicate_readings_count").alias("duplicate_readings_count"),
+        F.expr("count(*) as stations_reporting_count"),
+        F.expr("sum(total_readings_count) as total_readings"),
+        *[F.expr(f"sum({name}_readings_count) as {name}_readings") for name in S.QUALITY_FLAGS],
+        *added("duplicate_readings_count"),
         combined_average("data_quality_score").alias("avg_data_quality_score"),
         combined_average("wqi_score").alias("avg_wqi"),
-        F.sum("unsafe_events").alias("unsafe_station_events"),
-        F.sum("watch_events").alias("watch_station_events"),
+        F.expr("sum(unsafe_events) as unsafe_station_events"),
+        F.expr("sum(watch_events) as watch_station_events"),
     )
 
 
@@ -266,8 +263,8 @@ def recent(hours: DataFrame, readings: DataFrame, as_of: dt.datetime | str, look
             f"and event_timestamp < timestamp '{whole}'"
         )
         found = found.unionByName(station_hour(cut))
-    sums = [F.sum(c).alias(c) for c in _RECENT_COUNTS if not c.startswith("uptime_percentage_")]
-    return found.groupBy("station_id").agg(*sums, combined_average("uptime_percentage").alias("avg_uptime"))
+    sums = [c for c in _RECENT_COUNTS if not c.startswith("uptime_percentage_")]
+    return found.groupBy("station_id").agg(*added(*sums), combined_average("uptime_percentage").alias("avg_uptime"))
 
 
 def all_alerts(closed: DataFrame, now: DataFrame) -> DataFrame:

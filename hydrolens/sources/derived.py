@@ -101,6 +101,32 @@ def readings_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.withColumn("reading_id", F.explode(ids))
 
 
+# The event log of the streamed queries: deliveries of five days each.
+FIRST_DAY, DAYS_PER_DELIVERY, DELIVERIES = "2024-01-01", 5, 6
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with the number of the delivery they come in, in the order of their days.
+
+    Some come late: of every 97 events one is delivered with the next five days. Some come twice: every 250th
+    in the same delivery under another reading_id, every 400th once more with the next one.
+    """
+    cut = f"least(datediff(event_timestamp, date '{FIRST_DAY}') div {DAYS_PER_DELIVERY}, {DELIVERIES - 1})"
+    last = DELIVERIES - 1
+    numbered = readings(spark, sf_dir).selectExpr(
+        "*", "cast(substring(reading_id, 2) as bigint) as event_number", f"cast({cut} as int) as cut"
+    )
+    own = f"if(event_number % 97 = 5 and cut < {last}, cut + 1, cut)"
+    sent = (
+        f"filter(array(named_struct('id', reading_id, 'delivery', {own}), "
+        f"if(event_number % 250 = 0, named_struct('id', concat(reading_id, '-D'), 'delivery', {own}), null), "
+        f"if(event_number % 400 = 7 and event_number % 97 <> 5 and cut < {last}, "
+        "named_struct('id', concat(reading_id, '-L'), 'delivery', cut + 1), null)), x -> x is not null)"
+    )
+    columns = [f"sent.id as {c}" if c == "reading_id" else c for c in numbered.columns if c not in ("event_number", "cut")]
+    return numbered.withColumn("sent", F.explode(F.expr(sent))).selectExpr(*columns, "sent.delivery as delivery")
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One station per nation and one that never reports."""
     nations = table(spark, sf_dir, "nation").join(

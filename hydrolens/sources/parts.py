@@ -3,10 +3,10 @@
 A set of tables has versions. A version is a list of folders: for each table and date the folders that
 hold its rows, written by this version or carried over from an earlier one. So a date that nothing has
 touched is neither read nor written again, and a reader sees all tables of a version or none: the
-list is stored when every folder is complete, and its marker after the list.
+list is one file, which appears by a rename when every folder is complete.
 
-The list has a row per table, date and folder. It is read into the driver; its size follows the number of
-dates, not of rows. Row counts are kept in it, so counting a table reads no data.
+The list names a table, date and version per folder, with the number of rows. Its size follows the number of
+dates, not of rows. Counting a table reads no data.
 """
 
 from __future__ import annotations
@@ -19,18 +19,17 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LISTED = "item string, part date, written bigint, n bigint"
-MARKER = "through bigint, as_of string, base bigint"
+from hydrolens.sources.files import names_in, numbered, read_folders, read_json, remove, write_json
+
 KEPT_VERSIONS = 2
 # So many folders of one date and about one size are merged into one.
 MERGED = 16
 # Small jobs that run side by side.
-JOBS = 4
+JOBS = 8
 
 
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
@@ -39,30 +38,9 @@ def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
-def stored_or_none(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def names_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files and folders in a folder; none if it is not there."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
-
-
-@dataclass(frozen=True, order=True)
+@dataclass(frozen=True)
 class Folder:
-    """A folder of one table: the version that wrote it, its date (None if undated), its rows."""
+    """A folder of one table: its date (None if undated), the version that wrote it, its rows."""
 
     item: str
     part: dt.date | None
@@ -79,59 +57,51 @@ class Staged:
     replaced: set[Folder] = field(default_factory=set)
 
 
+@dataclass
+class Version:
+    """A complete version: its folders and what was noted when it was completed."""
+
+    number: int
+    folders: list[Folder]
+    notes: dict
+
+    def of(self, item: str, dates: set | None = None) -> list[Folder]:
+        """The folders of a table, of all dates or of some."""
+        return [f for f in self.folders if f.item == item and (dates is None or f.part in dates)]
+
+    def rows(self, item: str) -> int:
+        return sum(f.n for f in self.of(item))
+
+
 class Parts:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._markers: dict[int, T.Row] = {}
-        self._folders: dict[int, list[Folder]] = {}
-
-    # --- versions -------------------------------------------------------------------
-    def marker(self, version: int) -> T.Row | None:
-        """What was said when the version was completed; None if it is not complete. It never changes."""
-        if version not in self._markers:
-            found = self.spark.read.schema(MARKER).parquet(f"{self.root}/complete/version={version}").collect()
-            if not found:
-                return None
-            self._markers[version] = found[0]
-        return self._markers[version]
+        self._known: dict[int, Version] = {}
 
     def versions(self) -> list[int]:
         """The complete versions that are still there, oldest first."""
-        named = [int(name.partition("=")[2]) for name in names_in(self.spark, f"{self.root}/complete") if "=" in name]
-        return [v for v in sorted(named) if self.marker(v)]
+        return numbered(self.spark, f"{self.root}/complete")
 
-    def newest(self) -> int | None:
-        return max(self.versions(), default=None)
+    def version(self, number: int) -> Version:
+        """A complete version. It never changes."""
+        if number not in self._known:
+            stored = read_json(self.spark, f"{self.root}/complete/{number}.json")
+            folders = [Folder(i, p and dt.date.fromisoformat(p), v, n) for i, p, v, n in stored["folders"]]
+            self._known[number] = Version(number, folders, stored["notes"])
+        return self._known[number]
 
-    def folders(self, version: int | None) -> list[Folder]:
-        if version is None:
-            return []
-        if version not in self._folders:
-            rows = self.spark.read.schema(LISTED).parquet(f"{self.root}/list/version={version}").collect()
-            self._folders[version] = sorted((Folder(*r) for r in rows), key=lambda f: (f.item, f.part or dt.date.min, f.version))
-        return self._folders[version]
+    def newest(self) -> Version:
+        """The newest complete version; number 0, without folders, before the first."""
+        numbers = self.versions()
+        return self.version(numbers[-1]) if numbers else Version(0, [], {})
 
-    # --- reading ----------------------------------------------------------------------
     def path(self, folder: Folder) -> str:
         path = f"{self.root}/{folder.item}/version={folder.version}"
         return path if folder.part is None else f"{path}/part={folder.part}"
 
-    def read(
-        self, item: str, schema: T.StructType, folders: Iterable[Folder], dates: set | None = None
-    ) -> DataFrame:
-        """The rows of a table in a list of folders, of all dates or of some."""
-        paths = [
-            self.path(f) for f in folders if f.item == item and f.n and (dates is None or f.part in dates)
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    @staticmethod
-    def rows(folders: Iterable[Folder], item: str) -> int:
-        return sum(f.n for f in folders if f.item == item)
-
-    # --- writing ----------------------------------------------------------------------
+    def read(self, folders: Iterable[Folder], schema: T.StructType) -> DataFrame:
+        return read_folders(self.spark, [self.path(f) for f in folders if f.n], schema)
+
     def stage(self, staged: Staged, item: str, df: DataFrame, replaces: Iterable[Folder], date: str | None = None) -> None:
         """Writes rows for the version in the making, in place of some folders of the same table.
 
@@ -140,9 +110,8 @@ class Parts:
         """
         path = f"{self.root}/{item}/version={staged.version}"
         if date is None:
-            seen = Observation()
-            df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-            folders = [Folder(item, None, staged.version, seen.get["n"])]
+            df.write.mode("overwrite").parquet(path)
+            folders = [Folder(item, None, staged.version, self.spark.read.schema(df.schema).parquet(path).count())]
         else:
             dated = df.withColumn("part", F.col(date))
             writer = dated.hint("rebalance", "part").write.mode("overwrite")
@@ -152,34 +121,35 @@ class Parts:
         staged.folders += folders
         staged.replaced |= set(replaces)
 
-    def commit(self, staged: Staged, through: int | None = None, as_of: str | None = None, base: int | None = None) -> None:
+    def commit(self, staged: Staged, **notes: object) -> Version:
         """Makes the version the newest: what it has written, and all that it has not replaced."""
-        carried = [f for f in self.folders(self.newest()) if f not in staged.replaced]
-        rows = [(f.item, f.part, f.version, f.n) for f in [*carried, *staged.folders]]
-        listed = self.spark.createDataFrame(rows, LISTED).coalesce(1)
-        listed.write.mode("overwrite").parquet(f"{self.root}/list/version={staged.version}")
-        marker = self.spark.createDataFrame([(through, as_of, base)], MARKER).coalesce(1)
-        marker.write.mode("overwrite").parquet(f"{self.root}/complete/version={staged.version}")
-        self._folders.pop(staged.version, None)
+        carried = [f for f in self.newest().folders if f not in staged.replaced]
+        folders = sorted([*carried, *staged.folders], key=lambda f: (f.item, str(f.part), f.version))
+        listed = [(f.item, f.part and str(f.part), f.version, f.n) for f in folders]
+        write_json(self.spark, f"{self.root}/complete/{staged.version}.json", {"notes": notes, "folders": listed})
+        self._known[staged.version] = Version(staged.version, folders, notes)
+        return self._known[staged.version]
 
     def clean(self, oldest: int | None = None) -> None:
         """Removes versions before the last `KEPT_VERSIONS` and before `oldest`, and the folders that no version left
         names, those of a version that was never completed included."""
-        versions = self.versions()
-        if not versions:
+        numbers = self.versions()
+        if not numbers:
             return
-        first = min(versions[-KEPT_VERSIONS:][0], versions[-1] if oldest is None else oldest)
-        named = {(f.item, f.version, f.part) for v in versions if v >= first for f in self.folders(v)}
-        for old in [v for v in versions if v < first]:
-            remove(self.spark, f"{self.root}/complete/version={old}")
-            remove(self.spark, f"{self.root}/list/version={old}")
-            self._markers.pop(old, None)
-            self._folders.pop(old, None)
-        for item in set(names_in(self.spark, self.root)) - {"complete", "list"}:
+        first = min(numbers[-KEPT_VERSIONS:][0], numbers[-1] if oldest is None else oldest)
+        named = defaultdict(set)
+        for number in numbers:
+            if number >= first:
+                for f in self.version(number).folders:
+                    named[f.item, f.version].add(f.part)
+            else:
+                remove(self.spark, f"{self.root}/complete/{number}.json")
+                self._known.pop(number, None)
+        for item in set(names_in(self.spark, self.root)) - {"complete"}:
             for name in names_in(self.spark, f"{self.root}/{item}"):
                 version = int(name.partition("=")[2])
-                dates = {part for i, v, part in named if (i, v) == (item, version)}
-                if version > versions[-1] or None in dates:
+                dates = named.get((item, version), set())
+                if version > numbers[-1] or None in dates:
                     continue
                 if not dates:
                     remove(self.spark, f"{self.root}/{item}/{name}")
@@ -189,13 +159,12 @@ class Parts:
                         remove(self.spark, f"{self.root}/{item}/{name}/{part}")
 
 
-def crowded(folders: Iterable[Folder], dates: set) -> list[Folder]:
+def crowded(folders: Iterable[Folder]) -> list[Folder]:
     """Folders to be merged: of each date those of about the same size (a power of `MERGED`), if there are
     `MERGED` of them. So a row is written again as often as its date has such powers."""
     alike = defaultdict(list)
     for f in folders:
-        if f.part in dates:
-            alike[f.part, int(math.log(max(f.n, 1), MERGED))].append(f)
+        alike[f.part, int(math.log(max(f.n, 1), MERGED))].append(f)
     return [f for same in alike.values() if len(same) >= MERGED for f in same]
 
 
@@ -206,14 +175,15 @@ class Dimension:
         self.parts, self.schema = Parts(spark, root), schema
 
     def reload(self, df: DataFrame) -> DataFrame:
-        staged = Staged((self.parts.newest() or 0) + 1)
-        self.parts.stage(staged, "rows", df.select(self.schema.names), self.parts.folders(self.parts.newest()))
+        before = self.parts.newest()
+        staged = Staged(before.number + 1)
+        self.parts.stage(staged, "rows", df.select(self.schema.names), before.folders)
         self.parts.commit(staged)
         self.parts.clean()
         return self.read()
 
     def read(self) -> DataFrame:
-        return self.parts.read("rows", self.schema, self.parts.folders(self.parts.newest()))
+        return self.parts.read(self.parts.newest().folders, self.schema)
 
     def count(self) -> int:
-        return Parts.rows(self.parts.folders(self.parts.newest()), "rows")
+        return self.parts.newest().rows("rows")

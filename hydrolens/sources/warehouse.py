@@ -25,6 +25,7 @@ they were gathered, for readers that are still at them.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -41,8 +42,9 @@ from hydrolens.plans import records
 from hydrolens.plans import rollups as R
 from hydrolens.plans.martset import MartSet
 from hydrolens.plans.records import SENSOR_DAY, STATION_HOUR
+from hydrolens.sources.files import names_in, numbered, read_folders, read_json, remove, write_json
 from hydrolens.sources.folders import RunFolder
-from hydrolens.sources.parts import MERGED, Folder, Parts, Staged, crowded, names_in, remove, stored_or_none, together
+from hydrolens.sources.parts import MERGED, Parts, Staged, Version, crowded, together
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
 LOGS = ("alert_log", "heartbeat_log", "sensor_day", "station_hour", "newest_wqi")
@@ -50,16 +52,31 @@ LOGS = ("alert_log", "heartbeat_log", "sensor_day", "station_hour", "newest_wqi"
 DATE_COLUMNS = ("event_date", "summary_date", "trend_date")
 # Batches that one run can have before its keys reach the next run's.
 RUN_BATCHES = 1 << 40
-RUNS = "run string, first bigint, number bigint"
-MARKS = "stamp bigint, event_date date, batch bigint"
-# Marts stored as they are read, with their date column.
-STORED_MARTS = {
+# What a refresh stores of the marts, with the date column.
+STORED = {
     "mart_station_latest_status": None,
     "mart_data_quality_monitor": "summary_date",
     "mart_parameter_trend": "trend_date",
     "mart_station_daily_snapshot": "summary_date",
+    "governorate_daily": "summary_date",
+    "readiness_daily": "summary_date",
 }
-MARTS = (*STORED_MARTS, "mart_governorate_daily_summary", "mart_alert_monitor", "mart_system_readiness_summary")
+_MART_OF = {"governorate_daily": "mart_governorate_daily_summary", "readiness_daily": "mart_system_readiness_summary"}
+MARTS = (*(_MART_OF.get(item, item) for item in STORED), "mart_alert_monitor")
+
+
+def stored_mart(marts: MartSet, item: str) -> DataFrame:
+    return getattr(marts, item.removeprefix("mart_"))
+
+
+def through(sealed: Version) -> int:
+    """The key of the last sealed batch."""
+    return sealed.notes.get("through", -1)
+
+
+def gathered_through(sealed: Version) -> int:
+    """The key of the last batch whose facts lie in date folders."""
+    return sealed.notes.get("gathered", -1)
 
 
 def _reading_frame(scored: DataFrame, key: int) -> DataFrame:
@@ -96,6 +113,15 @@ def _dates(frame: DataFrame, column: str) -> set[dt.date]:
     return {r[0] for r in frame.select(column).where(F.col(column).isNotNull()).distinct().collect()}
 
 
+@dataclass(frozen=True)
+class Marker:
+    """A stored batch: its number in the order of storing (None while it is run again) and its dates, those
+    before it was run again included."""
+
+    stamp: int | None
+    dates: frozenset[dt.date]
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, stations: DataFrame):
         self.spark, self.root, self.stations = spark, root.rstrip("/"), stations
@@ -126,24 +152,18 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A fact, or the rows of a log that are not sealed yet. Only complete batches are seen."""
+        sealed = self.sealed.newest()
         if name not in FACTS:
-            return self._rows(name, self._sealed_through())
-        version = self.sealed.newest()
-        marker = self.sealed.marker(version) if version else None
-        gathered = self.sealed.read(name, self.schemas[name], self.sealed.folders(version))
-        return gathered.unionByName(self._rows(name, marker.base if marker else -1))
+            return self._rows(name, through(sealed))
+        gathered = self.sealed.read(sealed.of(name), self.schemas[name])
+        return gathered.unionByName(self._rows(name, gathered_through(sealed)))
 
-    def _rows(self, name: str, after: int, through: int | None = None) -> DataFrame:
+    def _rows(self, name: str, after: int, last: int | None = None) -> DataFrame:
         """Rows of complete batches after a key, read from the batches' folders."""
-        schema = self.schemas[name]
-        stored = stored_or_none(self.spark, f"{self.root}/{name}", schema)
-        if stored is None:
-            return self.spark.createDataFrame([], schema)
-        wanted = F.col("batch") > after
-        if through is not None:
-            wanted = wanted & (F.col("batch") <= through)
-        marked = self._markers().select("batch").distinct()
-        return stored.where(wanted).join(marked, "batch", "left_semi").select(schema.names)
+        keys = [k for k, m in self._markers().items() if m.stamp and k > after and (last is None or k <= last)]
+        base = f"{self.root}/{name}"
+        rows = read_folders(self.spark, [f"{base}/batch={k}" for k in keys], self.schemas[name], base)
+        return rows.select(self.schemas[name].names)
 
     def _batch(self, name: str, key: int) -> DataFrame:
         """One batch of a table, read from its own folder."""
@@ -162,54 +182,44 @@ class Warehouse:
         writer = self._partitioned(df.drop("batch")).option("partitionOverwriteMode", "static")
         writer.parquet(f"{self.root}/{name}/batch={key}")
 
-    def _runs(self) -> list[tuple[int, str, int]]:
-        """number, run and first batch id of it, in the order in which they began."""
-        known = stored_or_none(self.spark, f"{self.root}/runs", RUNS)
-        return sorted((r.number, r.run, r.first) for r in known.collect()) if known else []
-
-    def _applied(self) -> dict[int, int]:
-        """Per run number the last batch that is sealed."""
-        folders = self.sealed.folders(self.sealed.newest())
-        rows = self.sealed.read("applied", T.StructType.fromDDL("number bigint, last bigint"), folders).collect()
-        return {r.number: r.last for r in rows}
+    def _runs(self) -> list[dict]:
+        """run and first batch id of each run number, in the order in which they began."""
+        return [read_json(self.spark, f"{self.root}/runs/{n}.json") for n in numbered(self.spark, f"{self.root}/runs")]
 
     def batch_key(self, run: str, batch_id: int) -> int:
         """The key of a batch. It grows from batch to batch: a run that goes on after a later one has begun
         gets a new number for what it has not stored yet."""
         runs = self._runs()
-        own = [number for number, name, first in runs if name == run and first <= batch_id]
+        own = [number for number, r in enumerate(runs) if r["run"] == run and r["first"] <= batch_id]
         if own:
             key = own[-1] * RUN_BATCHES + batch_id
-            if own[-1] == runs[-1][0] or self._applied().get(own[-1], -1) >= batch_id or key in self._complete():
+            sealed = self.sealed.newest().notes.get("applied", {}).get(str(own[-1]), -1)
+            marker = self._markers().get(key)
+            if own[-1] == len(runs) - 1 or sealed >= batch_id or (marker and marker.stamp):
                 return key
-        number = len(runs)
-        row = self.spark.createDataFrame([(run, batch_id)], "run string, first bigint")
-        row.coalesce(1).write.parquet(f"{self.root}/runs/number={number}")
-        return number * RUN_BATCHES + batch_id
-
-    def _markers(self) -> DataFrame:
-        """stamp, event_date, batch: the dates of complete batches, and a row without date for each."""
-        markers = stored_or_none(self.spark, f"{self.root}/batches", MARKS)
-        if markers is None:
-            return self.spark.createDataFrame([], MARKS)
-        return markers.filter("stamp is not null")
+        write_json(self.spark, f"{self.root}/runs/{len(runs)}.json", {"run": run, "first": batch_id})
+        return len(runs) * RUN_BATCHES + batch_id
+
+    def _markers(self) -> dict[int, Marker]:
+        """Batches with their own folders, by key."""
+        folder = f"{self.root}/batches"
+        found = {}
+        for key in numbered(self.spark, folder):
+            if (stored := read_json(self.spark, f"{folder}/{key}.json")) is not None:
+                found[key] = Marker(stored["stamp"], frozenset(map(dt.date.fromisoformat, stored["dates"])))
+        return found
 
     def _complete(self) -> list[int]:
-        return sorted(r[0] for r in self._markers().select("batch").distinct().collect())
+        return [key for key, marker in self._markers().items() if marker.stamp]
 
-    def _mark(self, dates: DataFrame, key: int, stamp: int | None) -> None:
-        rows = dates.select(F.lit(stamp).cast("bigint").alias("stamp"), "event_date")
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batches/batch={key}")
+    def _mark(self, key: int, stamp: int | None, dates: set[dt.date]) -> None:
+        marker = {"stamp": stamp, "dates": sorted(map(str, dates))}
+        write_json(self.spark, f"{self.root}/batches/{key}.json", marker)
 
     def stamp(self) -> int:
         """The number of the batch stored last, 0 before the first. Not less than the newest marts': the
         batch they were built from may be open again."""
-        stored = self._markers().agg(F.max("stamp")).first()[0] or 0
-        return max(stored, self.refreshed.newest() or 0)
-
-    def _sealed_through(self) -> int:
-        version = self.sealed.newest()
-        return self.sealed.marker(version).through if version else -1
+        return max([self.refreshed.newest().number, *(m.stamp for m in self._markers().values() if m.stamp)])
 
     def append_batch(self, scored: DataFrame, batch_id: int, run: str = "manual") -> bool:
         """Stores the facts, alert logs and records of one batch; false if it is empty or sealed already.
@@ -220,188 +230,157 @@ class Warehouse:
         not see it.
         """
         key = self.batch_key(run, batch_id)
-        if key <= self._sealed_through():
+        if key <= through(self.sealed.newest()):
             return False
-        before = stored_or_none(self.spark, f"{self.root}/batches/batch={key}", "stamp bigint, event_date date")
-        if before is not None:
-            dates = f"{self.root}/reopened/batch={key}"
-            before.select("event_date").write.mode("overwrite").parquet(dates)
-            before = self.spark.read.schema("event_date date").parquet(dates)
-            self._mark(before, key, None)
+        before = self._markers().get(key)
+        if before:
+            self._mark(key, None, before.dates)
         self._write_batch(_reading_frame(scored, key), "fact_sensor_reading", key)
         stored = self._batch("fact_sensor_reading", key)
         frames = _derived_frames(stored, key)
         together(self.spark, *[lambda n=n, f=f: self._write_batch(f, n, key) for n, f in frames.items()])
-        dates = stored.select("event_date").union(self.spark.range(1).selectExpr("cast(null as date)"))
-        if before is not None:
-            dates = dates.union(before)
-        self._mark(dates.distinct(), key, self.stamp() + 1)
-        return not stored.isEmpty()
+        days = names_in(self.spark, f"{self.root}/fact_sensor_reading/batch={key}")
+        dates = {dt.date.fromisoformat(day.partition("=")[2]) for day in days if day.startswith("event_date=")}
+        self._mark(key, self.stamp() + 1, dates | (before.dates if before else set()))
+        return bool(dates)
 
     # --- alerts ---------------------------------------------------------------------
-    def _alert_state(self, through: int | None = None) -> DataFrame:
+    def _alert_state(self, last: int | None = None) -> DataFrame:
         """Alerts that were open at the last seal and those of the batches since (up to a key), with status.
         What was cleared before the seal is closed already, so later batches' heartbeats are enough."""
-        after = self._sealed_through()
-        opened = self.sealed.read("open_alerts", self.schemas["open_alerts"], self.sealed.folders(self.sealed.newest()))
-        log = self._rows("alert_log", after, through).drop("event_date")
-        heartbeats = self._rows("heartbeat_log", after, through)
+        sealed = self.sealed.newest()
+        opened = self.sealed.read(sealed.of("open_alerts"), self.schemas["open_alerts"])
+        log = self._rows("alert_log", through(sealed), last).drop("event_date")
+        heartbeats = self._rows("heartbeat_log", through(sealed), last)
         state = A.alert_lifecycle(opened.unionByName(log), A.last_clears(heartbeats))
         return state.withColumn("event_date", F.to_date("event_timestamp")).select(self.schemas["alert_state"].names)
 
-    def _closed(self, version: int | None, dates: set | None = None) -> DataFrame:
-        return self.sealed.read("closed_alerts", self.schemas["alert_state"], self.sealed.folders(version), dates)
+    def _closed(self, sealed: Version, dates: set | None = None) -> DataFrame:
+        return self.sealed.read(sealed.of("closed_alerts", dates), self.schemas["alert_state"])
 
     def alerts(self) -> DataFrame:
         """The alert fact over all complete batches."""
-        state = records.all_alerts(self._closed(self.sealed.newest()), self._alert_state())
-        return facts_plan.alert_rows(state)
+        return facts_plan.alert_rows(records.all_alerts(self._closed(self.sealed.newest()), self._alert_state()))
 
     def readings_of(self, day: dt.date) -> DataFrame:
         """The reading fact of one date."""
-        name, version = "fact_sensor_reading", self.sealed.newest()
-        marker = self.sealed.marker(version) if version else None
-        gathered = self.sealed.read(name, self.schemas[name], self.sealed.folders(version), {day})
-        fresh = self._rows(name, marker.base if marker else -1).where(F.col("event_date") == F.lit(day))
-        return gathered.unionByName(fresh)
+        name, sealed = "fact_sensor_reading", self.sealed.newest()
+        gathered = self.sealed.read(sealed.of(name, {day}), self.schemas[name])
+        return gathered.unionByName(self._rows(name, gathered_through(sealed)).where(F.col("event_date") == F.lit(day)))
 
     def facts(self) -> facts_plan.Facts:
         reading, wqi, health = [self.table(name) for name in FACTS]
         return facts_plan.Facts(self.stations, reading, wqi, health, self.alerts())
 
     # --- seal -----------------------------------------------------------------------
-    def compact_alerts(self, through: int) -> None:
+    def compact_alerts(self, last: int) -> None:
         """Seals the batches up to a key by hand."""
-        self.seal(through)
+        self.seal(last)
 
-    def seal(self, through: int | None = None) -> None:
+    def seal(self, last: int | None = None) -> None:
         """Folds complete batches up to a key (default: all but the newest) into the sealed state. Sealed
         batches are left alone."""
-        version = self.sealed.newest()
-        marker = self.sealed.marker(version) if version else None
-        done, gathered = (marker.through, marker.base) if marker else (-1, -1)
+        old = self.sealed.newest()
         complete = self._complete()
-        keys = [k for k in complete if k > done]
-        keys = keys[:-1] if through is None else [k for k in keys if k <= through]
+        keys = [k for k in complete if k > through(old)]
+        keys = keys[:-1] if last is None else [k for k in keys if k <= last]
         if not keys:
             return
-        last, staged = keys[-1], Staged((version or 0) + 1)
-        folders = self.sealed.folders(version)
+        done, last, gathered = through(old), keys[-1], gathered_through(old)
+        staged = Staged(old.number + 1)
+        gather = sum(gathered < k <= last for k in complete) >= MERGED
         with RunFolder(self.spark) as run:
             state = run.keep(self._alert_state(last), "alert_state")
             jobs = [
-                *self._records_to_seal(staged, folders, done, last),
-                *self._alerts_to_seal(staged, folders, state),
-                lambda: self._write_applied(staged, folders, keys),
+                lambda: self._seal_record(staged, old, last, "sensor_day", SENSOR_DAY),
+                lambda: self._seal_record(staged, old, last, "station_hour", STATION_HOUR),
+                lambda: self._seal_newest(staged, old, last),
+                lambda: self._seal_open(staged, old, state),
+                lambda: self._seal_closed(staged, old, state),
             ]
-            if sum(gathered < k <= last for k in complete) >= MERGED:
-                jobs += self._facts_to_seal(staged, folders, gathered, last)
-                gathered, before = last, gathered
-            else:
-                before = gathered
+            if gather:
+                jobs += [lambda name=name: self._gather(staged, old, last, name) for name in FACTS]
             together(self.spark, *jobs)
-        self._commit_seal(staged, last, gathered)
-        self._clean(done, before)
-
-    def _commit_seal(self, staged: Staged, through: int, gathered: int) -> None:
-        self.sealed.commit(staged, through=through, base=gathered)
-
-    def _records_to_seal(self, staged: Staged, folders: list[Folder], done: int, last: int) -> list:
-        def record(name: str, kind: records.Record):
-            def job() -> None:
-                new = self._rows(name, done, last).drop("batch")
-                dates = _dates(new, kind.date)
-                old = [f for f in folders if f.item == name and f.part in dates]
-                schema = self._schema(name, "batch")
-                merged = kind.merged(self.sealed.read(name, schema, old), new)
-                self.sealed.stage(staged, name, merged.select(schema.names), old, kind.date)
-
-            return job
-
-        def newest_wqi() -> None:
-            schema = self._schema("newest_wqi", "batch")
-            old = [f for f in folders if f.item == "newest_wqi"]
-            both = self.sealed.read("newest_wqi", schema, old).unionByName(self._rows("newest_wqi", done, last).drop("batch"))
-            self.sealed.stage(staged, "newest_wqi", _newest_wqi(both), old)
-
-        def newest_reading() -> None:
-            old = [f for f in folders if f.item == "newest_reading"]
-            new = records.newest_reading(self._rows("sensor_day", done, last))
-            both = self.sealed.read("newest_reading", self.schemas["newest_reading"], old).unionByName(new)
-            self.sealed.stage(staged, "newest_reading", records.newest_reading(both), old)
-
-        return [record("sensor_day", SENSOR_DAY), record("station_hour", STATION_HOUR), newest_wqi, newest_reading]
-
-    def _alerts_to_seal(self, staged: Staged, folders: list[Folder], state: DataFrame) -> list:
-        def opened() -> None:
-            rows = state.where("status = 'open'").select(self.schemas["open_alerts"].names)
-            self.sealed.stage(staged, "open_alerts", rows, [f for f in folders if f.item == "open_alerts"])
-
-        def closed() -> None:
-            new = state.where("status = 'resolved'")
-            dates = _dates(new, "event_date")
-            old = [f for f in folders if f.item == "closed_alerts" and f.part in dates]
-            # An alert that was raised again after it was closed has an older row on its date.
-            raised = new.select(*A.ALERT_KEY, F.date_trunc("second", "event_timestamp").alias("second"))
-            there = self.sealed.read("closed_alerts", self.schemas["alert_state"], old)
-            again = there.withColumn("second", F.date_trunc("second", "event_timestamp")).join(raised, [*A.ALERT_KEY, "second"], "left_semi")
-            changed = _dates(again, "event_date")
-            merged = [f for f in old if f.part in changed]
-            merged += [f for f in crowded(old, dates) if f.part not in changed]
-            kept = self.sealed.read("closed_alerts", self.schemas["alert_state"], merged)
-            self.sealed.stage(staged, "closed_alerts", records.all_alerts(kept, new), merged, "event_date")
-
-        return [opened, closed]
-
-    def _write_applied(self, staged: Staged, folders: list[Folder], keys: list[int]) -> None:
-        applied = self._applied()
-        for key in keys:
-            number, batch_id = divmod(key, RUN_BATCHES)
-            applied[number] = max(batch_id, applied.get(number, -1))
-        rows = self.spark.createDataFrame(sorted(applied.items()), "number bigint, last bigint").coalesce(1)
-        self.sealed.stage(staged, "applied", rows, [f for f in folders if f.item == "applied"])
-
-    def _facts_to_seal(self, staged: Staged, folders: list[Folder], gathered: int, last: int) -> list:
-        def fact(name: str):
-            def job() -> None:
-                new = self._rows(name, gathered, last)
-                own = [f for f in folders if f.item == name]
-                merged = crowded(own, _dates(new, "event_date"))
-                rows = new.unionByName(self.sealed.read(name, self.schemas[name], merged))
-                self.sealed.stage(staged, name, rows, merged, "event_date")
-
-            return job
-
-        return [fact(name) for name in FACTS]
+        applied = dict(old.notes.get("applied", {}))
+        for number, batch_id in (divmod(key, RUN_BATCHES) for key in keys):
+            applied[str(number)] = max(batch_id, applied.get(str(number), -1))
+        self.sealed.commit(staged, through=last, gathered=last if gather else gathered, applied=applied)
+        self._clean(done, gathered)
+
+    def _seal_record(self, staged: Staged, old: Version, last: int, name: str, kind: records.Record) -> None:
+        new = self._rows(name, through(old), last).drop("batch")
+        folders = old.of(name, _dates(new, kind.date))
+        schema = self._schema(name, "batch")
+        merged = kind.merged(self.sealed.read(folders, schema), new)
+        self.sealed.stage(staged, name, merged.select(schema.names), folders, kind.date)
+
+    def _seal_newest(self, staged: Staged, old: Version, last: int) -> None:
+        """The newest index row and the latest times of each station."""
+        self.sealed.stage(staged, "newest_wqi", self._newest_wqi(old, last), old.of("newest_wqi"))
+        self.sealed.stage(staged, "newest_reading", self._newest_reading(old, last), old.of("newest_reading"))
+
+    def _newest_wqi(self, sealed: Version, last: int | None = None) -> DataFrame:
+        known = self.sealed.read(sealed.of("newest_wqi"), self._schema("newest_wqi", "batch"))
+        return _newest_wqi(known.unionByName(self._rows("newest_wqi", through(sealed), last).drop("batch")))
+
+    def _newest_reading(self, sealed: Version, last: int | None = None) -> DataFrame:
+        known = self.sealed.read(sealed.of("newest_reading"), self.schemas["newest_reading"])
+        new = records.newest_reading(self._rows("sensor_day", through(sealed), last))
+        return records.newest_reading(known.unionByName(new))
+
+    def _seal_open(self, staged: Staged, old: Version, state: DataFrame) -> None:
+        rows = state.where("status = 'open'").select(self.schemas["open_alerts"].names)
+        self.sealed.stage(staged, "open_alerts", rows, old.of("open_alerts"))
+
+    def _seal_closed(self, staged: Staged, old: Version, state: DataFrame) -> None:
+        """Closed alerts are added to their dates. A date is written again only if an alert of it was raised
+        again after it was closed, or if it has many small folders."""
+        new = state.where("status = 'resolved'")
+        there = old.of("closed_alerts", _dates(new, "event_date"))
+        second = F.date_trunc("second", "event_timestamp").alias("second")
+        known = self.sealed.read(there, self.schemas["alert_state"]).select(*A.ALERT_KEY, second, "event_date")
+        again = known.join(new.select(*A.ALERT_KEY, second), [*A.ALERT_KEY, "second"], "left_semi")
+        changed = _dates(again, "event_date")
+        merged = [f for f in there if f.part in changed]
+        merged += [f for f in crowded(there) if f.part not in changed]
+        kept = self.sealed.read(merged, self.schemas["alert_state"])
+        self.sealed.stage(staged, "closed_alerts", records.all_alerts(kept, new), merged, "event_date")
+
+    def _gather(self, staged: Staged, old: Version, last: int, name: str) -> None:
+        """Facts of sealed batches are added to their dates."""
+        new = self._rows(name, gathered_through(old), last)
+        merged = crowded(old.of(name, _dates(new, "event_date")))
+        rows = new.unionByName(self.sealed.read(merged, self.schemas[name]))
+        self.sealed.stage(staged, name, rows, merged, "event_date")
 
     def _clean(self, sealed: int, gathered: int) -> None:
-        """Removes what the version before the newest has in its own folders: logs of sealed batches, facts of
-        gathered ones, and markers that no refresh needs any more."""
+        """Removes what the sealed version before the newest has in its own folders: logs of batches up to the
+        key `sealed`, facts and markers of those up to `gathered` that the marts have seen."""
         marts = self.refreshed.versions()
-        bases = [self.refreshed.marker(v).base for v in marts]
-        self.sealed.clean(min([b for b in bases if b is not None], default=None))
-        stamps = dict(self._markers().groupBy("batch").agg(F.max("stamp")).collect())
-        for name in (*LOGS, *FACTS, "batches", "reopened"):
-            limit = sealed if name in LOGS else gathered
+        bases = [self.refreshed.version(v).notes["base"] for v in marts]
+        self.sealed.clean(min(bases, default=None))
+        for name in (*LOGS, *FACTS):
             for folder in names_in(self.spark, f"{self.root}/{name}"):
-                key = int(folder.partition("=")[2]) if folder.startswith("batch=") else None
-                if key is None or key > min(limit, sealed):
-                    continue
-                if name in ("batches", "reopened") and stamps.get(key, 0) > (marts[-1] if marts else -1):
-                    continue
-                remove(self.spark, f"{self.root}/{name}/{folder}")
+                if int(folder.partition("=")[2]) <= (sealed if name in LOGS else gathered):
+                    remove(self.spark, f"{self.root}/{name}/{folder}")
+        for key, marker in self._markers().items():
+            if key <= gathered and (marker.stamp or 0) <= (marts[-1] if marts else -1):
+                remove(self.spark, f"{self.root}/batches/{key}.json")
 
     # --- refresh --------------------------------------------------------------------
     def batches_waiting(self) -> int:
         """Complete batches, empty ones too, that no refresh has seen; 0 if all of them are empty."""
-        newer = self._markers().filter(F.col("stamp") > (self.refreshed.newest() or 0))
-        waiting, dated = newer.agg(F.count_distinct("batch"), F.count("event_date")).first()
-        return waiting if dated else 0
+        newest = self.refreshed.newest().number
+        waiting = [m for m in self._markers().values() if m.stamp and m.stamp > newest]
+        return len(waiting) if any(m.dates for m in waiting) else 0
+
+    def touched_since(self, stamp: int) -> set[dt.date]:
+        """The dates that batches stored after `stamp` touch."""
+        return {d for m in self._markers().values() if m.stamp and m.stamp > stamp for d in m.dates}
 
     def dates_since(self, stamp: int) -> DataFrame:
-        """event_date: the dates that batches stored after `stamp` touch."""
-        newer = self._markers().filter((F.col("stamp") > stamp) & F.col("event_date").isNotNull())
-        return newer.select("event_date").distinct()
+        """event_date: these dates as a table."""
+        return self.spark.createDataFrame([(d,) for d in sorted(self.touched_since(stamp))], "event_date date")
 
     def refresh(self, clock: M.Clock) -> None:
         """Seals all batches but the newest and makes the marts of all batches.
@@ -409,109 +388,75 @@ class Warehouse:
         A refresh that was skipped or failed is made up for by the next one. If no batch has been
         stored since, nothing is done.
         """
-        newest, stamp = self.refreshed.newest(), self.stamp()
-        if newest is not None and newest >= stamp:
-            return
-        self.seal()
-        self.refresh_marts(clock, newest, stamp)
-
-    def refresh_marts(self, clock: M.Clock, newest: int | None, stamp: int) -> None:
-        """Makes version `stamp` of the marts after version `newest`."""
-        touched = _dates(self.dates_since(newest or 0), "event_date")
-        base, before = self.sealed.newest(), self.refreshed.folders(newest)
-        staged = Staged(stamp)
-
-        def of(item: str, dates: set | None = None) -> list[Folder]:
-            return [f for f in before if f.item == item and (dates is None or f.part in dates)]
-
+        before, stamp = self.refreshed.newest(), self.stamp()
+        if before.number < stamp or not self.refreshed.versions():
+            self.seal()
+            self.refresh_marts(clock, before, stamp)
+
+    def refresh_marts(self, clock: M.Clock, before: Version, stamp: int) -> None:
+        """Makes version `stamp` of the marts."""
+        touched, sealed, staged = self.touched_since(before.number), self.sealed.newest(), Staged(stamp)
         schema = self.schemas["alert_state"]
-        self.refreshed.stage(staged, "alerts_now", self._alert_state(), of("alerts_now"))
-        now = self.refreshed.read("alerts_now", schema, staged.folders)
+        self.refreshed.stage(staged, "alerts_now", self._alert_state(), before.of("alerts_now"))
+        now = self.refreshed.read(staged.folders, schema)
         second = F.date_trunc("second", "event_timestamp").alias("second")
-        was_open = self.refreshed.read("alerts_now", schema, before).where("status = 'open'").select(*A.ALERT_KEY, second, "event_date")
-        is_open = now.where("status = 'open'").select(*A.ALERT_KEY, second)
-        changed = touched | _dates(was_open.join(is_open, [*A.ALERT_KEY, "second"], "left_anti"), "event_date")
-        alerts = records.all_alerts(self._closed(base, changed), now)
+        opened = self.refreshed.read(before.of("alerts_now"), schema).where("status = 'open'")
+        still = now.where("status = 'open'").select(*A.ALERT_KEY, second)
+        ended = opened.select(*A.ALERT_KEY, second, "event_date").join(still, [*A.ALERT_KEY, "second"], "left_anti")
+        changed = touched | _dates(ended, "event_date")
+        alerts = records.all_alerts(self._closed(sealed, changed), now)
         with RunFolder(self.spark) as run:
             marts = StoredMartSet(self, run, clock, touched, changed, facts_plan.alert_rows(alerts), facts_plan.alert_rows(now))
             marts.sensor_days  # stored once, used by several marts
-            dated = {name: (date, touched) for name, date in STORED_MARTS.items()} | {
-                "governorate_daily": ("summary_date", touched),
-                "readiness_daily": ("summary_date", changed),
-            }
-            frames = {
-                "mart_station_latest_status": marts.station_latest_status,
-                "mart_data_quality_monitor": marts.data_quality_monitor,
-                "mart_parameter_trend": marts.parameter_trend,
-                "mart_station_daily_snapshot": marts.station_daily_snapshot,
-                "governorate_daily": marts.governorate_daily,
-                "readiness_daily": marts.readiness_daily,
-            }
-
-            def job(name: str):
-                date, dates = dated[name]
-                frame = frames[name]
+
+            def make(item: str, date: str | None) -> None:
+                frame, dates = stored_mart(marts, item), changed if item == "readiness_daily" else touched
                 if date:
                     frame = frame.where(F.col(date).isin(*dates)) if dates else frame.limit(0)
-                return lambda: self.refreshed.stage(staged, name, frame, of(name, dates if date else None), date)
+                self.refreshed.stage(staged, item, frame, before.of(item, dates if date else None), date)
 
-            together(self.spark, *[job(name) for name in frames])
-        self.refreshed.commit(staged, through=stamp, as_of=str(clock.as_of), base=base)
+            together(self.spark, *[lambda item=item, date=date: make(item, date) for item, date in STORED.items()])
+        self.refreshed.commit(staged, as_of=str(clock.as_of), base=sealed.number)
         self.refreshed.clean()
 
     # --- reading the marts ------------------------------------------------------------
     @cached_property
     def _mart_schemas(self) -> dict[str, T.StructType]:
         """From the marts' own plans over no rows."""
-        empty = {name: self.spark.createDataFrame([], self.schemas[name]) for name in FACTS}
+        empty = [self.spark.createDataFrame([], self.schemas[name]) for name in FACTS]
         alerts = facts_plan.alert_rows(self.spark.createDataFrame([], self.schemas["alert_state"]))
-        marts = MartSet(facts_plan.Facts(self.stations, *empty.values(), alerts), M.Clock("2000-01-01 00:00:00"))
-        frames = {
-            "mart_station_latest_status": marts.station_latest_status,
-            "mart_data_quality_monitor": marts.data_quality_monitor,
-            "mart_parameter_trend": marts.parameter_trend,
-            "mart_station_daily_snapshot": marts.station_daily_snapshot,
-            "governorate_daily": marts.governorate_daily,
-            "readiness_daily": marts.readiness_daily,
-        }
-        return {name: frame.schema for name, frame in frames.items()}
+        marts = MartSet(facts_plan.Facts(self.stations, *empty, alerts), M.Clock("2000-01-01 00:00:00"))
+        return {item: stored_mart(marts, item).schema for item in STORED}
 
     def mart(self, name: str) -> DataFrame:
         """A mart of the newest complete version."""
+        if name not in MARTS:
+            raise ValueError(f"no mart {name}")
         version = self.refreshed.newest()
-        if version is None:
+        if not version.number:
             raise ValueError("the marts have not been refreshed yet")
-        marker, folders = self.refreshed.marker(version), self.refreshed.folders(version)
 
         def stored(item: str) -> DataFrame:
-            return self.refreshed.read(item, self._mart_schemas[item], folders)
-
-        def alerts_now() -> DataFrame:
-            return self.refreshed.read("alerts_now", self.schemas["alert_state"], folders)
+            return self.refreshed.read(version.of(item), self._mart_schemas[item])
 
-        if name in STORED_MARTS:
-            mart = stored(name)
-        elif name == "mart_governorate_daily_summary":
+        now = self.refreshed.read(version.of("alerts_now"), self.schemas["alert_state"])
+        if name == "mart_governorate_daily_summary":
             mix = R.governorate_status_mix(stored("mart_station_latest_status"))
             mart = M.governorate_daily_summary(stored("governorate_daily"), mix)
         elif name == "mart_alert_monitor":
-            alerts = records.all_alerts(self._closed(marker.base), alerts_now())
-            mart = M.alert_monitor(facts_plan.alert_rows(alerts), self.stations)
+            closed = self._closed(self.sealed.version(version.notes["base"]) if version.notes["base"] else Version(0, [], {}))
+            mart = M.alert_monitor(facts_plan.alert_rows(records.all_alerts(closed, now)), self.stations)
         elif name == "mart_system_readiness_summary":
             status = R.current_station_status(stored("mart_station_latest_status"))
-            mart = M.system_readiness_summary(stored("readiness_daily"), status, R.open_alert_count(alerts_now()))
+            mart = M.system_readiness_summary(stored("readiness_daily"), status, R.open_alert_count(now))
         else:
-            raise ValueError(f"no mart {name}")
-        return mart.withColumn("updated_at", F.expr(M.moment(marker.as_of)))
+            mart = stored(name)
+        return mart.withColumn("updated_at", F.expr(M.moment(version.notes["as_of"])))
 
     def row_counts(self) -> dict[str, int]:
         """Rows of the marts that are stored by station or date, from the list of folders: no data is read."""
         version = self.refreshed.newest()
-        folders = self.refreshed.folders(version)
-        counts = {name: Parts.rows(folders, name) for name in STORED_MARTS}
-        counts["mart_governorate_daily_summary"] = Parts.rows(folders, "governorate_daily")
-        counts["mart_system_readiness_summary"] = Parts.rows(folders, "readiness_daily")
-        return counts
+        return {_MART_OF.get(item, item): version.rows(item) for item in STORED}
 
     def _versions(self, name: str) -> list[int]:
         return {"marts": self.refreshed, "sealed": self.sealed}[name].versions()
@@ -529,16 +474,12 @@ class StoredMartSet(MartSet):
     ):
         super().__init__(facts_plan.Facts(warehouse.stations, None, None, None, alerts), clock)
         self.warehouse, self.run, self.touched, self.changed, self.alerts_now = warehouse, run, touched, changed, now
-        self.version = warehouse.sealed.newest()
-        self.through = warehouse._sealed_through()
+        self.sealed = warehouse.sealed.newest()
 
     def _merged(self, name: str, kind: records.Record, dates: set) -> DataFrame:
-        schema = self.warehouse._schema(name, "batch")
-        sealed = self.warehouse.sealed
-        old = sealed.read(name, schema, sealed.folders(self.version), dates)
-        new = self.warehouse._rows(name, self.through).drop("batch")
-        new = new.where(F.col(kind.date).isin(*dates)) if dates else new.limit(0)
-        return kind.merged(old, new)
+        old = self.warehouse.sealed.read(self.sealed.of(name, dates), self.warehouse._schema(name, "batch"))
+        new = self.warehouse._rows(name, through(self.sealed)).drop("batch")
+        return kind.merged(old, new.where(F.col(kind.date).isin(*dates)) if dates else new.limit(0))
 
     @cached_property
     def sensor_days(self) -> DataFrame:
@@ -550,23 +491,17 @@ class StoredMartSet(MartSet):
 
     @cached_property
     def station_readings(self) -> DataFrame:
-        sealed = self.warehouse.sealed
-        old = sealed.read("newest_reading", self.warehouse.schemas["newest_reading"], sealed.folders(self.version))
-        return records.newest_reading(old.unionByName(records.newest_reading(self.warehouse._rows("sensor_day", self.through))))
+        return self.warehouse._newest_reading(self.sealed)
 
     @cached_property
     def newest_wqi(self) -> DataFrame:
-        sealed = self.warehouse.sealed
-        old = sealed.read("newest_wqi", self.warehouse._schema("newest_wqi", "batch"), sealed.folders(self.version))
-        return _newest_wqi(old.unionByName(self.warehouse._rows("newest_wqi", self.through).drop("batch")))
+        return self.warehouse._newest_wqi(self.sealed)
 
     @cached_property
     def recent(self) -> DataFrame:
         clock = self.clock
         start = (dt.datetime.fromisoformat(str(clock.as_of)) - dt.timedelta(hours=clock.lookback_hours)).date()
-        sealed = self.warehouse.sealed
-        days = {f.part for f in sealed.folders(self.version) if f.item == "station_hour" and f.part >= start}
-        days |= {d for d in _dates(self.warehouse._rows("station_hour", self.through), "trend_date") if d >= start}
-        hours = self._merged("station_hour", STATION_HOUR, days)
-        readings = self.warehouse.readings_of(start)
-        return records.recent(hours, readings, clock.as_of, clock.lookback_hours)
+        days = {f.part for f in self.sealed.of("station_hour")}
+        days |= {d for m in self.warehouse._markers().values() for d in m.dates}
+        hours = self._merged("station_hour", STATION_HOUR, {d for d in days if d >= start})
+        return records.recent(hours, self.warehouse.readings_of(start), clock.as_of, clock.lookback_hours)

@@ -90,3 +90,13 @@ def start(
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def late_events(query: StreamingQuery) -> tuple[int, int]:
+    """Events that a query has read since its start, and those of them that came after the watermark had
+    passed them, from its recent progress (spark.sql.streaming.numRecentProgressUpdates batches)."""
+    read = dropped = 0
+    for progress in query.recentProgress:
+        read += progress["numInputRows"]
+        dropped += sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
+    return read, dropped

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from hydrolens.sources import dimensions as dims
-from oracle.tables import AS_OF, TABLES, mean, n_if, pct, recent_health, recent_quality, total
+from oracle.tables import AS_OF, STREAMED_TABLES, TABLES, mean, n_if, pct, recent_health, recent_quality, total
 
 MEASURES = (
     "raw_turbidity_ntu, raw_ph, raw_conductivity_us_cm, raw_temperature_c, raw_ammonia_mg_l, "
@@ -407,20 +407,20 @@ STATEMENTS: dict[str, str] = {
 }
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, tables: dict[str, str]) -> list[str]:
     """Tables a statement refers to, directly or through other tables, in definition order."""
     found: set[str] = set()
     pending = [sql]
     while pending:
         words = set(re.findall(r"[a-z_0-9]+", pending.pop()))
-        new = (words & TABLES.keys()) - found
+        new = (words & tables.keys()) - found
         found |= new
-        pending += [TABLES[name] for name in new]
-    return [name for name in TABLES if name in found]
+        pending += [tables[name] for name in new]
+    return [name for name in tables if name in found]
 
 
-def statement(sql: str) -> str:
-    parts = [f"{name} as materialized ({TABLES[name]})" for name in _needed(sql)]
+def statement(sql: str, tables: dict[str, str] = TABLES) -> str:
+    parts = [f"{name} as materialized ({tables[name]})" for name in _needed(sql, tables)]
     text = f"with {', '.join(parts)}\n{sql}" if parts else sql
     return re.sub(r"\b(\d+(?:\.\d+)?)D\b", r"cast(\1 as double)", text)
 
@@ -432,6 +432,19 @@ STATEMENTS["streamed_enriched_readings"] = (
 )
 STATEMENTS["reload_dimension"] = STATEMENTS["dim_parameter"]
 
+# Over the event log in deliveries.
+STREAMED = {f"streamed_{name}": sql for name, sql in STATEMENTS.items() if name in (
+    "mart_station_latest_status", "mart_governorate_daily_summary", "mart_parameter_trend", "mart_alert_monitor",
+    "mart_data_quality_monitor", "mart_station_daily_snapshot", "mart_system_readiness_summary",
+)} | {
+    "streamed_alert_lifecycle": "select alert_id, severity_level, status from alerts",
+    "streamed_late_counts": """select delivery, count(*) as events,
+        count(*) filter (where event_timestamp <= late_until) as late_events
+        from sent join limits using (delivery) group by delivery""",
+}
+
 
 def all_statements() -> dict[str, str]:
-    return {name: statement(sql) for name, sql in STATEMENTS.items()}
+    return {name: statement(sql) for name, sql in STATEMENTS.items()} | {
+        name: statement(sql, STREAMED_TABLES) for name, sql in STREAMED.items()
+    }

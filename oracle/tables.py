@@ -717,3 +717,41 @@ left join nat_alerts a on a.summary_date = r.summary_date
 left join nat_wqi w on w.summary_date = r.summary_date
 left join nat_dq d on d.summary_date = r.summary_date
 cross join nat_stations"""
+
+
+# --- the event log in deliveries ----------------------------------------------------------
+_SENT = """
+select * exclude (n, cut), case when n % 97 = 5 and cut < 5 then cut + 1 else cut end as delivery from numbered
+union all
+select * exclude (n, cut), case when n % 97 = 5 and cut < 5 then cut + 1 else cut end from numbered where n % 250 = 0
+union all
+select * exclude (n, cut), cut + 1 from numbered where n % 400 = 7 and n % 97 <> 5 and cut < 5"""
+
+# Events up to ten minutes before the newest of the deliveries before (whole milliseconds) are late.
+_LIMITS = """
+select delivery, date_trunc('millisecond', max(max(event_timestamp)) over (
+    order by delivery rows between unbounded preceding and 1 preceding)) - interval 10 minutes as late_until
+from sent group by delivery"""
+
+_ON_TIME = """
+select distinct on (station_id, sensor_id, event_timestamp) s.*
+from sent s join limits using (delivery)
+where late_until is null or event_timestamp > late_until
+order by station_id, sensor_id, event_timestamp, delivery"""
+
+# The same tables over what arrives on time; a delivery is a batch of the alert lifecycle.
+STREAMED_TABLES: dict[str, str] = {}
+for _name, _sql in TABLES.items():
+    if _name == "readings":
+        STREAMED_TABLES["readings_once"] = _sql
+        STREAMED_TABLES["numbered"] = """
+select *, cast(substr(reading_id, 2) as bigint) as n,
+  least(date_diff('day', date '2024-01-01', cast(event_timestamp as date)) // 5, 5) as cut
+from readings_once"""
+        STREAMED_TABLES["sent"] = _SENT
+        STREAMED_TABLES["limits"] = _LIMITS
+        STREAMED_TABLES["readings"] = _ON_TIME
+    elif _name == "business":
+        STREAMED_TABLES["business"] = _sql.replace("event_date as batch", "delivery as batch")
+    else:
+        STREAMED_TABLES[_name] = _sql
