@@ -24,6 +24,19 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like the given one that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of a frame, whatever they are called."""
+    return [df[f"`{c}`"] for c in df.columns if c not in without]
+
+
 def words(text: Column, pattern: str = WORD) -> Column:
     """The matches of the pattern, in order; null has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({pattern})"), F.lit(1))
@@ -42,7 +55,8 @@ def fold(key: Column, modulus: int) -> Column:
 def in_order(
     df: DataFrame, order: list[str], run: RunFolder, name: str, group: list[str] | None = None
 ) -> DataFrame:
-    """Adds `slot`, the gapless number of each row from 0 in the given order, per group.
+    """Adds `slot`, the gapless number of each row from 0 in the given order, per group. The frame has no
+    such column yet; the names of its columns are free otherwise.
 
     Rows are dealt by range and sorted, so no group has to fit in one task: a row's number is its
     place in its own range plus the rows of the same group in earlier ranges. Only the counts per
@@ -50,26 +64,19 @@ def in_order(
     change places that were already counted.
     """
     group = group or []
+    place, part = unused(df, "_place"), unused(df, "_range")
     dealt = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    stored = run.keep(dealt.withColumn("_place", F.monotonically_increasing_id()), name)
-    stored = stored.withColumn("_range", F.shiftright("_place", 33))
-    counts = stored.groupBy("_range", *group).agg(
-        F.min("_place").alias("_first"), F.count("*").alias("_n")
-    )
-    before = Window.partitionBy(*group).orderBy("_range")
-    offsets = run.keep(
-        counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")).drop("_n"),
-        f"{name}_offsets",
-    )
+    stored = run.keep(dealt.withColumn(place, F.monotonically_increasing_id()), name)
+    stored = stored.withColumn(part, F.shiftright(place, 33))
+    first, n, earlier = unused(stored, "_first"), unused(stored, "_n"), unused(stored, "_before")
+    counts = stored.groupBy(part, *group).agg(F.min(place).alias(first), F.count("*").alias(n))
+    before = Window.partitionBy(*group).orderBy(part)
+    offsets = run.keep(counts.withColumn(earlier, F.sum(n).over(before) - F.col(n)).drop(n), f"{name}_offsets")
     same = F.lit(True)
-    for key in ["_range", *group]:
+    for key in [part, *group]:
         same = same & stored[key].eqNullSafe(offsets[key])
-    return (
-        stored.join(small(offsets), same, "inner")
-        .select(
-            *[stored[c] for c in df.columns],
-            (F.col("_before") + F.col("_place") - F.col("_first")).alias("slot"),
-        )
+    return stored.join(small(offsets), same, "inner").select(
+        *own(stored, place, part), (offsets[earlier] + stored[place] - offsets[first]).alias("slot")
     )
 
 

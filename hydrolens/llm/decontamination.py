@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hydrolens.llm.common import lower_ascii, small, table, words
+from hydrolens.llm.common import lower_ascii, small, table, unused, words
 from hydrolens.sources.folders import RunFolder
 
 # Lower-cased texts: digits, a-z and all characters outside ASCII.
@@ -48,10 +48,9 @@ def documents_of(postings: DataFrame) -> DataFrame:
 
 
 def passages(items: DataFrame, run: RunFolder) -> DataFrame:
-    """The places (item, item_id, size, place, term) of the items that have words and an id."""
+    """The places (item, item_id, size, place, term) of the items that have words."""
     return run.keep(
-        items.where("item_id is not null")
-        .select("item_id", terms(F.col("text").cast("string")).alias("terms"))
+        items.select("item_id", terms(F.col("text").cast("string")).alias("terms"))
         .distinct()
         .select("item_id", "terms", F.monotonically_increasing_id().alias("item"))
         .select("item", "item_id", F.size("terms").alias("size"), F.posexplode("terms").alias("place", "term")),
@@ -135,8 +134,9 @@ def contamination(docs: DataFrame, items: DataFrame, run: RunFolder, window: int
     contaminated, one row per row of the documents.
 
     A window is `window` consecutive words of an item, or all words of a shorter one. Null and
-    empty texts have no words and are clean; items without words or without id have no window.
-    Items that repeat an id count once. With no items, or none that occurs, every document is
+    empty texts have no words and are clean; items without words have no window. Items without id make
+    words hit and documents contaminated, but are neither counted nor named. Items that repeat an id
+    count once. With no items, or none that occurs, every document is
     clean. Other columns of either table are not read."""
     postings = index(docs, run)
     matches = run.keep(phrases(postings, passages(items, run), run, window), "matches")
@@ -166,16 +166,20 @@ def contamination(docs: DataFrame, items: DataFrame, run: RunFolder, window: int
 def clean(docs: DataFrame, items: DataFrame, run: RunFolder, window: int = WINDOW) -> DataFrame:
     """The rows of the documents, all columns, in which no window occurs. Rows that share a doc_id
     go together; rows without one are judged by their texts."""
-    found = contamination(docs, items, run, window).where("contaminated")
-    ids = run.keep(found.where("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    nameless = docs.where("doc_id is null").withColumn("_row", F.monotonically_increasing_id())
-    kept = docs.join(small(ids), F.col("doc_id") == F.col("_id"), "left_anti")
+    with RunFolder(run.spark) as work:
+        found = contamination(docs, items, work, window).where("contaminated and doc_id is not null")
+        ids = run.keep(found.select("doc_id").distinct(), "contaminated")
+    nameless = docs.where(docs["doc_id"].isNull())
+    kept = docs.join(small(ids), docs["doc_id"] == ids["doc_id"], "left_anti")
     if nameless.isEmpty():
         return kept
-    nameless = run.keep(nameless, "nameless")
-    bad = contamination(nameless.select(F.col("_row").alias("doc_id"), "text"), items, RunFolder(run.spark), window)
-    bad = bad.where("contaminated").select(F.col("doc_id").alias("_row"))
-    return kept.where("doc_id is not null").unionByName(nameless.join(bad, "_row", "left_anti").drop("_row"))
+    row = unused(nameless, "_row")
+    nameless = run.keep(nameless.withColumn(row, F.monotonically_increasing_id()), "nameless")
+    with RunFolder(run.spark) as work:
+        judged = contamination(nameless.select(nameless[row].alias("doc_id"), "text"), items, work, window)
+        bad = run.keep(judged.where("contaminated").select("doc_id"), "contaminated_nameless")
+    clean_rows = nameless.join(small(bad), nameless[row] == bad["doc_id"], "left_anti").drop(row)
+    return kept.where(docs["doc_id"].isNotNull()).unionByName(clean_rows)
 
 
 def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +196,7 @@ with doc_words as (
   select item_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
-  from benchmark where item_id is not null
+  from benchmark
 ), item_windows as (
   select distinct item_id, least(len(w), 10) as n, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') as win
   from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from item_words where len(w) > 0)
@@ -207,7 +211,7 @@ with doc_words as (
   select doc, count(distinct p) as n_hit from (select doc, unnest(range(s, s + n)) as p from met) group by doc
 ), items as (
   select doc, count(*) as n_items, string_agg(name, ',' order by name) as names
-  from (select distinct doc, cast(item_id as varchar) as name from met) group by doc
+  from (select distinct doc, cast(item_id as varchar) as name from met where item_id is not null) group by doc
 )
 select d.doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(names, '')) as items_sha256, n_hit is not null as contaminated

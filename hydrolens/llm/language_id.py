@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydrolens.llm.common import fold, small, table
+from hydrolens.llm.common import fold, own, small, table, unused
 from hydrolens.llm.shingles import give_back, lean
 from hydrolens.sources.folders import RunFolder
 
@@ -258,8 +258,9 @@ def identify(docs: DataFrame, run: RunFolder, modulus: int = 4, held_out: int =
     Repeated rows are learned from and predicted as often as they occur."""
     folded = docs.drop("held_out", *PREDICTED.names).withColumn("held_out", fold(F.col("doc_id"), modulus) == held_out)
     model = train(folded.where(~F.col("held_out")), run)
-    found = folded.withColumn("_found", predictor(model)("text"))
-    return found.select("*", "_found.*").drop("_found")
+    name = unused(folded, "_found")
+    found = folded.withColumn(name, predictor(model)("text"))
+    return found.select(*own(found, name), f"{name}.*")
 
 
 def identified(docs: DataFrame, run: RunFolder) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hydrolens.llm.common import WORD, small, table, words
+from hydrolens.llm.common import WORD, own, small, table, words
 from hydrolens.sources.folders import RunFolder
 
 LEVELS = ["domain", "lang", "source"]
@@ -138,13 +138,17 @@ def mixture(
 
 def mixed_documents(docs: DataFrame, run: RunFolder, domain: str = DOMAIN, **options) -> DataFrame:
     """The rows of the documents that the mixture takes, all columns, once per epoch. The document at the
-    end of a leaf's prefix comes whole."""
-    chosen = mixture(docs, run, domain, **options).groupBy(*LEVELS, F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"))
-    chosen = run.keep(chosen, "chosen").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "_id", "_times")
-    name = lambda c: F.coalesce(docs[c].cast("string"), F.lit("none"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (name("lang") == F.col("_lang")) & (name("source") == F.col("_source"))
-    met = docs.where(docs["text"].rlike(WORD)).join(small(chosen), same)
-    return met.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*[f"`{c}`" for c in docs.columns])
+    end of a leaf's prefix comes whole. Columns may have any name."""
+    with RunFolder(run.spark) as work:
+        chosen = mixture(docs, work, domain, **options).groupBy(*LEVELS, "doc_id").agg(F.count("*").cast("int").alias("times"))
+        chosen = run.keep(chosen.drop("domain"), "chosen")
+    named = lambda c: F.coalesce(docs[c].cast("string"), F.lit("none"))
+    rows = docs.where(docs["text"].cast("string").rlike(WORD)).select(
+        F.struct(*own(docs)).alias("row"), docs["doc_id"].alias("id"), named("lang").alias("in_lang"), named("source").alias("in_source")
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("in_lang") == F.col("lang")) & (F.col("in_source") == F.col("source"))
+    met = rows.join(small(chosen), same)
+    return met.withColumn("turn", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def document_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

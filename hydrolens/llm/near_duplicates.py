@@ -308,7 +308,8 @@ def distinct_documents(docs: DataFrame, run: RunFolder, **options) -> DataFrame:
     """The rows of the documents, all columns, that stand for their group: those with the smallest doc_id.
     Rows without words or without doc_id stay. Of rows that repeat both doc_id and text one stays;
     rows that share a doc_id otherwise stay or go together (they stay if one of them stands)."""
-    groups = run.keep(near_duplicates(docs, run, **options).select("doc_id", "kept"), "groups")
+    with RunFolder(run.spark) as work:
+        groups = run.keep(near_duplicates(docs, work, **options).select("doc_id", "kept"), "groups")
     by_id = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     by_id = run.keep(by_id.where("not kept or rows > 1"), "not_single")
     stay = docs.join(small(by_id.where("not kept").select("doc_id")), "doc_id", "left_anti")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydrolens.llm.common import in_order, table
+from hydrolens.llm.common import in_order, own, table
 from hydrolens.sources.folders import RunFolder
 
 # Fixed values of the published algorithm: multiplier of its linear congruential generator.
@@ -50,26 +50,20 @@ def assign(df: DataFrame, key: str, shards: int, run: RunFolder) -> DataFrame:
     the order of the key).
 
     A null key is a key of its own. Rows with equal keys share a shard and take neighbouring slots.
-    An empty table gives an empty table. Columns of the input with these names are replaced.
+    An empty table gives an empty table. Columns of the input with these names are replaced; others
+    may have any name.
     """
-    hashed = df.drop("shard", "grown_shard", "slot", "_key").withColumn("_key", F.xxhash64(F.col(key)))
-    placed = hashed.withColumn("shard", shard_of(shards)("_key")).withColumn(
-        "grown_shard", shard_of(shards + 1)("_key")
-    )
-    return in_order(placed.drop("_key"), [key], run, "shards", ["shard"])
+    rest = df.drop("shard", "grown_shard", "slot")
+    code = F.xxhash64(rest[key])
+    placed = rest.select(*own(rest), shard_of(shards)(code).alias("shard"), shard_of(shards + 1)(code).alias("grown_shard"))
+    return in_order(placed, [key], run, "shards", ["shard"])
 
 
 def write_shards(df: DataFrame, key: str, shards: int, path: str) -> None:
     """Writes whole rows in one folder per shard. Executors split a shard over several files as
-    its size asks for."""
-    (
-        df.withColumn("_key", F.xxhash64(F.col(key)))
-        .withColumn("shard", shard_of(shards)("_key"))
-        .drop("_key")
-        .hint("rebalance", "shard")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+    its size asks for. A column `shard` of the input is replaced."""
+    placed = df.withColumn("shard", shard_of(shards)(F.xxhash64(df[key])))
+    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
 
 
 def document_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:

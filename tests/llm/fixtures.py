@@ -18,7 +18,10 @@ DOCUMENTS = T.StructType(
     ]
 )
 # Extra columns whose names operators use inside.
-CLASHING = ("slot", "shard", "_key", "words", "term", "pos", "path", "part", "weight", "n_words")
+CLASHING = (
+    "slot", "shard", "_key", "words", "term", "pos", "path", "part", "weight", "n_words", "_id", "_times", "_lang", "_source",
+    "_turn", "_row", "_place", "_range", "_first", "_before", "_found", "row", "id", "turn", "times", "domain", "doc", "A.b",
+)
 
 
 def sentence(rng: random.Random, size: int, vocabulary: int = 300) -> str:

@@ -20,11 +20,11 @@ def brute(docs, items, window=10):
         for item_id, passage in items:
             p = terms(passage)
             n = min(len(p), window)
-            for s in range(len(p) - n + 1 if n and item_id is not None else 0):
+            for s in range(len(p) - n + 1 if n else 0):
                 for i in range(len(words) - n + 1):
                     if words[i : i + n] == p[s : s + n]:
                         hit |= set(range(i, i + n))
-                        ids.add(str(item_id))
+                        ids |= {str(item_id)} if item_id is not None else set()
         sha = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
         out.append((doc_id, len(words), len(hit), len(ids), sha, bool(hit)))
     return sorted(out, key=str)
@@ -43,7 +43,7 @@ def cases():
     ]
     docs += [" ".join(rng.sample(long.split(), 30)) for _ in range(10)]
     items = [(1, long), (22, "short item"), (3, None), (4, ""), (5, "niño"), (6, "same " * 12), (7, "x x x"), (8, "never there at all"),
-             (10, " ".join(long.split()[5:30])), (10, "short item"), (None, long), (11, X.sentence(rng, 30)), (12, "!?")]
+             (10, " ".join(long.split()[5:30])), (10, "short item"), (None, long), (None, "start"), (11, X.sentence(rng, 30)), (12, "!?")]
     return docs, items
 
 

@@ -55,3 +55,13 @@ def test_written_shards(spark, tmp_path):
     docs = X.documents(spark)
     sharding.write_shards(docs, "doc_id", 4, f"{tmp_path}/shards")
     assert spark.read.parquet(f"{tmp_path}/shards").count() == docs.count()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    from hydrolens.sources.folders import RunFolder
+
+    docs = X.documents(spark, extra=True)
+    placed = sharding.assign(docs, "doc_id", 4, RunFolder(spark))
+    assert placed.columns == [c for c in docs.columns if c not in ("slot", "shard")] + ["shard", "grown_shard", "slot"]
+    kept = [f"`{c}`" for c in docs.columns if c not in ("slot", "shard")]
+    assert sorted(map(repr, placed.select(kept).collect())) == sorted(map(repr, docs.select(kept).collect()))
