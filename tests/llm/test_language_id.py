@@ -1,7 +1,10 @@
+import math
 import random
+from collections import Counter
 
 import fixtures as X
 import numpy as np
+from pyspark.sql import functions as F
 
 from hydrolens.llm import language_id as L
 from hydrolens.sources.folders import RunFolder
@@ -104,3 +107,66 @@ def test_bounds_lie_between_members_and_strangers_and_never_fall_with_length():
     bounds = L.bounds_of({5: (0.1, 500), 8: (0.4, 500), 9: (0.3, 500), 11: (0.9, 10)}, strangers)
     assert np.allclose(bounds[[5, 8, 9, 11, 23]], [0.1, 0.3, 0.3, 0.3, 0.3])
     assert (np.diff(bounds) >= 0).all() and L.bounds_of({5: (0.1, 10)}, strangers)[5] < 0.1
+
+
+# --- brute force: the same classifier in plain Python --------------------------------------
+def plain_counts(text):
+    kept = [b if b >= 128 or 97 <= b <= 122 else 32 for b in (" " + text.lower() + " ").encode()]
+    grams = [b for i, b in enumerate(kept) if not (b == 32 and i and kept[i - 1] == 32)]
+    found = Counter()
+    for size, odd in ((1, 0x9E3779B1), (2, 0x85EBCA77), (3, 0xC2B2AE3D)):
+        for i in range(len(grams) - size + 1):
+            code = sum(g << (8 * (size - 1 - k)) for k, g in enumerate(grams[i : i + size]))
+            found[((code + 1) * odd % 2**32) >> 20] += 1
+    return found
+
+
+def plain_vector(found, idf):
+    weighted = {b: math.log1p(n) * idf[b] for b, n in found.items()}
+    length = math.sqrt(sum(w * w for w in weighted.values()))
+    return {b: w / length for b, w in weighted.items()}
+
+
+def cosine(a, b):
+    return sum(w * b.get(k, 0.0) for k, w in a.items())
+
+
+def plain_centroids(vectors):
+    centres = [dict(v) for v in vectors[: L.CENTROIDS]]
+    for _ in range(L.ROUNDS):
+        owned = [[] for _ in centres]
+        for v in vectors:
+            owned[max(range(len(centres)), key=lambda c: cosine(v, centres[c]))].append(v)
+        for c, members in enumerate(owned):
+            mean = Counter()
+            for v in members:
+                mean.update(v)
+            if size := math.sqrt(sum(w * w for w in mean.values())):
+                centres[c] = {b: w / size for b, w in mean.items()}
+    return centres
+
+
+def test_equals_brute_force(spark):
+    """Document frequencies of all labelled texts, k-means from the members in the order of their hashes,
+    the nearest of all centroids."""
+    docs = corpus(spark, 150).union(X.documents(spark).select("doc_id", "text", "lang").where("text is not null").withColumn("doc_id", F.expr("doc_id + 1000")))
+    rows = docs.withColumn("share", F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))).collect()
+    teaching = sorted((r.share, r.doc_id, r.text, r.lang) for r in rows if X.fold(r.doc_id, 4) != 2 and r.lang and L.LETTER.search(r.text))
+    held = Counter(b for *_, text, _ in teaching for b in plain_counts(text))
+    idf = {b: math.log((1 + len(teaching)) / (1 + held[b])) + 1e-3 for b in range(L.BINS)}
+    centres = []
+    for lang in sorted({t[3] for t in teaching}):
+        vectors = [plain_vector(plain_counts(text), idf) for *_, text, own in teaching if own == lang]
+        centres += [(lang, c) for c in plain_centroids(vectors)]
+    got = {r.doc_id: r for r in L.identify(docs, RunFolder(spark)).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        if not L.LETTER.search(r.text):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        v = plain_vector(plain_counts(r.text), idf)
+        best = {}
+        for lang, c in centres:
+            best[lang] = max(best.get(lang, 0.0), cosine(v, c))
+        assert abs(got[r.doc_id].score - max(best.values())) < 1e-4
+        assert best[got[r.doc_id].lang_pred] > max(best.values()) - 1e-4
