@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,7 +242,7 @@ def _scanned_rules(t: Telemetry) -> DataFrame:
 
 def _reloaded_parameters(t: Telemetry) -> DataFrame:
     """The parameters, stored twice in the same place and read back."""
-    path = f"{t.run.path}/dim_parameter"
+    path = RunFolder(t.spark).path
     for _ in range(2):
         stored = dimensions.reload_dimension(dimensions.dim_parameter(t.spark), path)
     counts = _parameter_counts(t).select("parameter_code", "reported_values")
@@ -250,20 +250,21 @@ def _reloaded_parameters(t: Telemetry) -> DataFrame:
 
 
 def _kpi_dictionary(t: Telemetry) -> DataFrame:
-    """Each KPI with the number of rows of the table it is computed from."""
-    sources = {
-        "fact_water_quality_index": t.wqi,
-        "fact_alert": t.alerts,
-        "mart_station_latest_status": t.day.station_latest_status,
-        "mart_system_readiness_summary": t.readings.select("event_date").distinct(),
-        "mart_data_quality_monitor": t.day.data_quality_monitor,
+    """Each KPI with the number of rows of the table it is computed from. The status mart has a row per station
+    and the quality monitor one per sensor-day of a known station, so no mart is built to be counted."""
+    days = t.day.sensor_days
+    counts = {
+        "fact_water_quality_index": days.agg(F.coalesce(F.sum("index_rows"), F.lit(0)).alias("source_rows")),
+        "fact_alert": t.alerts.agg(F.count("*").alias("source_rows")),
+        "mart_station_latest_status": t.stations.agg(F.count("*").alias("source_rows")),
+        "mart_system_readiness_summary": days.agg(F.count_distinct("summary_date").alias("source_rows")),
+        "mart_data_quality_monitor": days.join(t.stations.select("station_id"), "station_id").agg(
+            F.count("*").alias("source_rows")
+        ),
     }
-    counts = None
-    for name, frame in sources.items():
-        count = frame.agg(F.count("*").alias("source_rows")).withColumn("source_object", F.lit(name))
-        counts = count if counts is None else counts.unionByName(count)
+    named = [frame.withColumn("source_object", F.lit(name)) for name, frame in counts.items()]
     definitions = F.broadcast(dimensions.kpi_dictionary(t.spark))  # 8 rows
-    return counts.join(definitions, "source_object")
+    return reduce(DataFrame.unionByName, named).join(definitions, "source_object")
 
 
 def _parameterised_sql(t: Telemetry) -> DataFrame:
@@ -282,13 +283,14 @@ def _dq_keys(t: Telemetry) -> DataFrame:
 
 def _streamed(t: Telemetry) -> Warehouse:
     """Sends the readings, some of them twice, through the streaming path in one batch."""
+    path = RunFolder(t.spark).path
     events = derived.as_event_json(derived.readings_with_duplicates(t.spark, t.sf_dir))
-    events.write.text(f"{t.run.path}/events")
-    warehouse = Warehouse(t.spark, f"{t.run.path}/warehouse", t.stations)
+    events.write.text(f"{path}/events")
+    warehouse = Warehouse(t.spark, f"{path}/warehouse", t.stations)
     telemetry.start(
-        json_file_stream(t.spark, f"{t.run.path}/events"),
+        json_file_stream(t.spark, f"{path}/events"),
         warehouse,
-        f"{t.run.path}/checkpoint",
+        f"{path}/checkpoint",
         trigger={"availableNow": True},
         refresh_every=None,
     ).awaitTermination()
@@ -303,14 +305,15 @@ def _streamed_readings(t: Telemetry) -> DataFrame:
 
 def _streamed_enriched_readings(t: Telemetry) -> DataFrame:
     """The stream joined to the dimensions, through a file sink."""
-    events, sink = f"{t.run.path}/events", f"{t.run.path}/enriched"
+    path = RunFolder(t.spark).path
+    events, sink = f"{path}/events", f"{path}/enriched"
     derived.as_event_json(derived.readings_with_duplicates(t.spark, t.sf_dir)).write.text(events)
     stream = telemetry.enriched_stream(json_file_stream(t.spark, events), t.stations, t.sensors)
     columns = ingest.enrich(t.raw, t.stations, t.sensors).drop("reading_id", *S.MEASURES).columns
     query = (
         stream.select(columns)
         .writeStream.format("parquet")
-        .option("checkpointLocation", f"{t.run.path}/checkpoint")
+        .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
         .start(sink)
     )
@@ -319,19 +322,19 @@ def _streamed_enriched_readings(t: Telemetry) -> DataFrame:
 
 
 # Streamed warehouses of this session and what their queries reported, by application and folder of tables.
-_REPLAYED: dict[tuple[str, str], tuple[Warehouse, list[tuple[int, int, int]]]] = {}
+_REPLAYED: dict[tuple[str, str], tuple[Warehouse, list[tuple[int, int, int]], str]] = {}
 
 
-def _replayed(t: Telemetry) -> tuple[Warehouse, list[tuple[int, int, int]]]:
+def _replayed(t: Telemetry) -> tuple[Warehouse, list[tuple[int, int, int]], str]:
     """The whole loop over the event log: each delivery is one run of the streaming query on the same
     checkpoint, and the marts are refreshed every other delivery. Made once per session and folder of tables; it
     stays in the shared folder as long as the session.
 
-    Returns the warehouse, and per delivery the events read and those dropped as late.
+    Returns the warehouse, per delivery the events read and those dropped as late, and the checkpoint.
     """
     known = (t.spark.sparkContext.applicationId, t.sf_dir)
     if known not in _REPLAYED:
-        path, reports = t.run.path, []
+        path, reports = RunFolder(t.spark).path, []
         log = derived.deliveries(t.spark, t.sf_dir)
         warehouse = Warehouse(t.spark, f"{path}/warehouse", t.stations)
         for delivery in range(derived.DELIVERIES):
@@ -348,7 +351,7 @@ def _replayed(t: Telemetry) -> tuple[Warehouse, list[tuple[int, int, int]]]:
             if delivery % 2:
                 warehouse.refresh(DAY)
             reports.append((delivery, *telemetry.late_events(query)))
-        _REPLAYED[known] = warehouse, reports
+        _REPLAYED[known] = warehouse, reports, f"{path}/checkpoint"
     return _REPLAYED[known]
 
 
@@ -364,6 +367,11 @@ def _streamed_late_counts(t: Telemetry) -> DataFrame:
     return t.spark.createDataFrame(_replayed(t)[1], "delivery int, events bigint, late_events bigint")
 
 
+def _streamed_state(t: Telemetry) -> DataFrame:
+    """The keys that the de-duplication still holds after the last delivery."""
+    return telemetry.held_keys(t.spark, _replayed(t)[2])
+
+
 def _streamed_alerts(t: Telemetry) -> DataFrame:
     return _streamed(t).alerts().drop("event_date")
 
@@ -601,6 +609,7 @@ def all_queries() -> dict[str, Query]:
         **{f"streamed_{name}": _streamed_mart(name) for name in MARTS},
         "streamed_alert_lifecycle": _query(_streamed_alert_lifecycle),
         "streamed_late_counts": _query(_streamed_late_counts),
+        "streamed_state": _query(_streamed_state),
         "dedup_readings": _query(
             lambda t: ingest.dedup_readings(
                 derived.readings_with_duplicates(t.spark, t.sf_dir)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from hydrolens import schema as S
 from hydrolens.functions.common import date_key, week_of_year_sunday
+from hydrolens.sources.parts import Dimension
 
 STATION_SCAN = [
     "station_id",
@@ -56,9 +57,8 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def reload_dimension(df: DataFrame, path: str) -> DataFrame:
-    """Replaces the stored dimension and reads it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replaces the stored dimension and reads it back. Readers see the old rows until all new ones are stored."""
+    return Dimension(df.sparkSession, path, df.schema).reload(df)
 
 
 # --- calendar and clock -------------------------------------------------------------------
@@ -197,6 +197,7 @@ THRESHOLD_RULES = [
     ("bacterial_regrowth_risk_score", "derived", 0.0, 30.0, 30.0, 60.0, 60.0, 100.0, 0.2, "Derived Analytics Rules"),
     ("process_performance_score", "derived", 80.0, 100.0, 60.0, 80.0, 0.0, 60.0, 0.2, "Derived Analytics Rules"),
 ]
+# From when the rules hold, and for what water.
 RULES_EFFECTIVE_FROM = dt.date(2026, 5, 9)
 RULES_WATER_TYPE = "Drinking"
 

@@ -100,3 +100,9 @@ def late_events(query: StreamingQuery) -> tuple[int, int]:
         read += progress["numInputRows"]
         dropped += sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
     return read, dropped
+
+
+def held_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys in the de-duplication state of a checkpoint, as its last batch left them. After a batch, these are
+    the keys above its watermark, however many came before."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*").select(ingest.READING_KEY)

@@ -441,6 +441,8 @@ STREAMED = {f"streamed_{name}": sql for name, sql in STATEMENTS.items() if name
     "streamed_late_counts": """select delivery, count(*) as events,
         count(*) filter (where event_timestamp <= late_until) as late_events
         from sent join limits using (delivery) group by delivery""",
+    "streamed_state": """select station_id, sensor_id, event_timestamp from readings where event_timestamp > (
+        select date_trunc('millisecond', max(event_timestamp)) - interval 10 minutes from sent)""",
 }
 
 
