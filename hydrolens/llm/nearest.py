@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by stable projections.
 
 Vectors are scaled to length one and projected on a few Gaussian directions. The projected points
-of each index block form a kd-tree. A query takes the cells of the tree in order of their distance
-in the projected space, verifies the original vectors in them, and stops when a chi-square test
-says that an unseen vector as near as its present k-th neighbour would, but for a chosen miss
-probability, have been met: (projected distance / distance)^2 of a vector follows a chi-square law
-with as many degrees of freedom as there are directions.
+of each index block form a kd-tree. A query opens the cells of the tree in order of their distance in
+the projected space and takes the points in them one after the other by their own projected distance,
+a few at a time: a point is taken when no cell still closed can hold a nearer one. The original vectors of what it
+takes are verified. It stops when a chi-square test says that an unseen vector as near as its present
+k-th neighbour would, but for a chosen miss probability, have been met: (projected distance /
+distance)^2 of a vector follows a chi-square law with as many degrees of freedom as there are directions.
+`verified` counts the vectors that a query was compared with.
 
 Index blocks and query groups have fixed sizes. Every block meets every query group in a task of
 its own, which returns k rows per query.
@@ -28,7 +30,9 @@ MISS = 0.05
 LEAF = 64
 BLOCK_ROWS = 8192
 QUERY_ROWS = 512
-STEP_LEAVES = 8
+# Cells opened and points verified at a time.
+STEP_LEAVES = 4
+STEP_ROWS = 32
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -97,32 +101,42 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def search_block(block, queries: np.ndarray, own: np.ndarray, k: int, limit: float):
-    """Places and cosines of the k nearest rows of the block, for each query."""
+    """Ids and cosines of the k nearest rows of the block, and the number of rows verified, for each query."""
     dim = queries.shape[1]
     ids, slots = np.frombuffer(block["ids"], np.int64), np.frombuffer(block["slots"], np.int64)
     vectors = np.frombuffer(block["vectors"]).reshape(-1, dim)
     ends = np.cumsum(np.frombuffer(block["sizes"], np.int64))
     boxes = np.frombuffer(block["boxes"]).reshape(-1, 2, DIRECTIONS)
     rows = [np.arange(a, b) for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)]
-    projected = queries @ directions(dim)
+    points, projected = vectors @ directions(dim), queries @ directions(dim)
     found = []
     for query, point, me in zip(queries, projected, own):
         gaps = np.maximum(0, np.maximum(boxes[:, 0] - point, point - boxes[:, 1]))
         gaps = (gaps * gaps).sum(axis=1)
         order = np.argsort(gaps, kind="stable")
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
-        for first in range(0, len(order), STEP_LEAVES):
-            if len(best) == k:
-                # Squared distance of unit vectors; the margin covers rounding.
-                if gaps[order[first]] > limit * max(0.0, 2 - 2 * scores[-1]) + 1e-9:
-                    break
-            cells = np.concatenate([rows[c] for c in order[first : first + STEP_LEAVES]])
-            cells = cells[slots[cells] != me]
-            here = np.concatenate([best, cells])
-            value = np.concatenate([scores, (vectors[cells] * query).sum(axis=1)])
+        ends_at = np.append(gaps[order], np.inf)  # what the closed cells can hold at best
+        best, scores, verified, opened = np.zeros(0, np.int64), np.zeros(0), 0, 0
+        waiting, away = np.zeros(0, np.int64), np.zeros(0)  # points of open cells by projected distance
+        while True:
+            # Squared distance of unit vectors; the margin covers rounding.
+            reach = limit * max(0.0, 2 - 2 * scores[-1]) + 1e-9 if len(best) == k else np.inf
+            while ends_at[opened] <= reach and opened < len(order) and np.searchsorted(away, ends_at[opened], "right") < STEP_ROWS:
+                cells = np.concatenate([rows[c] for c in order[opened : opened + STEP_LEAVES]])
+                opened = min(opened + STEP_LEAVES, len(order))
+                cells = cells[slots[cells] != me]
+                far = points[cells] - point
+                waiting, away = np.concatenate([waiting, cells]), np.concatenate([away, (far * far).sum(axis=1)])
+                by = np.argsort(away, kind="stable")
+                waiting, away = waiting[by], away[by]
+            ready = min(STEP_ROWS, int(np.searchsorted(away, min(reach, ends_at[opened]), "right")))
+            if not ready:
+                break
+            taken, waiting, away = waiting[:ready], waiting[ready:], away[ready:]
+            here = np.concatenate([best, taken])
+            value = np.concatenate([scores, (vectors[taken] * query).sum(axis=1)])
             top = np.lexsort((ids[here], -value))[:k]
-            best, scores = here[top], value[top]
-        found.append((ids[best], scores))
+            best, scores, verified = here[top], value[top], verified + ready
+        found.append((ids[best], scores, verified))
     return found
 
 
@@ -133,9 +147,11 @@ def _search(k: int, limit: float):
             dim = int(index["dim"].iloc[0])
             queries = unit(_matrix(asked["vector"]))
             own = asked["query_slot"].to_numpy(np.int64)
-            for q, s, (ids, scores) in zip(asked["query_id"], own, search_block(index.iloc[0], queries, own, k, limit)):
-                out.append(pd.DataFrame({"dim": dim, "query_id": q, "query_slot": s, "vec_id": ids, "score": np.clip(scores, -1, 1)}))
-        return pd.concat(out) if out else pd.DataFrame({"dim": [], "query_id": [], "query_slot": [], "vec_id": [], "score": []})
+            for q, s, (ids, scores, n) in zip(asked["query_id"], own, search_block(index.iloc[0], queries, own, k, limit)):
+                # The block's count stands on one of its rows.
+                counts = np.where(np.arange(len(ids)) == 0, n, 0)
+                out.append(pd.DataFrame({"dim": dim, "query_id": q, "query_slot": s, "vec_id": ids, "score": np.clip(scores, -1, 1), "n": counts}))
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("dim", "query_id", "query_slot", "vec_id", "score", "n")})
 
     return search
 
@@ -158,7 +174,7 @@ def nearest(
     vectors: DataFrame, asked, run: RunFolder, k: int = 5, miss: float = MISS, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The k nearest other rows by cosine of every row for which the condition `asked` (on vec_id)
-    holds: query_id, rank, vec_id, score. Ties go to the smaller vec_id. Only vectors of equal
+    holds: query_id, rank, vec_id, score and verified (rows that the query was compared with). Ties go to the smaller vec_id. Only vectors of equal
     length are compared; a query with fewer candidates gets all of them. Rows with the same vec_id
     are rows of their own. Rows without an id take no part. Empty tables give an empty result."""
     rows = in_order(usable(vectors, key, vector), ["vec_id"], run, "vectors", ["dim"]).withColumn(
@@ -186,13 +202,14 @@ def nearest(
     found = (
         index.groupBy(*meet)
         .cogroup(queries.groupBy(*meet))
-        .applyInPandas(_search(k, chi_square_quantile(1 - miss, DIRECTIONS)), "dim int, query_id long, query_slot long, vec_id long, score double")
+        .applyInPandas(_search(k, chi_square_quantile(1 - miss, DIRECTIONS)), "dim int, query_id long, query_slot long, vec_id long, score double, n long")
     )
-    order = Window.partitionBy("dim", "query_slot", "query_id").orderBy(F.desc("score"), "vec_id")
+    query = Window.partitionBy("dim", "query_slot", "query_id")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        found.withColumn("rank", F.row_number().over(query.orderBy(F.desc("score"), "vec_id")))
+        .withColumn("verified", F.sum("n").over(query))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", "score", "verified")
     )
 
 
