@@ -188,6 +188,18 @@ def test_crowded_folders_by_size():
     assert {f.version for f in crowded(folders)} == set(range(MERGED))
 
 
+def test_a_thousand_batches_of_one_day_stay_few_folders():
+    """Each gathering adds a folder and merges alike ones: folders and rewritten rows grow with the logarithm."""
+    folders, written, most = [], 0, 0
+    for version in range(1000):
+        merged = crowded(folders)
+        new = Folder("t", day(1), version, 10 + sum(f.n for f in merged))
+        folders = [f for f in folders if f not in merged] + [new]
+        written, most = written + new.n, max(most, len(folders))
+    assert sum(f.n for f in folders) == 10_000
+    assert most <= 4 * MERGED and written <= 4 * 10_000
+
+
 def test_a_failed_reload_leaves_the_old_rows(spark, tmp_path):
     rows = dimensions.dim_parameter(spark)
     stored = Dimension(spark, str(tmp_path / "parameters"), rows.schema)
