@@ -70,6 +70,13 @@ class Telemetry:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self._records: dict[str, DataFrame] = {}
+
+    def _hold(self, record: DataFrame, name: str) -> DataFrame:
+        """Records depend on the readings only: all mart sets share them."""
+        if name not in self._records:
+            self._records[name] = self.run.keep(record, name)
+        return self._records[name]
 
     @cached_property
     def run(self) -> RunFolder:
@@ -124,16 +131,16 @@ class Telemetry:
     @cached_property
     def day(self) -> MartSet:
         """Lazy marts over records that are written once: the marts' own plans read few facts."""
-        return MartSet(self, DAY, hold=self.run.keep)
+        return MartSet(self, DAY, hold=self._hold)
 
     @cached_property
     def month(self) -> MartSet:
-        return MartSet(self, MONTH, hold=self.run.keep)
+        return MartSet(self, MONTH, hold=self._hold)
 
     @cached_property
     def stored(self) -> MartSet:
         """Marts written once each, for queries that read several of them."""
-        return MartSet(self, DAY, self.run.keep, self.run.keep)
+        return MartSet(self, DAY, self.run.keep, self._hold)
 
 
 def _comparable(df: DataFrame) -> DataFrame:
