@@ -73,12 +73,6 @@ def latest_reading(readings: DataFrame, keys: Sequence[str] = ("station_id",)) -
     )
 
 
-def combined_latest_reading(latest_daily: DataFrame) -> DataFrame:
-    """Station-day maxima → station maxima."""
-    names = ["latest_reading_timestamp", "latest_valid_reading_timestamp"]
-    return latest_daily.groupBy("station_id").agg(*[F.max(name).alias(name) for name in names])
-
-
 def recent_quality(readings: DataFrame, as_of: dt.datetime | str, hours: int) -> DataFrame:
     return (
         recent(readings, as_of, hours)
