@@ -11,6 +11,7 @@ from hydrolens.plans import marts as M
 from hydrolens.plans import records
 from hydrolens.plans import rollups as R
 from hydrolens.plans.facts import Facts
+from hydrolens.session import together
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -31,6 +32,15 @@ class MartSet:
     def __init__(self, facts: Facts, clock: M.Clock, keep: Keep = _lazily, hold: Keep = _lazily):
         self.facts, self.clock, self.keep, self.hold = facts, clock, keep, hold
 
+    def _prepare(self, *names: str) -> None:
+        """Frames that are stored before a mart reads them are stored side by side."""
+        if self.hold is not _lazily:
+            together(self.facts.stations.sparkSession, *[lambda name=name: getattr(self, name) for name in names])
+
+    @property
+    def alerts(self) -> DataFrame:
+        return self.facts.alerts
+
     # --- records --------------------------------------------------------------------
     @cached_property
     def sensor_days(self) -> DataFrame:
@@ -86,6 +96,7 @@ class MartSet:
     # --- marts --------------------------------------------------------------------
     @cached_property
     def status_base(self) -> DataFrame:
+        self._prepare("sensor_days", "station_hours", "alerts")
         return M.station_status_base(
             self.facts.stations,
             self.newest_wqi,
@@ -116,7 +127,7 @@ class MartSet:
 
     @cached_property
     def governorate_daily_summary(self) -> DataFrame:
-        mix = R.governorate_status_mix(self.station_latest_status)
+        mix = R.governorate_status_mix(self.station_latest_status)  # it prepares what the days need, too
         mart = M.governorate_daily_summary(self.governorate_daily, mix)
         return self.keep(mart, "mart_governorate_daily_summary")
 
@@ -132,6 +143,7 @@ class MartSet:
 
     @cached_property
     def station_daily_snapshot(self) -> DataFrame:
+        self._prepare("sensor_days", "alerts")
         alert_daily = R.station_alert_daily(self.facts.alerts)
         mart = M.station_daily_snapshot(self.station_days, alert_daily, self.facts.stations)
         return self.keep(mart, "mart_station_daily_snapshot")
@@ -143,9 +155,10 @@ class MartSet:
 
     @cached_property
     def system_readiness_summary(self) -> DataFrame:
+        status = R.current_station_status(self.station_latest_status)
         mart = M.system_readiness_summary(
             self.readiness_daily,
-            R.current_station_status(self.station_latest_status),
+            status,
             R.open_alert_count(self.alerts_now),
         )
         return self.keep(mart, "mart_system_readiness_summary")

@@ -42,9 +42,10 @@ from hydrolens.plans import records
 from hydrolens.plans import rollups as R
 from hydrolens.plans.martset import MartSet
 from hydrolens.plans.records import SENSOR_DAY, STATION_HOUR
+from hydrolens.session import together
 from hydrolens.sources.files import names_in, numbered, read_folders, read_json, remove, write_json
 from hydrolens.sources.folders import RunFolder
-from hydrolens.sources.parts import MERGED, Parts, Staged, Version, crowded, together
+from hydrolens.sources.parts import MERGED, Parts, Staged, Version, crowded
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
 LOGS = ("alert_log", "heartbeat_log", "sensor_day", "station_hour", "newest_wqi")
