@@ -31,8 +31,8 @@ LEAF = 64
 BLOCK_ROWS = 8192
 QUERY_ROWS = 512
 # Cells opened and points verified at a time.
-STEP_LEAVES = 4
-STEP_ROWS = 32
+STEP_LEAVES = 16
+STEP_ROWS = 128
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -125,8 +125,10 @@ def search_block(block, queries: np.ndarray, own: np.ndarray, k: int, limit: flo
                 opened = min(opened + STEP_LEAVES, len(order))
                 cells = cells[slots[cells] != me]
                 far = points[cells] - point
-                waiting, away = np.concatenate([waiting, cells]), np.concatenate([away, (far * far).sum(axis=1)])
-                by = np.argsort(away, kind="stable")
+                far = np.einsum("ij,ij->i", far, far)
+                near = far <= reach  # the reach never grows again
+                waiting, away = np.concatenate([waiting, cells[near]]), np.concatenate([away, far[near]])
+                by = np.argsort(away)
                 waiting, away = waiting[by], away[by]
             ready = min(STEP_ROWS, int(np.searchsorted(away, min(reach, ends_at[opened]), "right")))
             if not ready:
