@@ -268,5 +268,5 @@ with doc_terms as (
 ), ranked as (
   select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank from scored where score > 0
 )
-select item_id, rank, doc_id, score from ranked where rank <= 50
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
 """
