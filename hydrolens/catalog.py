@@ -371,7 +371,7 @@ def _streamed_alert_lifecycle(t: Telemetry) -> DataFrame:
 
 
 def _streamed_late_counts(t: Telemetry) -> DataFrame:
-    return t.spark.createDataFrame(_replayed(t)[1], "delivery int, events bigint, late_events bigint")
+    return t.spark.createDataFrame(_replayed(t)[1], "delivery bigint, events bigint, late_events bigint")
 
 
 def _streamed_state(t: Telemetry) -> DataFrame:
