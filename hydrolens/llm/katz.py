@@ -1,18 +1,22 @@
-"""Language-model scores: a Katz back-off model of word pairs.
+"""Language-model scores: a Katz back-off model of any order.
 
-Counts up to 5 are discounted by Good-Turing, for single words and for pairs. What the discounts
-free under a history goes to the words that never followed it, in proportion to their single-word
-probabilities; the back-off weight of each history is computed from its full list of followers, so
-that all words and the unknown word add up to one exactly.
+Counts up to 5 are discounted by Good-Turing, for each order by itself. What the discounts
+free under a history goes to the words that never followed it, in proportion to their probabilities
+under the history without its first word; the back-off weight of each history is computed from its full
+list of followers, so that all words and the unknown word add up to one exactly.
 
-    P(w | h) = d(c(h, w)) c(h, w) / c(h)     if the pair occurs in training
-             = a(h) P(w)                     else, with a(h) = 1 for a history that never occurs
+    P(w | h) = d(c(h, w)) c(h, w) / c(h)     if h w occurs in training
+             = a(h) P(w | h')                else, h' being h without its first word,
+                                             with a(h) = 1 for a history that never occurs
     P(w)     = d(c(w)) c(w) / N              and what is left for the unknown word
 
-Stored tables: blocks of documents (bucketed by block); word counts (by hash of the word); pair
-counts (bucketed by history, one segment per block). A block sends its distinct words and pairs,
-packed, and gets counts, totals and back-off weights back, so its texts never move. Words are known by
-64-bit hashes until the word table numbers them.
+Before a document stand as many end tokens as the order needs.
+
+Stored tables: blocks of documents (bucketed by block); word counts (by hash of the word); for each
+order the counts of its grams (bucketed by history, one segment per block). A block sends its distinct words
+and grams, packed, and gets counts, totals and back-off weights back, so its texts never move. Words are known
+by 64-bit hashes until the word table numbers them; a gram is numbered in its bucket, and its number stands
+for the history in the next order.
 """
 
 from __future__ import annotations
@@ -32,8 +36,11 @@ from hydrolens.llm.shingles import Words, blocks_of, lean, word_hash
 from hydrolens.sources.folders import RunFolder
 
 MODULUS, HELD_OUT = 7, 2
+ORDER = 2
 DISCOUNTED = 5
 END = b""
+# The number of the history of a document's first token, from order three on.
+START = 0
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -132,32 +139,56 @@ class Block:
             chosen = self.word_order[self.bounds[b] : self.bounds[b + 1]]
             self.number[chosen], self.count[chosen] = unpack(numbers), unpack(counts)
 
-    def log_probabilities(self, rows: dict[int, tuple[bytes, bytes, bytes]], unigrams: Unigrams, d: np.ndarray) -> np.ndarray:
-        """log10 P(word | history) of each distinct pair."""
-        found = np.zeros(len(self.word))
-        single = np.log10(unigrams.probability(self.count[self.word]))
-        for b, (pair_counts, totals, weights) in rows.items():
-            part = slice(self.pair_bounds[b], self.pair_bounds[b + 1])
-            counts, total = unpack(pair_counts), unpack(totals)
-            starts = _starts(self.number[self.history[part]])
-            weight = np.zeros(len(starts))
-            weight[np.logical_or.reduceat(counts == 0, starts)] = np.frombuffer(weights)
-            each = np.diff(np.append(starts, len(counts)))
-            seen = np.maximum(discounted(counts, d), 1e-300) / np.maximum(np.repeat(total, each), 1)
-            found[part] = np.where(counts > 0, np.log10(seen), np.repeat(weight, each) + single[part])
-        return found
-
-    def pairs(self) -> None:
-        """Distinct pairs in the order of bucket, history and word; place of each token's pair."""
-        key = self.before * self.types + self.tokens
-        unique, place = np.unique(key, return_inverse=True)
-        history, word = unique // self.types, unique % self.types
-        order = np.lexsort((self.number[word], self.number[history], self.number[history] % self.buckets))
+    def begin(self, words: dict[int, tuple[bytes, bytes]], unigrams: Unigrams) -> None:
+        """Takes what the word table says; `value` is log10 P(token) from here on."""
+        self.learn(words)
+        self.value = np.log10(unigrams.probability(self.count))[self.tokens]
+        self.order = 1
+
+    def grams(self) -> None:
+        """Distinct grams of the next order in the order of bucket, history and word; place of each token's gram."""
+        self.order += 1
+        if self.order == 2:
+            numbers, codes = self.number, self.before
+        else:
+            numbers, codes = np.unique(self.following, return_inverse=True)
+        unique, place = np.unique(codes * self.types + self.tokens, return_inverse=True)
+        history, word = numbers[unique // self.types], unique % self.types
+        bucket = bucket_of_history(history, self.order, self.buckets)
+        order = np.lexsort((self.number[word], history, bucket))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.place = rank[place]
         self.history, self.word = history[order], word[order]
-        self.pair_bounds = np.searchsorted(self.number[self.history] % self.buckets, np.arange(self.buckets + 1))
+        self.gram_bounds = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        # A gram fixes the gram of the order below, so any of its tokens tells that one's probability.
+        some = np.empty(len(order), np.int64)
+        some[self.place] = np.arange(len(self.tokens))
+        self.lower = self.value[some]
+
+    def take(self, rows: dict[int, tuple[bytes, bytes, bytes, bytes | None]], d: np.ndarray) -> None:
+        """Takes what the buckets say on the grams: `value` is log10 P(token | history) of this order then."""
+        found, numbers = np.zeros(len(self.word)), np.zeros(len(self.word), np.int64)
+        for b, (gram_counts, totals, weights, given) in rows.items():
+            part = slice(self.gram_bounds[b], self.gram_bounds[b + 1])
+            counts, total = unpack(gram_counts), unpack(totals)
+            starts = _starts(self.history[part])
+            weight = np.zeros(len(starts))
+            weight[np.logical_or.reduceat(counts == 0, starts)] = np.frombuffer(weights)
+            each = np.diff(np.append(starts, len(counts)))
+            seen = np.maximum(discounted(counts, d), 1e-300) / np.maximum(np.repeat(total, each), 1)
+            found[part] = np.where(counts > 0, np.log10(seen), np.repeat(weight, each) + self.lower[part])
+            if given is not None:
+                numbers[part] = np.cumsum(unpack(given))
+        self.value = found[self.place]
+        self.following = np.concatenate([[START], numbers[self.place][:-1]])
+        self.following[np.cumsum(self.sizes) - self.sizes] = START
+
+
+def bucket_of_history(numbers: np.ndarray, order: int, buckets: int) -> np.ndarray:
+    """Words are numbered in turn over the buckets. A gram's number ends in its own bucket, so grams are dealt
+    by the rest of it: the followers of one frequent history then lie in all buckets."""
+    return numbers % buckets if order == 2 else numbers // buckets % buckets
 
 
 def _blocks(rows: pa.RecordBatch | pa.Table, buckets: int) -> Iterator[tuple[int, Block]]:
@@ -216,45 +247,60 @@ def _word_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_pydict({"r": [f[0] for f in found], "n": [f[1] for f in found]}, schema=pa.schema([("r", pa.int32()), ("n", pa.int64())]))
 
 
-PAIR_ROWS = pa.schema(
+GRAM_ROWS = pa.schema(
     [("bucket", pa.int32()), ("block", pa.int64())]
-    + [(n, pa.binary()) for n in ("histories", "words", "numbers", "word_counts", "counts")]
+    + [(n, pa.binary()) for n in ("histories", "words", "numbers", "word_counts", "counts", "lower")]
 )
-PAIRS = "bucket int, block long, histories binary, words binary, numbers binary, word_counts binary, counts binary"
+GRAMS = "bucket int, block long, histories binary, words binary, numbers binary, word_counts binary, counts binary, lower binary"
+FOUND = "order int, bucket int, block long, gram_counts binary, totals binary, weights binary, given binary"
 
 
-def _known_words(found: pa.Table) -> dict[int, tuple[bytes, bytes]]:
-    return {b: (n, c) for b, n, c in zip(*(found[x].to_pylist() for x in ("bucket", "numbers", "counts")))}
+def _climb(block: Block, found: pa.Table, unigrams: Unigrams, steps: list[np.ndarray]) -> None:
+    """Takes the answers to the words and then to each order that the steps hold discounts of."""
+    order = np.array(found["order"].fill_null(1).to_numpy())
+    columns = ("bucket", "numbers", "counts"), ("bucket", "gram_counts", "totals", "weights", "given")
+    told = lambda k: found.filter(pa.array(order == k)).select(columns[k > 1])
+    rows = lambda k: {b: tuple(x) for b, *x in zip(*(c.to_pylist() for c in told(k).columns))}
+    block.begin(rows(1), unigrams)
+    for k, d in enumerate(steps, 2):
+        block.grams()
+        block.take(rows(k), d)
 
 
-def _send_pairs(buckets: int):
+def _send_grams(buckets: int, unigrams: Unigrams, steps: list[np.ndarray]):
     def send(rows: pa.Table, found: pa.Table) -> pa.Table:
         out = []
         for number, block in _blocks(rows, buckets):
-            block.learn(_known_words(found))
-            block.pairs()
+            _climb(block, found, unigrams, steps)
+            block.grams()
             trained = np.bincount(block.place[block.in_training], minlength=len(block.word))
             for b in range(buckets):
-                part = slice(block.pair_bounds[b], block.pair_bounds[b + 1])
-                history, word = block.number[block.history[part]], block.word[part]
+                part = slice(block.gram_bounds[b], block.gram_bounds[b + 1])
+                history, word = block.history[part], block.word[part]
                 if len(word):
                     # The words of the segment in the order of their numbers: counts fall, gaps are small.
                     numbers, first, codes = np.unique(block.number[word], return_index=True, return_inverse=True)
-                    counts = block.count[word[first]]
-                    out.append((b, number, pack(np.diff(history, prepend=0)), pack(codes), pack(np.diff(numbers, prepend=0)), pack(counts), pack(trained[part])))
-        return pa.Table.from_pydict({n: [r[i] for r in out] for i, n in enumerate(PAIR_ROWS.names)}, schema=PAIR_ROWS)
+                    # Probabilities of single words follow from their counts, those of longer grams are sent.
+                    counts = pack(block.count[word[first]]) if block.order == 2 else None
+                    lower = None if block.order == 2 else block.lower[part].tobytes()
+                    out.append((b, number, pack(np.diff(history, prepend=0)), pack(codes), pack(np.diff(numbers, prepend=0)), counts, pack(trained[part]), lower))
+        return pa.Table.from_pydict({n: [r[i] for r in out] for i, n in enumerate(GRAM_ROWS.names)}, schema=GRAM_ROWS)
 
     return send
 
 
 class Segments:
-    """The pairs of one bucket, merged from the segments of all blocks."""
+    """The grams of one order and bucket, merged from the segments of all blocks."""
 
     def __init__(self, rows: pd.DataFrame):
         numbers = [np.cumsum(unpack(n)) for n in rows["numbers"]]
         codes = [unpack(c) for c in rows["words"]]
         word = np.concatenate([n[c] for n, c in zip(numbers, codes)])
-        word_count = np.concatenate([unpack(n)[c] for n, c in zip(rows["word_counts"], codes)])
+        self.of_words = rows["word_counts"].notna().all()
+        if self.of_words:
+            lower = np.concatenate([unpack(n)[c] for n, c in zip(rows["word_counts"], codes)])
+        else:
+            lower = np.concatenate([np.frombuffer(x) for x in rows["lower"]])
         history = np.concatenate([np.cumsum(unpack(h)) for h in rows["histories"]])
         trained = np.concatenate([unpack(c) for c in rows["counts"]])
         self.bounds = np.cumsum([0, *map(len, codes)])
@@ -266,27 +312,28 @@ class Segments:
         self.place[order] = np.cumsum(new) - 1
         self.counts = np.add.reduceat(trained[order], starts)
         self.history, self.word = history[new], word[new]
-        self.word_count = word_count[order][new]
+        self.lower = lower[order][new]
 
     def histories(self, unigrams: Unigrams, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Group of each distinct pair by history; per group what its counts are divided by (0 for a
+        """Group of each distinct gram by history; per group what its counts are divided by (0 for a
         history that training does not have), and log10 of its back-off weight."""
         first = np.concatenate([[True], self.history[1:] != self.history[:-1]])
         group = np.cumsum(first) - 1
         total = np.bincount(group, weights=self.counts)
         freed = np.bincount(group, weights=self.counts - discounted(self.counts, d))
-        single = unigrams.probability(self.word_count)
-        others = 1 - np.bincount(group, weights=np.where(self.counts > 0, single, 0.0))
+        lower = unigrams.probability(self.lower) if self.of_words else 10.0**self.lower
+        others = 1 - np.bincount(group, weights=np.where(self.counts > 0, lower, 0.0))
+        least = unigrams.unknown if self.of_words else 1e-15
         # A history whose followers are all frequent frees nothing: one count more is given away.
         none = (freed <= 0) & (total > 0)
         freed = np.where(none, 1.0, freed)
         total = np.where(none, total + 1, total)
         with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.where(total > 0, freed / (total * np.maximum(others, unigrams.unknown)), 1.0)
+            weight = np.where(total > 0, freed / (total * np.maximum(others, least)), 1.0)
             return group, total, np.log10(weight)
 
 
-def _pair_frequencies(rows: pd.DataFrame) -> pd.DataFrame:
+def _gram_frequencies(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_frequencies(Segments(rows).counts), columns=["r", "n"])
 
 
@@ -295,10 +342,10 @@ def _starts(history: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
 
 
-def _evaluate(unigrams: Unigrams, d: np.ndarray):
+def _evaluate(order: int, buckets: int, unigrams: Unigrams, d: np.ndarray, last: bool):
     def evaluate(rows: pd.DataFrame) -> pd.DataFrame:
-        """What each block needs for its pairs: their counts, the totals of their histories, and the
-        back-off weights of those histories that have a pair without count."""
+        """What each block needs for its grams: their counts, the totals of their histories, the back-off weights
+        of those histories that have a gram without count, and, below the last order, the grams' numbers."""
         segments = Segments(rows)
         group, total, weight = segments.histories(unigrams, d)
         out = []
@@ -307,8 +354,9 @@ def _evaluate(unigrams: Unigrams, d: np.ndarray):
             counts, here = segments.counts[place], group[place]
             starts = _starts(here)
             back_off = here[starts][np.logical_or.reduceat(counts == 0, starts)]
-            out.append((int(bucket), int(block), pack(counts), pack(total[here[starts]]), weight[back_off].tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "block", "pair_counts", "totals", "weights"])
+            given = None if last else pack(np.diff(START + 1 + place * buckets + bucket, prepend=0))
+            out.append((order, int(bucket), int(block), pack(counts), pack(total[here[starts]]), weight[back_off].tobytes(), given))
+        return pd.DataFrame(out, columns=["order", "bucket", "block", "gram_counts", "totals", "weights", "given"])
 
     return evaluate
 
@@ -318,17 +366,11 @@ SCORES = pa.schema(
 )
 
 
-def _score(buckets: int, unigrams: Unigrams, d: np.ndarray):
+def _score(buckets: int, unigrams: Unigrams, steps: list[np.ndarray]):
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         out = []
-        is_word = pa.array([c is None for c in found["pair_counts"].to_pylist()], pa.bool_())
-        words = _known_words(found.filter(is_word))
-        pairs = found.filter(pc.invert(is_word)) if found.num_rows else found
-        pairs = {b: x for b, *x in zip(*(pairs[x].to_pylist() for x in ("bucket", "pair_counts", "totals", "weights")))}
         for _, block in _blocks(rows, buckets):
-            block.learn(words)
-            block.pairs()
-            values = block.log_probabilities(pairs, unigrams, d)
+            _climb(block, found, unigrams, steps)
             counts = block.count[block.tokens]
             starts = np.cumsum(block.sizes) - block.sizes
             out.append(
@@ -338,7 +380,7 @@ def _score(buckets: int, unigrams: Unigrams, d: np.ndarray):
                         pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)),
                         pa.array(np.full(len(starts), unigrams.tokens, np.int64)),
                         pa.array(np.add.reduceat(unigrams.base(counts), starts)),
-                        pa.array(np.add.reduceat(values[block.place], starts)),
+                        pa.array(np.add.reduceat(block.value, starts)),
                     ],
                     schema=SCORES,
                 )
@@ -353,29 +395,34 @@ def _totals(df: DataFrame) -> dict[int, int]:
     return {r.r: r.n for r in df.groupBy("r").agg(F.sum("n").alias("n")).collect()}
 
 
-def scores(docs: DataFrame, run: RunFolder) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+def scores(docs: DataFrame, run: RunFolder, order: int = ORDER) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, under the model of
+    the given order (1: single words).
 
     The model learns from the rows whose crc32 of the id as text, modulo 7, is not 2 (a null id counts
     as empty text, so it teaches), as often as they are repeated. Null and empty texts consist of the end
     token alone. Without training rows every token is unknown and has probability one. Other
     columns are not read; an empty table gives an empty result."""
+    if order < 1:
+        raise ValueError(f"order {order} is less than 1")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = bucketed(blocks_of(docs), "block", run, "blocks")
     sent = blocks.mapInArrow(lean(_send_words(buckets)), "bucket int, block long, hashes binary, counts binary")
     words = run.keep(sent.groupBy("bucket").applyInPandas(_number_words(buckets), WORD_ROWS), "words")
     of_words = _totals(words.where("block is null").select("counts").mapInArrow(lean(_word_frequencies), "r int, n long"))
     unigrams = Unigrams(of_words.get(-1, 0), of_words.get(0, 0), of_words)
-    to_blocks = words.where("block is not null").drop("hashes")
-    sent = blocks.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(_send_pairs(buckets), PAIRS)
-    pairs = bucketed(sent.repartition(buckets, "bucket"), "bucket", run, "pairs")
-    d = discounts(_totals(pairs.groupBy("bucket").applyInPandas(_pair_frequencies, "r int, n long")))
-    found = pairs.groupBy("bucket").applyInPandas(
-        _evaluate(unigrams, d), "bucket int, block long, pair_counts binary, totals binary, weights binary"
-    )
-    both = to_blocks.unionByName(found, allowMissingColumns=True)
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
-        _score(buckets, unigrams, d),
+    told = words.where("block is not null").drop("hashes").withColumn("order", F.lit(1))
+    told = told.select("*", *[F.lit(None).cast("binary").alias(c) for c in ("gram_counts", "totals", "weights", "given")])
+    steps: list[np.ndarray] = []
+    for k in range(2, order + 1):
+        sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_send_grams(buckets, unigrams, list(steps)), GRAMS)
+        grams = bucketed(sent.repartition(buckets, "bucket"), "bucket", run, f"grams{k}")
+        steps.append(discounts(_totals(grams.groupBy("bucket").applyInPandas(_gram_frequencies, "r int, n long"))))
+        found = grams.groupBy("bucket").applyInPandas(_evaluate(k, buckets, unigrams, steps[-1], k == order), FOUND)
+        # The answers of the last order are read once, those of the others by every later order.
+        told = told.unionByName(found if k == order else run.keep(found, f"found{k}"), allowMissingColumns=True)
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        _score(buckets, unigrams, steps),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

@@ -14,24 +14,25 @@ from hydrolens.sources.folders import RunFolder
 class Brute:
     """The model with dictionaries, straight from its definition."""
 
-    def __init__(self, rows):
-        self.words, self.pairs, self.histories = Counter(), Counter(), Counter()
+    def __init__(self, rows, order=2):
+        self.order, self.words = order, Counter()
+        self.grams = {k: Counter() for k in range(2, order + 1)}
+        self.histories, self.followers, self.weights = Counter(), defaultdict(list), {}
         for i, text in rows:
             if X.fold("" if i is None else i, 7) == 2:
                 continue
-            before = "</s>"
-            for w in self.tokens(text):
+            tokens = self.tokens(text)
+            for t, w in enumerate(tokens):
                 self.words[w] += 1
-                self.pairs[before, w] += 1
-                self.histories[before] += 1
-                before = w
+                for k in self.grams:
+                    self.grams[k][self.history(tokens, t, k), w] += 1
+                    self.histories[self.history(tokens, t, k)] += 1
         self.n = sum(self.words.values())
-        self.d1 = K.discounts(Counter(self.words.values()))
-        self.d2 = K.discounts(Counter(self.pairs.values()))
-        self.followers = defaultdict(list)
-        for h, w in self.pairs:
-            self.followers[h].append(w)
-        freed = sum(c - self.off(c, self.d1) for c in self.words.values())
+        self.d = {1: K.discounts(Counter(self.words.values()))} | {k: K.discounts(Counter(c.values())) for k, c in self.grams.items()}
+        for counts in self.grams.values():
+            for h, w in counts:
+                self.followers[h].append(w)
+        freed = sum(c - self.off(c, 1) for c in self.words.values())
         self.total, self.unknown = (self.n, freed / self.n) if freed > 0 else (self.n + 1, 1 / (self.n + 1))
 
     @staticmethod
@@ -39,30 +40,40 @@ class Brute:
         return [*X.space_words(X.ascii_lower(text or "")), "</s>"]
 
     @staticmethod
-    def off(c, d):
-        return c * d[c] if c <= 5 else c
+    def history(tokens, t, k):
+        """The k - 1 tokens before place t, end tokens before the text."""
+        return tuple((["</s>"] * (k - 1) + tokens)[t : t + k - 1])
 
-    def single(self, w):
-        return self.off(self.words[w], self.d1) / self.total if w in self.words else self.unknown
+    def off(self, c, k):
+        return c * self.d[k][c] if c <= 5 else c
+
+    def kept(self, h):
+        k = len(h) + 1
+        kept = {x: self.off(self.grams[k][h, x], k) for x in self.followers[h]}
+        freed, total = self.histories[h] - math.fsum(kept.values()), self.histories[h]
+        return (kept, freed, total) if abs(freed) >= 1e-9 else (kept, 1.0, total + 1)
+
+    def weight(self, h):
+        if h not in self.weights:
+            kept, freed, total = self.kept(h)
+            self.weights[h] = freed / total / (1 - math.fsum(self.probability(h[1:], x) for x in kept))
+        return self.weights[h]
 
     def probability(self, h, w):
+        if not h:
+            return self.off(self.words[w], 1) / self.total if w in self.words else self.unknown
         if not self.histories[h]:
-            return self.single(w)
-        total = self.histories[h]
-        kept = {x: self.off(self.pairs[h, x], self.d2) for x in self.followers[h]}
-        freed = total - math.fsum(kept.values())
-        if abs(freed) < 1e-9:
-            freed, total = 1.0, total + 1
-        if w in kept:
+            return self.probability(h[1:], w)
+        if (h, w) in self.grams[len(h) + 1]:
+            kept, _, total = self.kept(h)
             return kept[w] / total
-        return freed / total / (1 - math.fsum(map(self.single, kept))) * self.single(w)
+        return self.weight(h) * self.probability(h[1:], w)
 
     def row(self, i, text):
-        tokens, before, score, base = self.tokens(text), "</s>", 0.0, 0.0
-        for w in tokens:
-            score += math.log10(self.probability(before, w))
+        tokens, score, base = self.tokens(text), 0.0, 0.0
+        for t, w in enumerate(tokens):
+            score += math.log10(self.probability(self.history(tokens, t, self.order), w))
             base += math.log10((self.words[w] + 1) / (self.n + len(self.words) + 1))
-            before = w
         return X.fold("" if i is None else i, 7) == 2, len(tokens), sum(w in self.words for w in tokens), self.n, base, score
 
 
@@ -86,9 +97,36 @@ def test_equals_brute_force(spark, tmp_path, monkeypatch, chars):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
 
 
-def test_probabilities_add_up_to_one():
-    model = Brute(list(enumerate(texts())))
-    for h in [*list(model.histories)[:40], "never seen"]:
+def varied():
+    """Texts of few words, so that longer grams repeat, and copies, so that some have no rare follower."""
+    rng = random.Random(8)
+    return [*texts()[:22], *[X.sentence(rng, rng.randrange(1, 60), 12) for _ in range(40)], *["a b c a b d"] * 9]
+
+
+@pytest.mark.parametrize("order,chars", [(1, 8_000_000), (3, 500), (4, 8_000_000)])
+def test_other_orders_equal_brute_force(spark, monkeypatch, order, chars):
+    monkeypatch.setattr(shingles, "PIECE_CHARS", chars)
+    docs = X.documents(spark, varied())
+    model = Brute([(r.doc_id, r.text) for r in docs.collect()], order)
+    text_of = {r.doc_id: r.text for r in docs.collect()}
+    found = K.scores(docs, RunFolder(spark), order).collect()
+    assert sorted(r.doc_id for r in found) == sorted(text_of)
+    for r in found:
+        held, n, known, total, base, score = model.row(r.doc_id, text_of[r.doc_id])
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-7)
+
+
+def test_order_below_one_is_refused(spark):
+    with pytest.raises(ValueError):
+        K.scores(X.documents(spark), RunFolder(spark), 0)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_probabilities_add_up_to_one(order):
+    model = Brute(list(enumerate(varied())), order)
+    histories = [h for h in model.histories if len(h) == order - 1][:60]
+    for h in [*histories, ("never seen",) * (order - 1)]:
         total = math.fsum(model.probability(h, w) for w in [*model.words, "unknown word"])
         assert total == pytest.approx(1, abs=1e-9)
 
