@@ -26,6 +26,8 @@ from hydrolens.sources.files import names_in, numbered, read_folders, read_json,
 KEPT_VERSIONS = 2
 # So many folders of one date and about one size are merged into one.
 MERGED = 16
+# Dates whose folders one task may write one after the other.
+TASK_DATES = 32
 
 
 @dataclass(frozen=True)
@@ -92,11 +94,10 @@ class Parts:
     def read(self, folders: Iterable[Folder], schema: T.StructType) -> DataFrame:
         return read_folders(self.spark, [self.path(f) for f in folders if f.n], schema)
 
-    def stage(self, staged: Staged, item: str, df: DataFrame, replaces: Iterable[Folder], date: str | None = None) -> None:
+    def stage(self, staged: Staged, item: str, df: DataFrame, replaces: Iterable[Folder], date: str | None = None, dates: int = 0) -> None:
         """Writes rows for the version in the making, in place of some folders of the same table.
 
-        date: the table's date column, None if it is kept as a whole. Rows of a date are gathered first, so a
-        date is not written as one file per task; a date that is larger than the advisory size is split.
+        date: the table's date column, None if it is kept as a whole. dates: how many it has, about.
         """
         path = f"{self.root}/{item}/version={staged.version}"
         if date is None:
@@ -104,13 +105,23 @@ class Parts:
             folders = [Folder(item, None, staged.version, self.spark.read.schema(df.schema).parquet(path).count())]
         else:
             dated = df.withColumn("part", F.col(date))
-            writer = dated.hint("rebalance", "part").write.mode("overwrite")
+            writer = self._gathered(dated, dates).write.mode("overwrite")
             writer.option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
             counted = self.spark.read.schema(dated.schema).parquet(path).groupBy("part").count()
             folders = [Folder(item, r.part, staged.version, r["count"]) for r in counted.collect()]
         staged.folders += folders
         staged.replaced |= set(replaces)
 
+    def _gathered(self, dated: DataFrame, dates: int) -> DataFrame:
+        """Rows of a date are gathered, so a date is not written as one file per task. A date that is larger than
+        the advisory size is split. Many small dates would come to one task, which opens their files one after
+        the other: they are cut into ranges, which split a large date as well."""
+        if dates <= TASK_DATES:
+            return dated.hint("rebalance", "part")
+        tasks = min(math.ceil(dates / TASK_DATES), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        rest = F.xxhash64(*[c for c in dated.columns if c != "part"])
+        return dated.repartitionByRange(tasks, "part", rest)
+
     def commit(self, staged: Staged, **notes: object) -> Version:
         """Makes the version the newest: what it has written, and all that it has not replaced."""
         carried = [f for f in self.newest().folders if f not in staged.replaced]

@@ -28,7 +28,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +49,7 @@ from hydrolens.sources.parts import MERGED, Parts, Staged, Version, crowded
 
 FACTS = ("fact_sensor_reading", "fact_water_quality_index", "fact_sensor_health")
 LOGS = ("alert_log", "heartbeat_log", "sensor_day", "station_hour", "newest_wqi")
-# Tables are partitioned by those of these columns they have.
+# Batches are sorted by those of these columns they have.
 DATE_COLUMNS = ("event_date", "summary_date", "trend_date")
 # Batches that one run can have before its keys reach the next run's.
 RUN_BATCHES = 1 << 40
@@ -171,17 +171,13 @@ class Warehouse:
         stored = self.spark.read.schema(self._schema(name, "batch")).parquet(f"{self.root}/{name}/batch={key}")
         return stored.withColumn("batch", F.lit(key).cast("bigint"))
 
-    def _partitioned(self, df: DataFrame) -> DataFrameWriter:
-        """A writer by date. Rows are gathered by date first, so a date is not written as one file per
-        task. The rebalance joins small dates into one task and splits one that is larger than the
-        advisory size, such as a day that holds a third of the batch."""
-        by = [column for column in DATE_COLUMNS if column in df.columns]
-        return (df.hint("rebalance", *by) if by else df).write.mode("overwrite").partitionBy(*by)
-
     def _write_batch(self, df: DataFrame, name: str, key: int) -> None:
-        """Replaces all that the batch has in this table, also if it now has no rows."""
-        writer = self._partitioned(df.drop("batch")).option("partitionOverwriteMode", "static")
-        writer.parquet(f"{self.root}/{name}/batch={key}")
+        """Replaces all that the batch has in this table, also if it now has no rows. A task writes one file, its
+        rows in the order of their dates, so the number of files does not grow with the dates of a batch."""
+        by = [column for column in DATE_COLUMNS if column in df.columns]
+        rows = df.drop("batch")
+        rows = rows.sortWithinPartitions(*by) if by else rows
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={key}")
 
     def _runs(self) -> list[dict]:
         """run and first batch id of each run number, in the order in which they began."""
@@ -240,8 +236,7 @@ class Warehouse:
         stored = self._batch("fact_sensor_reading", key)
         frames = _derived_frames(stored, key)
         together(self.spark, *[lambda n=n, f=f: self._write_batch(f, n, key) for n, f in frames.items()])
-        days = names_in(self.spark, f"{self.root}/fact_sensor_reading/batch={key}")
-        dates = {dt.date.fromisoformat(day.partition("=")[2]) for day in days if day.startswith("event_date=")}
+        dates = _dates(stored, "event_date")
         self._mark(key, self.stamp() + 1, dates | (before.dates if before else set()))
         return bool(dates)
 
@@ -310,10 +305,11 @@ class Warehouse:
 
     def _seal_record(self, staged: Staged, old: Version, last: int, name: str, kind: records.Record) -> None:
         new = self._rows(name, through(old), last).drop("batch")
-        folders = old.of(name, _dates(new, kind.date))
+        dates = _dates(new, kind.date)
+        folders = old.of(name, dates)
         schema = self._schema(name, "batch")
         merged = kind.merged(self.sealed.read(folders, schema), new)
-        self.sealed.stage(staged, name, merged.select(schema.names), folders, kind.date)
+        self.sealed.stage(staged, name, merged.select(schema.names), folders, kind.date, len(dates))
 
     def _seal_newest(self, staged: Staged, old: Version, last: int) -> None:
         """The newest index row and the latest times of each station."""
@@ -337,7 +333,8 @@ class Warehouse:
         """Closed alerts are added to their dates. A date is written again only if an alert of it was raised
         again after it was closed, or if it has many small folders."""
         new = state.where("status = 'resolved'")
-        there = old.of("closed_alerts", _dates(new, "event_date"))
+        dates = _dates(new, "event_date")
+        there = old.of("closed_alerts", dates)
         second = F.date_trunc("second", "event_timestamp").alias("second")
         known = self.sealed.read(there, self.schemas["alert_state"]).select(*A.ALERT_KEY, second, "event_date")
         again = known.join(new.select(*A.ALERT_KEY, second), [*A.ALERT_KEY, "second"], "left_semi")
@@ -345,14 +342,15 @@ class Warehouse:
         merged = [f for f in there if f.part in changed]
         merged += [f for f in crowded(there) if f.part not in changed]
         kept = self.sealed.read(merged, self.schemas["alert_state"])
-        self.sealed.stage(staged, "closed_alerts", records.all_alerts(kept, new), merged, "event_date")
+        self.sealed.stage(staged, "closed_alerts", records.all_alerts(kept, new), merged, "event_date", len(dates))
 
     def _gather(self, staged: Staged, old: Version, last: int, name: str) -> None:
         """Facts of sealed batches are added to their dates."""
         new = self._rows(name, gathered_through(old), last)
-        merged = crowded(old.of(name, _dates(new, "event_date")))
+        dates = _dates(new, "event_date")
+        merged = crowded(old.of(name, dates))
         rows = new.unionByName(self.sealed.read(merged, self.schemas[name]))
-        self.sealed.stage(staged, name, rows, merged, "event_date")
+        self.sealed.stage(staged, name, rows, merged, "event_date", len(dates))
 
     def _clean(self, sealed: int, gathered: int) -> None:
         """Removes what the sealed version before the newest has in its own folders: logs of batches up to the
@@ -414,7 +412,7 @@ class Warehouse:
                 frame, dates = stored_mart(marts, item), changed if item == "readiness_daily" else touched
                 if date:
                     frame = frame.where(F.col(date).isin(*dates)) if dates else frame.limit(0)
-                self.refreshed.stage(staged, item, frame, before.of(item, dates if date else None), date)
+                self.refreshed.stage(staged, item, frame, before.of(item, dates if date else None), date, len(dates))
 
             together(self.spark, *[lambda item=item, date=date: make(item, date) for item, date in STORED.items()])
         self.refreshed.commit(staged, as_of=str(clock.as_of), base=sealed.number)

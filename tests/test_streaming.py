@@ -122,6 +122,20 @@ def test_running_a_batch_again_changes_nothing(telemetry, warehouse):
     assert warehouse.dates_since(warehouse.stamp()).isEmpty()
 
 
+def test_files_of_a_batch_do_not_grow_with_its_dates(spark, tmp_path, warehouse):
+    """Spark plans a stream with state without adaptive execution, so rows are not gathered by a hint there."""
+    days, sensors = 40, 8
+    drop(tmp_path, "1.json", [event(f"{d}-{s}", d * 1440, sensor=f"S1-{s}") for d in range(days) for s in range(sensors)])
+    run(spark, tmp_path, warehouse, refresh_every=None)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("fact_sensor_reading", "fact_water_quality_index", "sensor_day", "alert_log"):
+        (batch,) = (tmp_path / "warehouse" / name).glob("batch=0")
+        assert len([f for f in batch.rglob("*.parquet") if f.stat().st_size]) <= tasks + 1, name
+    assert warehouse.table("fact_sensor_reading").count() == days * sensors
+    assert len(warehouse.touched_since(0)) == days
+    assert warehouse.readings_of(START.date()).count() == sensors
+
+
 def test_a_new_checkpoint_keeps_stored_batches(spark, tmp_path, warehouse):
     for name, lines in [("1.json", [event("a", 0), event("b", 5)]), ("2.json", [event("c", 8)])]:
         drop(tmp_path, name, lines)

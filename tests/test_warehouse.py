@@ -14,7 +14,7 @@ from hydrolens.plans.marts import Clock
 from hydrolens.plans.martset import MartSet
 from hydrolens.sources import dimensions, warehouse as W
 from hydrolens.sources.files import names_in
-from hydrolens.sources.parts import MERGED, Dimension, Folder, Parts, crowded
+from hydrolens.sources.parts import MERGED, Dimension, Folder, Parts, Staged, crowded
 from hydrolens.sources.warehouse import RUN_BATCHES, STORED, Warehouse
 
 CLOCK = Clock(AS_OF, freshness_minutes=1440, lookback_hours=24)
@@ -261,3 +261,16 @@ def test_parts_of_no_version(spark, tmp_path):
     parts = Parts(spark, str(tmp_path / "none"))
     assert parts.newest().folders == [] and parts.versions() == []
     parts.clean()
+
+
+def test_many_dates_are_written_by_several_tasks(spark, tmp_path):
+    """One task would open the files of all dates one after the other, however small they are."""
+    parts, staged = Parts(spark, str(tmp_path / "parts")), Staged(1)
+    rows = spark.range(200 * 5).selectExpr("date_add(date '2024-01-01', cast(id % 200 as int)) as event_date", "id")
+    parts.stage(staged, "rows", rows, [], "event_date", 200)
+    assert len(staged.folders) == 200 and {f.n for f in staged.folders} == {5}
+    files = [f.name for f in (tmp_path / "parts").rglob("*.parquet")]
+    assert len({name[:10] for name in files}) >= 3  # part-00000, part-00001, ...
+    assert len(files) <= 200 + 4  # only a date on a border between two tasks has two files
+    version = parts.commit(staged)
+    assert sorted(parts.read(version.of("rows"), rows.schema).collect()) == sorted(rows.collect())
